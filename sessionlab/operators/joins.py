@@ -27,18 +27,35 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     return measured_rows(df) <= (config.BROADCAST_MAX_ROWS if max_rows is None else max_rows)
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None) -> DataFrame:
-    """Join a dimension onto a fact table; broadcast only after a size check."""
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
-    return big.join(side, on, how)
-
-
-def keys_join(big: DataFrame, keys: DataFrame, on, how: str, max_rows: int | None = None) -> DataFrame:
-    """Semi/anti join against a key set (distinct first, then size-checked)."""
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None,
+                cache: bool = False) -> DataFrame:
+    """Join a dimension onto a fact table; broadcast only after a size check.
+
+    ``cache=True`` is for derived dimensions (e.g. the category map): the side
+    is persisted first, so measuring it and joining it compute it once.  A side
+    over the bound is released and joined by shuffle (AQE splits skew)."""
+    if cache:
+        small = small.persist()
+    if fits_broadcast(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    if cache:
+        small.unpersist()
+    return big.join(small, on, how)
+
+
+def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Broadcast join for sides whose size is bounded by construction, not by
+    the data volume: one row per class, per feature, per hash bucket or per
+    value range.  Callers state the bound where they call it."""
+    return big.join(F.broadcast(small), on, how)
+
+
+def keys_join(big: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
+    """Semi/anti join against a key set that grows with the data (session ids):
+    distinct keys, plain join; AQE turns it into a broadcast only when the
+    measured shuffle output is small, and splits skewed partitions."""
     cols = [on] if isinstance(on, str) else list(on)
-    k = keys.select(*cols).distinct()
-    side = F.broadcast(k) if fits_broadcast(k, max_rows) else k
-    return big.join(side, cols, how)
+    return big.join(keys.select(*cols).distinct(), cols, how)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -55,7 +72,7 @@ def fill_main_cat(events: DataFrame, cat_map: DataFrame) -> DataFrame:
     ids missing from the map give NULL."""
     from sessionlab.functions.exprs import main_cat_of
     m = cat_map.select("category_id", F.col("category_code").alias("category_filled"))
-    out = lookup_join(events, m, "category_id", "left")
+    out = lookup_join(events, m, "category_id", "left", cache=True)
     return out.withColumn("main_cat", main_cat_of("category_filled"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.constants import FEATURE_COLS, RANDOM_STATE, THRESHOLD
+from sessionlab.operators.joins import bounded_join, with_scalars
 from sessionlab.operators.stats import with_class_weight
 
 
@@ -25,8 +26,7 @@ def scale_features(df: DataFrame, features: list[str] = FEATURE_COLS, keep: list
     keep = keep or []
     stats = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"m_{f}") for f in features],
                    *[F.stddev_pop(F.col(f).cast("double")).alias(f"s_{f}") for f in features])
-    k = "_k"
-    j = df.withColumn(k, F.lit(0)).join(F.broadcast(stats.withColumn(k, F.lit(0))), k)
+    j = with_scalars(df, stats)
     return j.select(*keep, *[F.coalesce(F.try_divide(F.col(f).cast("double") - F.col(f"m_{f}"),
                                                      F.nullif(F.col(f"s_{f}"), F.lit(0.0))), F.lit(0.0)).alias(f)
                              for f in features])
@@ -36,7 +36,7 @@ def label_index(df: DataFrame, label: str = "main_cat", out: str = "label_idx")
     """M2: alphabetical label codes 0..k-1 (dense rank over the class table)."""
     classes = df.select(label).filter(F.col(label).isNotNull()).distinct()
     classes = classes.withColumn(out, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))  # k rows
-    return df.join(F.broadcast(classes), label, "inner")
+    return bounded_join(df, classes, label, "inner")  # one row per class
 
 
 def _assembler():
@@ -84,10 +84,9 @@ def prepare_binary(sessions: DataFrame, label: str = "purchased", positive_weigh
     d = sessions.withColumn("label", F.col(label).cast("double"))
     if positive_weight:
         c = d.agg(F.count_if(F.col("label") == 0).alias("_neg"), F.count_if(F.col("label") == 1).alias("_pos"))
-        k = "_k"
-        d = d.withColumn(k, F.lit(0)).join(F.broadcast(c.withColumn(k, F.lit(0))), k)
+        d = with_scalars(d, c)
         return d.withColumn("w", F.when(F.col("label") == 1, F.col("_neg") / F.greatest(F.col("_pos"), F.lit(1)))
-                            .otherwise(F.lit(1.0))).drop(k, "_neg", "_pos")
+                            .otherwise(F.lit(1.0))).drop("_neg", "_pos")
     return with_class_weight(d, "label")
 
 
@@ -115,7 +114,7 @@ def score_multiclass(model: PipelineModel, df: DataFrame, classes: DataFrame, ke
     """M7 (multi-class): (key, label, pred) with class names restored."""
     s = model.transform(df).select(key, F.col(label).alias("label"), F.col("prediction").cast("int").alias("_pi"))
     names = classes.select(F.col("label_idx").alias("_pi"), F.col(label).alias("pred"))
-    return s.join(F.broadcast(names), "_pi").drop("_pi")
+    return bounded_join(s, names, "_pi").drop("_pi")  # one row per class
 
 
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:

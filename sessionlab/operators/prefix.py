@@ -1,78 +1,60 @@
 """Exact running sums over a global order without a single-task window.
 
-``Window.orderBy`` with no partition runs in one task.  Here rows are first
-collapsed to distinct sort values, then cut into at most ``n_buckets`` ranges
-by approximate quantiles (computed once; only the bucket edges, a bounded list,
-reach the driver).  Totals per bucket are tiny and get a window of their own;
-exact running sums inside a bucket use a window partitioned by the bucket.
-Approximate edges only balance the work: the sums stay exact.
+``Window.orderBy`` with no partition runs in one task, and a window per group
+puts a whole group (a feature, a class) in one task.  Instead, rows are first
+collapsed to one row per distinct sort value, then cut into narrow,
+order-preserving value ranges computed from the value alone: the binary
+exponent of |v| plus the leading ``mantissa_bits`` of its mantissa (sign and
+zero handled), so every range spans at most 1/64 of an octave.  Totals per
+range are tiny and get a window of their own (offsets); exact running sums
+inside a range use a window partitioned by (group, range).  The bucketing is
+pure arithmetic: deterministic, no driver round trip, inside codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.operators.joins import lookup_join
+from sessionlab.operators.joins import bounded_join
 
 
-def _edges(df: DataFrame, value: str, groups: list[str], n_buckets: int) -> dict:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    q = df.groupBy(*groups).agg(F.percentile_approx(value, probs, 10_000).alias("_q")) if groups \
-        else df.agg(F.percentile_approx(value, probs, 10_000).alias("_q"))
-    out = {}
-    for row in q.collect():  # one row per group, n_buckets values each
-        key = tuple(row[g] for g in groups)
-        edges = sorted({float(v) for v in (row["_q"] or []) if v is not None})
-        out[key] = edges
-    return out
+def order_bucket(value: str | Column, mantissa_bits: int = 6) -> Column:
+    """Integer bucket, monotone non-decreasing in ``value`` (doubles)."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    a = F.abs(v)
+    e0 = F.floor(F.log2(a))
+    # exact exponent: correct the floating log2 by one step either way
+    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
+         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
+    m = 1 << mantissa_bits
+    frac = F.floor((a / F.pow(F.lit(2.0), e) - 1.0) * m)
+    mag = (e + 1100) * m + F.least(F.greatest(frac, F.lit(0)), F.lit(m - 1)) + 1
+    return (F.when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0))).cast("bigint")
 
 
-def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] | None = None,
-                 n_buckets: int = 64) -> DataFrame:
+def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
     """For each (groups..., distinct ``value``) give the per-value totals of
     ``sums`` and, for each, ``<c>_le`` = running total over values <= this one
     (ascending) and ``<c>_tot`` = group total.  ``df`` must already hold one
     row per (groups, value) (pre-aggregated)."""
     groups = groups or []
-    edges = _edges(df, value, groups, n_buckets)
-    if groups:
-        # one Bucketizer per group would need a loop; encode the bucket with a
-        # CASE over the (bounded) group set instead.
-        expr = None
-        for key, e in edges.items():
-            cond = None
-            for g, v in zip(groups, key):
-                c = F.col(g).eqNullSafe(F.lit(v))
-                cond = c if cond is None else cond & c
-            b = _bucket_expr(value, e)
-            expr = F.when(cond, b) if expr is None else expr.when(cond, b)
-        bucketed = df.withColumn("_b", expr.otherwise(F.lit(0)))
-    else:
-        bucketed = df.withColumn("_b", _bucket_expr(value, edges.get((), [])))
+    bucketed = df.withColumn("_b", order_bucket(value))
     tot = bucketed.groupBy(*groups, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sums])
+    # one row per (group, value range): small
     wg = Window.partitionBy(*groups).orderBy("_b") if groups else Window.orderBy("_b")
+    whole = Window.partitionBy(*groups) if groups else Window.partitionBy()
     for c in sums:
         tot = tot.withColumn(f"_off_{c}", F.coalesce(
             F.sum(f"_bt_{c}").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        tot = tot.withColumn(f"{c}_tot", F.sum(f"_bt_{c}").over(
-            Window.partitionBy(*groups) if groups else Window.partitionBy()))
+        tot = tot.withColumn(f"{c}_tot", F.sum(f"_bt_{c}").over(whole))
     tot = tot.select(*groups, "_b", *[f"_off_{c}" for c in sums], *[f"{c}_tot" for c in sums])
-    # bounded: (#groups x n_buckets) rows
-    out = lookup_join(bucketed, tot, [*groups, "_b"], "inner", max_rows=10_000_000)
+    # bounded by construction: (#groups x value ranges) rows
+    out = bounded_join(bucketed, tot, [*groups, "_b"], "inner")
     wb = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     for c in sums:
         out = out.withColumn(f"{c}_le", F.col(f"_off_{c}") + F.sum(c).over(wb))
     return out.drop("_b", *[f"_off_{c}" for c in sums])
 
 
-def _bucket_expr(value: str, edges: list[float]):
-    """Number of edges < value (monotone in value); written as a CASE ladder
-    over the bounded edge list so it runs inside codegen."""
-    v = F.col(value).cast("double")
-    if not edges:
-        return F.lit(0)
-    expr = F.when(v <= F.lit(edges[0]), F.lit(0))
-    for i, e in enumerate(edges[1:], start=1):
-        expr = expr.when(v <= F.lit(e), F.lit(i))
-    return expr.otherwise(F.lit(len(edges)))
+__all__ = ["order_bucket", "running_sums"]

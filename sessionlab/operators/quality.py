@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sessionlab.constants import (FEATURE_COLS, MAX_DECILE_PURITY, MAX_UNIVARIATE_AUC, OUTLIER_QUANTILE,
                                   WEIGHT_RATIO_BOUNDS)
 from sessionlab.operators.features import to_long
-from sessionlab.operators.joins import not_in
+from sessionlab.operators.joins import not_in, with_scalars
 from sessionlab.operators.metrics import roc_auc
 from sessionlab.operators.stats import class_weights, crosstab_purity, quantile_cut
 
@@ -101,8 +101,7 @@ def range_checks(sessions_all: DataFrame, sessions_cat: DataFrame, bounds: dict
 
 def _one(a: DataFrame, b: DataFrame) -> DataFrame:
     """Two one-row aggregates side by side (hash join on a constant key)."""
-    k = "_one_key"
-    return a.withColumn(k, F.lit(0)).join(F.broadcast(b.withColumn(k, F.lit(0))), k).drop(k)
+    return with_scalars(a, b)
 
 
 def null_free(sessions_all: DataFrame, sessions_cat: DataFrame, features: list[str] = FEATURE_COLS) -> DataFrame:

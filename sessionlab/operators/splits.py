@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sessionlab.constants import N_FOLDS, RANDOM_STATE, TEST_SIZE
 from sessionlab.functions.exprs import hash_bucket, split_hash
-from sessionlab.operators.joins import lookup_join, with_scalars
+from sessionlab.operators.joins import bounded_join, with_scalars
 
 
 def class_rank(df: DataFrame, label: str | None, key: str = "user_session", seed: int = RANDOM_STATE,
@@ -26,8 +26,8 @@ def class_rank(df: DataFrame, label: str | None, key: str = "user_session", seed
     wo = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy("_hb")
     sizes = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
                                                 F.lit(0))).drop("_n")
-    # bounded: (#classes x 2**bits) rows
-    d = lookup_join(d, sizes, [*groups, "_hb"], "inner", max_rows=(1 << bits) * 64)
+    # bounded by construction: (#classes x 2**bits) rows
+    d = bounded_join(d, sizes, [*groups, "_hb"], "inner")
     wr = Window.partitionBy(*groups, "_hb").orderBy("_h", key)
     return d.withColumn(out, F.col("_off") + F.row_number().over(wr)).drop("_h", "_hb", "_off")
 
@@ -54,7 +54,7 @@ def stratified_split(df: DataFrame, label: str, key: str = "user_session", test_
     """Adds ``split`` = 'train' / 'test', class shares preserved."""
     q = split_quotas(df, label, test_size).select(label, "n_test")
     r = class_rank(df, label, key, seed, out="_r")
-    r = lookup_join(r, q, label, "inner", max_rows=100_000)
+    r = bounded_join(r, q, label, "inner")  # one row per class
     return r.withColumn("split", F.when(F.col("_r") <= F.col("n_test"), "test").otherwise("train")) \
             .drop("_r", "n_test")
 

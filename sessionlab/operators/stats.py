@@ -15,7 +15,7 @@ from sessionlab.constants import (DECILES, FEATURE_COLS, HIST_BINS, HIST_FEATURE
                                   OUTLIER_QUANTILE)
 from sessionlab.functions.exprs import safe_div
 from sessionlab.operators.features import to_long
-from sessionlab.operators.joins import lookup_join, with_scalars
+from sessionlab.operators.joins import bounded_join, with_scalars
 from sessionlab.operators.prefix import running_sums
 
 
@@ -122,7 +122,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, out: str = "w") -> DataFrame:
     """Attach the balanced weight as a column (class table: one row per class)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return lookup_join(df, w, label, "inner", max_rows=100_000)
+    return bounded_join(df, w, label, "inner")  # one row per class
 
 
 def scale_pos_weight(df: DataFrame, label: str = "purchased") -> DataFrame:
@@ -141,7 +141,7 @@ def qcut_bins(sessions: DataFrame, features: list[str], q: int = DECILES, keep:
     lg = to_long(sessions, features, keep=keep)
     qs = exact_quantiles(lg, ["feature"], "x", [i / q for i in range(q + 1)])
     edges = qs.groupBy("feature").agg(F.array_sort(F.collect_set("q")).alias("_edges"))
-    j = lookup_join(lg, edges, "feature", "inner", max_rows=100_000)
+    j = bounded_join(lg, edges, "feature", "inner")  # one row per feature
     nb = F.size(F.filter("_edges", lambda e: e < F.col("x")))
     return j.withColumn("bin", F.greatest(nb, F.lit(1))).drop("_edges")
 
@@ -176,7 +176,7 @@ def log1p_hist(sessions: DataFrame, features: list[str] = HIST_FEATURES, bins: i
     lg = lg.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf")) & (F.col("x") >= 0)) \
            .withColumn("x", F.log1p("x"))
     rng = lg.groupBy("feature").agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
-    j = lookup_join(lg, rng, "feature", "inner", max_rows=100_000)
+    j = bounded_join(lg, rng, "feature", "inner")  # one row per feature
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("x") - F.col("_lo")) / width)).otherwise(F.lit(0))
     j = j.withColumn("bin", F.least(raw, F.lit(bins - 1)).cast("int"))

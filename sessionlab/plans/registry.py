@@ -49,13 +49,28 @@ def _ev(spark, d):
 
 
 def _sessions(spark, d):
-    return S.sessions_all(_ev(spark, d))
+    return S.sessions_all(_ev(spark, d), cat_map=S.category_map(shop_events_base(spark, d)))
 
 
-def _feats(spark, d):
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a derived table once to the reliable checkpoint folder and cut its
+    lineage, so operators that read it several times do not recompute the
+    event pipeline (and a lost executor re-reads files, not the events)."""
+    return df.checkpoint(eager=True)
+
+
+def _sessions_m(spark, d):
+    return materialize(_sessions(spark, d))
+
+
+def _feats_lazy(spark, d):
     return add_features(_sessions(spark, d))
 
 
+def _feats(spark, d):
+    return materialize(_feats_lazy(spark, d))
+
+
 def _feats_cat(spark, d):
     return S.categorized_sessions(_feats(spark, d))
 
@@ -124,13 +139,13 @@ def q_scan_session_col(spark, d):
 
 @register("load_binary", W(*X.BASE_F) + f"SELECT user_session, {', '.join(FEATURE_COLS)}, purchased FROM feats")
 def q_load_binary(spark, d):
-    return select_features(_feats(spark, d), keep=["user_session"] + ["purchased"]) \
+    return select_features(_feats_lazy(spark, d), keep=["user_session"] + ["purchased"]) \
         .select("user_session", *FEATURE_COLS, "purchased")
 
 
 @register("load_multiclass", W(*X.BASE_F) + f"SELECT user_session, {', '.join(FEATURE_COLS)}, main_cat FROM feats_cat")
 def q_load_multiclass(spark, d):
-    return _feats(spark, d).na.drop(subset=["main_cat"]).select("user_session", *FEATURE_COLS, "main_cat")
+    return _feats_lazy(spark, d).na.drop(subset=["main_cat"]).select("user_session", *FEATURE_COLS, "main_cat")
 
 
 # ---------------------------------------------------------------- P: projections
@@ -171,12 +186,12 @@ def q_categorized(spark, d):
 
 @register("cart_to_view_ratio", W(*X.BASE_F) + "SELECT user_session, cart_to_view_ratio FROM feats")
 def q_ctv(spark, d):
-    return _feats(spark, d).select("user_session", "cart_to_view_ratio")
+    return _feats_lazy(spark, d).select("user_session", "cart_to_view_ratio")
 
 
 @register("remove_to_cart_ratio", W(*X.BASE_F) + "SELECT user_session, remove_to_cart_ratio FROM feats")
 def q_rtc(spark, d):
-    return _feats(spark, d).select("user_session", "remove_to_cart_ratio")
+    return _feats_lazy(spark, d).select("user_session", "remove_to_cart_ratio")
 
 
 @register("fill_missing", W(*X.BASE) + f"SELECT {SC} FROM sessions_all")
@@ -186,12 +201,12 @@ def q_fill_missing(spark, d):
 
 @register("add_features", W(*X.BASE_F) + f"SELECT {SC}, cart_to_view_ratio, remove_to_cart_ratio FROM feats")
 def q_add_features(spark, d):
-    return _feats(spark, d)
+    return _feats_lazy(spark, d)
 
 
 @register("select_features", W(*X.BASE_F) + f"SELECT {', '.join(FEATURE_COLS)} FROM feats")
 def q_select_features(spark, d):
-    return select_features(_feats(spark, d))
+    return select_features(_feats_lazy(spark, d))
 
 
 @register("session_duration", W(*X.BASE) + "SELECT user_session, session_duration_sec FROM sessions_all")
@@ -264,19 +279,19 @@ def q_attach_month(spark, d):
   (SELECT user_session FROM sessions_all WHERE main_cat IS NOT NULL) c
   WHERE NOT EXISTS (SELECT 1 FROM sessions_all a WHERE a.user_session = c.user_session)""")
 def q_cat_subset(spark, d):
-    s = _sessions(spark, d)
+    s = _sessions_m(spark, d)
     return J.not_in(S.categorized_sessions(s).select("user_session"), s).agg(F.count(F.lit(1)).alias("n_missing"))
 
 
 @register("purchases_without_category", W(*X.BASE) + f"""SELECT {SC} FROM sessions_all a WHERE purchased = 1
   AND NOT EXISTS (SELECT 1 FROM sessions_all c WHERE c.main_cat IS NOT NULL AND c.user_session = a.user_session)""")
 def q_purch_wo_cat(spark, d):
-    s = _sessions(spark, d)
+    s = _sessions_m(spark, d)
     return Q.purchases_without_category(s, S.categorized_sessions(s))
 
 
 @register("raw_for_sessions", None)
-def q_raw_for_sessions(spark, d):
+def q_raw_for_sessions_m(spark, d):
     """Raw events of the sampled sessions (left semi on the sample keys)."""
     ev = _ev(spark, d)
     sample = D.session_sample(S.sessions_all(ev))
@@ -359,14 +374,14 @@ def q_purchase_label(spark, d):
 @register("purchase_rate", W(*X.BASE) + """SELECT count(*) AS n_sessions, CAST(sum(purchased) AS BIGINT) AS n_purchased,
   round(avg(CAST(purchased AS DOUBLE)), 6) AS purchase_rate FROM sessions_all""")
 def q_purchase_rate(spark, d):
-    return _round_doubles(B.purchase_rate(_sessions(spark, d)))
+    return _round_doubles(B.purchase_rate(_sessions_m(spark, d)))
 
 
 @register("main_cat_distribution", W(*X.BASE) + """SELECT main_cat, count(*) AS n,
   round(CASE WHEN main_cat IS NOT NULL THEN count(*) / sum(count(*)) FILTER (WHERE main_cat IS NOT NULL) OVER () END, 6)
   AS share FROM sessions_all GROUP BY main_cat""")
 def q_main_cat_distribution(spark, d):
-    return _round_doubles(B.main_cat_distribution(_sessions(spark, d)))
+    return _round_doubles(B.main_cat_distribution(_sessions_m(spark, d)))
 
 
 @register("feature_summary", W(*X.BASE_F, X.long_form("feats", "lg")) + """SELECT feature, round(avg(x), 6) AS mean,
@@ -427,7 +442,7 @@ def q_month_counts(spark, d):
   WHERE main_cat IS NOT NULL GROUP BY main_cat)
 SELECT main_cat, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM c""")
 def q_class_weights(spark, d):
-    return _round_doubles(B.class_weights(S.categorized_sessions(_sessions(spark, d)), "main_cat"))
+    return _round_doubles(B.class_weights(S.categorized_sessions(_sessions_m(spark, d)), "main_cat"))
 
 
 @register("scale_pos_weight", W(*X.BASE) + """SELECT count(*) FILTER (WHERE purchased = 0) AS n_neg,
@@ -435,7 +450,7 @@ def q_class_weights(spark, d):
   round(count(*) FILTER (WHERE purchased = 0) / greatest(count(*) FILTER (WHERE purchased = 1), 1), 6) AS scale_pos_weight
   FROM sessions_all""")
 def q_scale_pos_weight(spark, d):
-    return _round_doubles(B.scale_pos_weight(_sessions(spark, d)))
+    return _round_doubles(B.scale_pos_weight(_sessions_m(spark, d)))
 
 
 _QCUT_SQL = X.long_form("feats_cat", "lgc", keep="main_cat") + """
@@ -460,7 +475,7 @@ SELECT round(max(cut), 6) AS cut, count(*) FILTER (WHERE n_events > cut) AS n_ab
   round(avg(CAST(purchased AS DOUBLE)) FILTER (WHERE n_events > cut), 6) AS rate_above,
   round(avg(CAST(purchased AS DOUBLE)), 6) AS rate_all FROM sessions_all, c""")
 def q_quantile_cut(spark, d):
-    return _round_doubles(B.quantile_cut(_sessions(spark, d)))
+    return _round_doubles(B.quantile_cut(_sessions_m(spark, d)))
 
 
 # ---------------------------------------------------------------- D: dedup / splits
@@ -478,7 +493,7 @@ def q_dedup_category(spark, d):
 
 @register("duplicate_sessions", W(X.SHOP_EVENTS) + """SELECT user_session, count(DISTINCT period) AS n_periods
   FROM shop_events WHERE user_session IS NOT NULL GROUP BY user_session HAVING count(DISTINCT period) > 1""")
-def q_duplicate_sessions(spark, d):
+def q_duplicate_sessions_m(spark, d):
     return S.duplicate_sessions(_ev(spark, d))
 
 
@@ -486,7 +501,7 @@ def q_duplicate_sessions(spark, d):
   FROM sessions_all UNION ALL SELECT 'sessions_cat', count(*) - count(DISTINCT user_session) FROM sessions_all
   WHERE main_cat IS NOT NULL""")
 def q_key_uniqueness(spark, d):
-    s = _sessions(spark, d)
+    s = _sessions_m(spark, d)
 
     def dup(df, name):
         return df.agg((F.count(F.lit(1)) - F.count_distinct("user_session")).alias("n_dup")) \
@@ -546,7 +561,7 @@ SELECT user_session, purchased, CASE WHEN purchased = 1 THEN 'purchased' ELSE 'n
 UNION ALL
 SELECT user_session, purchased, 'edge' FROM ek, ne WHERE ((ne.c > 0 AND e = 1) OR ne.c = 0) AND r = 1""")
 def q_session_sample(spark, d):
-    return D.session_sample(_sessions(spark, d)).select("user_session", "purchased", "stratum")
+    return D.session_sample(_sessions_m(spark, d)).select("user_session", "purchased", "stratum")
 
 
 # ---------------------------------------------------------------- E: evaluation
@@ -592,7 +607,7 @@ def _mc_scores(spark, d) -> DataFrame:
     fc = _feats_cat(spark, d)
     rule = fc.groupBy("n_events").agg(F.mode("main_cat", True).alias("pred"))
     return J.lookup_join(fc.select("user_session", "n_events", F.col("main_cat").alias("label")), rule, "n_events",
-                         "inner").drop("n_events")
+                         "inner", cache=True).drop("n_events")
 
 
 register("threshold_predict", W(*X.BASE_F, BIN_SCORES) + "SELECT user_session, label, proba, pred FROM bs")(
@@ -749,7 +764,7 @@ SELECT 'cart_score' AS model, a.metric, CAST(NULL AS VARCHAR) AS label, round(a.
   round(b.value, 6) AS temporal, round(b.value - a.value, 6) AS delta FROM rnd_m a JOIN tmp_m b USING (metric)""")
 def q_split_comparison(spark, d):
     ev = _ev(spark, d)
-    f = add_features(S.sessions_all(ev))
+    f = materialize(add_features(S.sessions_all(ev, cat_map=S.category_map(shop_events_base(spark, d)))))
     score = _score_fn("n_cart")
     rnd = score(D.stratified_split(f, "purchased").filter(F.col("split") == "test"))
     months = S.session_first_month(ev).select("user_session", "period")
@@ -794,7 +809,7 @@ def _audit(fn):
 @register("inv_event_sum", W(*X.BASE) + """, a AS (SELECT count(*) FILTER (WHERE n_events <> n_view + n_cart + n_remove) AS v
   FROM sessions_all) """ + _check_sql("invariant: n_events=n_view+n_cart+n_remove", "v", "v = 0", "a"))
 def q_inv_event_sum(spark, d):
-    return _round_doubles(Q.inv_event_sum(_sessions(spark, d)))
+    return _round_doubles(Q.inv_event_sum(_sessions_m(spark, d)))
 
 
 _UNI_SQL = X.long_form("feats", "lg", keep="CAST(purchased AS INTEGER) AS label") + """
@@ -824,7 +839,7 @@ def q_univariate_auc_check(spark, d):
   unique_products + CAST(n_events = 0 AS INTEGER)) AS v FROM sessions_all) """ +
           _check_sql("unique_categories <= unique_products", "v", "v = 0", "a"))
 def q_inv_cat_le_prod(spark, d):
-    return _round_doubles(Q.inv_cat_le_prod(_sessions(spark, d)))
+    return _round_doubles(Q.inv_cat_le_prod(_sessions_m(spark, d)))
 
 
 @register("decile_purity", W(*X.BASE_F, _QCUT_SQL) + ", a AS (SELECT count(*) FILTER (WHERE max_purity > 0.95) AS v FROM purity) " +
@@ -861,7 +876,7 @@ def q_null_free(spark, d):
 @register("non_negative", W(*X.BASE) + """, a AS (SELECT count(*) FILTER (WHERE n_view < 0 OR n_cart < 0 OR n_remove < 0
   OR n_events < 0) AS v FROM sessions_all) """ + _check_sql("counts are non-negative", "v", "v = 0", "a"))
 def q_non_negative(spark, d):
-    return _round_doubles(Q.non_negative(_sessions(spark, d)))
+    return _round_doubles(Q.non_negative(_sessions_m(spark, d)))
 
 
 @register("unique_keys", W(*X.BASE) + """, a AS (SELECT count(*) - count(DISTINCT user_session) AS v FROM sessions_all),
@@ -869,7 +884,7 @@ b AS (SELECT count(*) - count(DISTINCT user_session) AS vc FROM sessions_all WHE
 j AS (SELECT * FROM a, b) """ + _check_sql("user_session unique in sessions_all", "v", "v = 0", "j") + " UNION ALL " +
           _check_sql("user_session unique in sessions_cat", "vc", "vc = 0", "j"))
 def q_unique_keys(spark, d):
-    s = _sessions(spark, d)
+    s = _sessions_m(spark, d)
     return _round_doubles(Q.unique_keys(s, S.categorized_sessions(s)))
 
 
@@ -877,7 +892,7 @@ def q_unique_keys(spark, d):
   (SELECT 1 FROM sessions_all s WHERE s.user_session = c.user_session)) """ +
           _check_sql("sessions_cat subset of sessions_all", "v", "v = 0", "a"))
 def q_subset(spark, d):
-    s = _sessions(spark, d)
+    s = _sessions_m(spark, d)
     return _round_doubles(Q.subset_check(s, S.categorized_sessions(s)))
 
 
@@ -923,7 +938,7 @@ def q_pure_purchase(spark, d):
     _check_sql("single-event sessions have price_std=0", "bad", "bad = 0", "a"),
     _check_sql("single-event sessions: share", "share", None, "a")]))
 def q_single_event(spark, d):
-    return _round_doubles(Q.single_event(_sessions(spark, d)))
+    return _round_doubles(Q.single_event(_sessions_m(spark, d)))
 
 
 @register("outlier_sessions", W(*X.BASE) + """, c AS (SELECT quantile_cont(CAST(n_events AS DOUBLE), 0.999) AS cut FROM sessions_all),
@@ -933,26 +948,26 @@ a AS (SELECT max(cut) AS cut, count(*) FILTER (WHERE n_events > cut) AS n_above,
     _check_sql("n_events outlier cut", "cut", None, "a"), _check_sql("sessions above cut", "n_above", None, "a"),
     _check_sql("purchase rate above cut", "rate_above", None, "a"),
     _check_sql("purchase rate overall", "rate_all", None, "a")]))
-def q_outlier_sessions(spark, d):
-    return _round_doubles(Q.outlier_sessions(_sessions(spark, d)))
+def q_outlier_sessions_m(spark, d):
+    return _round_doubles(Q.outlier_sessions(_sessions_m(spark, d)))
 
 
 @register("negative_price", W(*X.BASE) + ", a AS (SELECT count(*) FILTER (WHERE avg_price < 0) AS v FROM sessions_all) " +
           _check_sql("sessions with negative avg_price", "v", None, "a"))
 def q_negative_price(spark, d):
-    return _round_doubles(Q.negative_price(_sessions(spark, d)))
+    return _round_doubles(Q.negative_price(_sessions_m(spark, d)))
 
 
 @register("weight_ratio", W(*X.BASE) + """, c AS (SELECT main_cat, count(*) AS n_c FROM sessions_all WHERE main_cat IS NOT NULL
   GROUP BY main_cat), w AS (SELECT sum(n_c) OVER () / (count(*) OVER () * n_c) AS weight FROM c),
 a AS (SELECT max(weight) / min(weight) AS v FROM w) """ + _check_sql("sample_weight ratio sensible", "v", "v BETWEEN 3 AND 10", "a"))
 def q_weight_ratio(spark, d):
-    return _round_doubles(Q.weight_ratio(S.categorized_sessions(_sessions(spark, d))))
+    return _round_doubles(Q.weight_ratio(S.categorized_sessions(_sessions_m(spark, d))))
 
 
 @register("dtype_report", None)
 def q_dtype_report(spark, d):
-    return Q.dtype_report(_sessions(spark, d))
+    return Q.dtype_report(_sessions_m(spark, d))
 
 
 @register("audit_report", None)

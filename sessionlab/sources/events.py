@@ -146,7 +146,9 @@ def sessionize(df: DataFrame, user: str = "user_id", ts: str = "event_time", tie
     buckets = buckets.withColumn(
         "_off", F.coalesce(F.sum(F.col("_inner") + F.col("_fg")).over(
             wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(buckets.select(user, "_tb", "_fg", "_off"), [user, "_tb"])
+    # every (user, bucket) of d is in the bucket table: the left join keeps rows
+    # and lets Catalyst drop the whole numbering when no caller uses it
+    d = d.join(buckets.select(user, "_tb", "_fg", "_off"), [user, "_tb"], "left")
     return d.withColumn(out, (F.col("_off") + F.col("_fg") + F.col("_cg")).cast("bigint")) \
             .drop("_us", "_tb", "_g", "_cg", "_fg", "_off")
 
