@@ -61,9 +61,14 @@ def stratified_split(df: DataFrame, label: str, key: str = "user_session", test_
 
 def stratified_kfold(df: DataFrame, label: str, key: str = "user_session", k: int = N_FOLDS,
                      seed: int = RANDOM_STATE) -> DataFrame:
-    """``fold`` in 0..k-1, each class dealt round-robin in hash order."""
+    """``fold`` in 0..k-1: rows dealt round-robin in (class, hash) order,
+    so every class is spread evenly and fold sizes differ by at most one."""
     r = class_rank(df, label, key, seed, out="_r")
-    return r.withColumn("fold", ((F.col("_r") - 1) % k).cast("int")).drop("_r")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)  # one row per class
+    sizes = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    r = bounded_join(r, sizes, label, "inner")
+    return r.withColumn("fold", ((F.col("_o") + F.col("_r") - 1) % k).cast("int")).drop("_r", "_o")
 
 
 def temporal_split(df: DataFrame, period: str = "period", test_periods=(3,)) -> DataFrame:

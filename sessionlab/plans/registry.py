@@ -543,7 +543,7 @@ def q_temporal_split(spark, d):
 
 
 @register("stratified_kfold", W(*X.BASE_F) + """SELECT user_session, main_cat,
-  CAST((row_number() OVER (PARTITION BY main_cat ORDER BY md5(user_session || ':42'), user_session) - 1) % 5 AS INTEGER)
+  CAST((row_number() OVER (ORDER BY main_cat, md5(user_session || ':42'), user_session) - 1) % 5 AS INTEGER)
   AS fold FROM feats_cat""")
 def q_stratified_kfold(spark, d):
     return D.stratified_kfold(_feats_cat(spark, d), "main_cat").select("user_session", "main_cat", "fold")
@@ -778,7 +778,7 @@ def q_split_comparison(spark, d):
 
 
 @register("cv_summary", W(*X.BASE_F) + """
-, fo AS (SELECT *, CAST((row_number() OVER (PARTITION BY purchased ORDER BY md5(user_session || ':42'), user_session) - 1) % 5
+, fo AS (SELECT *, CAST((row_number() OVER (ORDER BY purchased, md5(user_session || ':42'), user_session) - 1) % 5
                     AS INTEGER) AS fold FROM feats)
 , fs AS (SELECT fold, user_session, CAST(purchased AS INTEGER) AS label, n_cart / (CAST(n_events AS DOUBLE) + 1) AS proba,
            CAST(n_cart / (CAST(n_events AS DOUBLE) + 1) >= 0.5 AS INTEGER) AS pred FROM fo)""" + _bin_metrics_sql("fs", "fold") + """
