@@ -998,3 +998,165 @@ shop_events AS (
 @register("sessions_wide", W(WIDE_EVENTS, X.CATEGORY_MAP, X.EVENTS_CAT, X.SESSIONS) + f"SELECT {SC} FROM sessions_all")
 def q_sessions_wide(spark, d):
     return S.sessions_all(wide_events(spark, d))
+
+
+# ---------------------------------------------------------------- M: models (rows-only checks)
+# Iteration counts are small so the gate stays quick; the library defaults are
+# the original's (1000/2000 LR iterations, 400 boosting rounds).
+
+from sessionlab import jobs as JOBS  # noqa: E402
+from sessionlab.config import scratch_path  # noqa: E402
+from sessionlab.operators import models as M  # noqa: E402
+from sessionlab.sources import sinks as SINK  # noqa: E402
+
+GBT_ITERS, LR_ITERS = 10, 100
+
+
+@register("scale_features", W(*X.BASE_F) + "SELECT user_session, " + ", ".join(
+    f"round(coalesce((CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) / "
+    f"nullif(stddev_pop(CAST({c} AS DOUBLE)) OVER (), 0), 0), 6) AS {c}" for c in FEATURE_COLS) + " FROM feats")
+def q_scale_features(spark, d):
+    return _round_doubles(M.scale_features(_feats(spark, d), keep=["user_session"]))
+
+
+@register("label_index", W(*X.BASE_F) + """SELECT user_session, main_cat,
+  CAST(dense_rank() OVER (ORDER BY main_cat) - 1 AS INTEGER) AS label_idx FROM feats_cat""")
+def q_label_index(spark, d):
+    return M.label_index(_feats_cat(spark, d), "main_cat").select("user_session", "main_cat", "label_idx")
+
+
+def _split_frames(spark, d, label):
+    f = _feats(spark, d) if label == "purchased" else _feats_cat(spark, d)
+    s = materialize(D.stratified_split(f, label))
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+@register("logreg_binary", None)
+def q_logreg_binary(spark, d):
+    train, test = _split_frames(spark, d, "purchased")
+    tr = M.prepare_binary(train)
+    m = M.logreg_binary(LR_ITERS, reg=M.regularisation(tr)).fit(tr)
+    return M.score_binary(m, test.withColumn("label", F.col("purchased").cast("double")))
+
+
+@register("boosted_binary", None)
+def q_boosted_binary(spark, d):
+    train, test = _split_frames(spark, d, "purchased")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    return M.score_binary(m, test.withColumn("label", F.col("purchased").cast("double")))
+
+
+@register("logreg_multiclass", None)
+def q_logreg_multiclass(spark, d):
+    train, test = _split_frames(spark, d, "main_cat")
+    tr = M.prepare_multiclass(train)
+    m = M.logreg_multiclass(LR_ITERS, reg=M.regularisation(tr)).fit(tr)
+    classes = tr.select("main_cat", "label_idx").distinct()
+    te = test.join(F.broadcast(classes), "main_cat").withColumn("label", F.col("label_idx").cast("double"))
+    return M.score_multiclass(m, te, classes)
+
+
+@register("boosted_multiclass", None)
+def q_boosted_multiclass(spark, d):
+    train, test = _split_frames(spark, d, "main_cat")
+    tr = M.prepare_multiclass(train)
+    m = M.boosted_multiclass(GBT_ITERS // 2).fit(tr)
+    classes = tr.select("main_cat", "label_idx").distinct()
+    te = test.join(F.broadcast(classes), "main_cat").withColumn("label", F.col("label_idx").cast("double"))
+    return M.score_multiclass(m, te, classes)
+
+
+@register("score_sessions", None)
+def q_score_sessions(spark, d):
+    """M7: batch scoring of every session with the boosted binary model."""
+    train, _ = _split_frames(spark, d, "purchased")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    return M.score_binary(m, _feats(spark, d).withColumn("label", F.col("purchased").cast("double")))
+
+
+@register("feature_importance", None)
+def q_feature_importance(spark, d):
+    train, _ = _split_frames(spark, d, "purchased")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    return M.importance_table(spark, m)
+
+
+@register("top_importance", None)
+def q_top_importance(spark, d):
+    """Top-5 features by importance (the limit is the feature)."""
+    train, _ = _split_frames(spark, d, "purchased")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    return M.importance_table(spark, m, top=5)
+
+
+@register("train_binary_job", None)
+def q_train_binary_job(spark, d):
+    out, _ = JOBS.train_binary_job(_feats(spark, d), LR_ITERS, GBT_ITERS)
+    return out
+
+
+@register("train_multiclass_job", None)
+def q_train_multiclass_job(spark, d):
+    out, _ = JOBS.train_multiclass_job(_feats_cat(spark, d), LR_ITERS, GBT_ITERS // 2)
+    return out
+
+
+@register("model_save", None)
+def q_model_save(spark, d):
+    """Fit, save, load back, report the loaded model's importances."""
+    train, _ = _split_frames(spark, d, "purchased")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    path = scratch_path(spark, "models/boosted_binary")
+    M.save_model(m, path)
+    return M.importance_table(spark, M.load_model(path))
+
+
+@register("evaluate_binary_job", None)
+def q_evaluate_binary_job(spark, d):
+    f = _feats(spark, d)
+    train = materialize(D.stratified_split(f, "purchased")).filter(F.col("split") == "train")
+    m = M.boosted_binary(GBT_ITERS).fit(M.prepare_binary(train, positive_weight=True))
+    return JOBS.evaluate_binary_job(m, f)["roc_curve"]
+
+
+@register("evaluate_multiclass_job", None)
+def q_evaluate_multiclass_job(spark, d):
+    fc = _feats_cat(spark, d)
+    train = materialize(D.stratified_split(fc, "main_cat")).filter(F.col("split") == "train")
+    m = M.boosted_multiclass(GBT_ITERS // 2).fit(M.prepare_multiclass(train))
+    return JOBS.evaluate_multiclass_job(m, fc)["confusion_normalized"]
+
+
+@register("temporal_validation_job", None)
+def q_temporal_validation_job(spark, d):
+    ev = _ev(spark, d)
+    f = materialize(add_features(S.sessions_all(ev, cat_map=S.category_map(shop_events_base(spark, d)))))
+    return JOBS.temporal_validation_job(f, S.session_first_month(ev), GBT_ITERS // 2)
+
+
+@register("cv_stability", None)
+def q_cv_stability(spark, d):
+    """Q10/E14 with model fits: 5 folds of the boosted binary model."""
+    summ = JOBS.cv_job(_feats(spark, d), "purchased", max_iter_gbt=GBT_ITERS // 2)
+    return JOBS.cv_checks(summ, "binary")
+
+
+@register("metrics_upsert", None)
+def q_metrics_upsert(spark, d):
+    """A10: write binary metrics for run 'random', keep other partitions."""
+    out, _ = JOBS.train_binary_job(_feats(spark, d), LR_ITERS, GBT_ITERS)
+    path = scratch_path(spark, "metrics")
+    SINK.metrics_upsert(out, path)
+    return SINK.read_metrics(spark, path).filter((F.col("run") == "random") & (F.col("task") == "binary"))
+
+
+@register("write_sessions", None)
+def q_write_sessions(spark, d):
+    """Write sessions_all / sessions_cat once; return the re-read category table."""
+    _, cat = SINK.write_sessions(_feats_lazy(spark, d), scratch_path(spark, "processed"))
+    return cat
+
+
+@register("write_session_months", W(X.SHOP_EVENTS) + _MONTHS_SQL + " SELECT user_session, month FROM months")
+def q_write_session_months(spark, d):
+    return SINK.write_session_months(S.session_first_month(_ev(spark, d)), scratch_path(spark, "session_months"))
