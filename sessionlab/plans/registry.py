@@ -1160,3 +1160,45 @@ def q_write_sessions(spark, d):
 @register("write_session_months", W(X.SHOP_EVENTS) + _MONTHS_SQL + " SELECT user_session, month FROM months")
 def q_write_session_months(spark, d):
     return SINK.write_session_months(S.session_first_month(_ev(spark, d)), scratch_path(spark, "session_months"))
+
+
+# ---------------------------------------------------------------- streaming / incremental
+
+@register("incremental_sessions", W(*X.BASE) + f"SELECT {SC} FROM sessions_all")
+def q_incremental_sessions(spark, d):
+    """Step 8: events arrive one period file at a time through Structured
+    Streaming; each micro-batch writes its partials (foreachBatch); reading
+    merges them and equals the exact batch table (floats rounded to float)."""
+    import uuid
+
+    from sessionlab.streaming.incremental import merge_partials_exact, run_incremental
+    run = scratch_path(spark, f"incremental-{uuid.uuid4().hex[:8]}")
+    ev = _ev(spark, d)
+    # the arriving files: one per period, written in period order
+    for p in range(4):
+        ev.filter(F.col("period") == p).write.mode("overwrite").parquet(f"{run}/source/p{p}")
+    src_schema = spark.read.parquet(f"{run}/source/p0").schema
+    for p in range(4):  # each period lands in the watched folder as its own file set
+        spark.read.parquet(f"{run}/source/p{p}").write.mode("append").parquet(f"{run}/landing")
+        run_incremental(spark, f"{run}/landing", src_schema, f"{run}/partials", f"{run}/stream-ckpt")
+    out = merge_partials_exact(spark, f"{run}/partials")
+    return out.select(*[F.col(c).cast("float").alias(c) if c in ("avg_price", "price_std", "session_duration_sec")
+                        else F.col(c) for c in out.columns])
+
+
+@register("windowed_sessions", None)
+def q_windowed_sessions(spark, d):
+    """Streaming sessionisation without session ids: session_window (12 h
+    gap) + 1-day watermark over the event stream, appended to a memory sink."""
+    import uuid
+
+    from sessionlab.streaming.incremental import windowed_sessions
+    run = scratch_path(spark, f"windowed-{uuid.uuid4().hex[:8]}")
+    _ev(spark, d).drop("user_session").write.mode("overwrite").parquet(f"{run}/source")
+    schema = spark.read.parquet(f"{run}/source").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/source")
+    name = f"windowed_{uuid.uuid4().hex[:8]}"
+    q = (windowed_sessions(stream).writeStream.outputMode("append").format("memory").queryName(name)
+         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.table(name)
