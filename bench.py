@@ -29,8 +29,12 @@ def main() -> None:
     names = sys.argv[1].split(",") if len(sys.argv) > 1 else HEADLINE
     spark = build_session(f"local[{cpus}]", app="sessionlab-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g", "spark.default.parallelism": cpus})
-    # warm-up: JVM, parquet footers, codegen caches
-    REGISTRY["category_map"].build(spark, sf_dir).collect()
+    # warm-up (untimed): one pass of the same queries over the smallest tables
+    # so JIT and codegen caches are hot, as in a long-lived cluster session
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm_dir):
+        for n in names:
+            REGISTRY[n].build(spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for n in names:
         # no carry-over between queries: drop cached tables and measured sizes
@@ -42,7 +46,8 @@ def main() -> None:
         times[n] = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else None}))
+                      "queries": times, "sf": float(m.group(1)) if m else None,
+                      "warmup": warm_dir if os.path.isdir(warm_dir) else None}))
     spark.stop()
 
 
