@@ -125,6 +125,25 @@ def q_union_periods(spark, d):
     return out
 
 
+@register("scan_csv", W(X.SHOP_EVENTS) + """SELECT date_trunc('second', event_time) AS event_time, event_type, product_id,
+  category_id, category_code, brand, price, user_id, user_session, period FROM shop_events""")
+def q_scan_csv(spark, d):
+    """A1/A3/A4 on files: each period written as a raw CSV file set (times at
+    second grain with a UTC suffix), read back with the declared schema in
+    period order; the period comes from the source file."""
+    import uuid
+
+    from sessionlab.config import scratch_path
+    from sessionlab.sources.events import scan_periods_csv, write_events_csv
+    root = scratch_path(spark, f"raw-csv-{uuid.uuid4().hex[:8]}")
+    ev = _ev(spark, d)
+    paths = []
+    for p in range(4):
+        write_events_csv(ev.filter(F.col("period") == p), f"{root}/period-{p}")
+        paths.append(f"{root}/period-{p}")
+    return scan_periods_csv(spark, paths)
+
+
 @register("scan_category_cols", W(X.SHOP_EVENTS) + "SELECT category_id, category_code FROM shop_events")
 def q_scan_category_cols(spark, d):
     return shop_events_base(spark, d).select("category_id", "category_code")
@@ -549,17 +568,21 @@ def q_stratified_kfold(spark, d):
     return D.stratified_kfold(_feats_cat(spark, d), "main_cat").select("user_session", "main_cat", "fold")
 
 
-@register("session_sample", W(*X.BASE) + """
+_SAMPLE_CTES = """
 , rk AS (SELECT user_session, purchased, n_events,
     row_number() OVER (PARTITION BY purchased ORDER BY md5(user_session || ':42'), user_session) AS r FROM sessions_all)
 , ek AS (SELECT user_session, purchased, n_events, CAST(n_events = 0 AS INTEGER) AS e,
     row_number() OVER (PARTITION BY CAST(n_events = 0 AS INTEGER) ORDER BY md5(user_session || ':43'), user_session) AS r
     FROM sessions_all)
 , ne AS (SELECT count(*) FILTER (WHERE n_events = 0) AS c FROM sessions_all)
-SELECT user_session, purchased, CASE WHEN purchased = 1 THEN 'purchased' ELSE 'not_purchased' END AS stratum
-  FROM rk WHERE r <= 2
-UNION ALL
-SELECT user_session, purchased, 'edge' FROM ek, ne WHERE ((ne.c > 0 AND e = 1) OR ne.c = 0) AND r = 1""")
+, smp AS (
+  SELECT user_session, purchased, CASE WHEN purchased = 1 THEN 'purchased' ELSE 'not_purchased' END AS stratum
+    FROM rk WHERE r <= 2
+  UNION ALL
+  SELECT user_session, purchased, 'edge' FROM ek, ne WHERE ((ne.c > 0 AND e = 1) OR ne.c = 0) AND r = 1)"""
+
+
+@register("session_sample", W(*X.BASE) + _SAMPLE_CTES + " SELECT user_session, purchased, stratum FROM smp")
 def q_session_sample(spark, d):
     return D.session_sample(_sessions_m(spark, d)).select("user_session", "purchased", "stratum")
 
@@ -1202,3 +1225,7 @@ def q_windowed_sessions(spark, d):
          .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.table(name)
+
+
+REGISTRY["raw_for_sessions"].sql = (W(*X.BASE) + _SAMPLE_CTES + f" SELECT event_id, {RAW9}, period FROM shop_events "
+                                    "WHERE user_session IN (SELECT user_session FROM smp)")

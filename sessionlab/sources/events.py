@@ -59,8 +59,10 @@ def read_events_csv(spark: SparkSession, path: str | list[str], nrows: int | Non
 def scan_periods_csv(spark: SparkSession, paths: list[str], nrows: int | None = None) -> DataFrame:
     """Ordered file set -> one frame with a ``period`` ordinal (A3/A4).
 
-    Missing files fail before any job is planned.  Files are read in one scan;
-    the ordinal comes from the file name's position in ``paths``.
+    Missing files fail before any job is planned.  Without ``nrows`` all files
+    are read in one scan and the ordinal comes from each row's source file
+    (``_metadata.file_path``) matched against the ordered list; with ``nrows``
+    each file is limited on its own and the parts are unioned by name.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -74,13 +76,28 @@ def scan_periods_csv(spark: SparkSession, paths: list[str], nrows: int | None =
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
-    order = F.create_map(*[x for i, p in enumerate(paths) for x in (F.lit(_norm(p)), F.lit(i))])
     df = read_events_csv(spark, paths)
-    return df.withColumn("period", order[F.regexp_replace(F.input_file_name(), "^file:", "")])
+    src = F.regexp_replace(F.col("_metadata.file_path"), r"^file:(//)?", "")
+    period = None
+    for i, p in enumerate(paths):
+        cond = src.startswith(_norm(p).rstrip("/"))
+        period = F.when(cond, F.lit(i)) if period is None else period.when(cond, F.lit(i))
+    return df.withColumn("period", period)
 
 
 def _norm(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+    for pre in ("file://", "file:"):
+        if p.startswith(pre):
+            return p[len(pre):]
+    return p
+
+
+def write_events_csv(events: DataFrame, path: str) -> None:
+    """Raw CSV layout: header, the 9 raw columns, times as 'yyyy-MM-dd HH:mm:ss UTC'."""
+    out = events.select(
+        F.date_format(F.col("event_time").cast("timestamp"), "yyyy-MM-dd HH:mm:ss 'UTC'").alias("event_time"),
+        *[c.name for c in RAW_EVENT_SCHEMA.fields if c.name != "event_time"])
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def shop_events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
