@@ -142,32 +142,29 @@ def sessionize(df: DataFrame, user: str = "user_id", ts: str = "event_time", tie
     """Number each user's sessions: ``out`` = count of gaps > ``gap_seconds``
     before the row in (ts, tiebreak) order.
 
-    A window over one user would put a hot user in one task, so the order is
-    cut into time buckets: lags and running gap counts are taken inside
-    (user, bucket); a small per-bucket table carries the last time of the
-    previous bucket and the gaps before it (a two-level prefix sum).  The
-    bucket table has at most one row per user and active hour.
+    A window over one user would put a hot user in one task.  Instead time is
+    cut into buckets no longer than the gap, so two events of one bucket are
+    never more than a gap apart and every row of a bucket shares its session
+    number.  A partial/final aggregate gives each (user, bucket) its first and
+    last time; a window over the user's buckets (at most one row per active
+    hour) flags a new session where a bucket starts more than a gap after the
+    previous one ends, and sums the flags; one join brings the number back to
+    the rows (AQE splits a hot (user, bucket) partition).  No row-level sort.
     """
+    if bucket_seconds > gap_seconds:
+        raise ValueError("bucket_seconds must not exceed gap_seconds")
     gap_us = gap_seconds * 1_000_000
-    d = df.withColumn("_us", micros(ts)).withColumn("_tb", F.floor(F.col("_us") / (bucket_seconds * 1_000_000)))
-    w = Window.partitionBy(user, "_tb").orderBy("_us", tiebreak)
-    prev = F.lag("_us").over(w)
-    d = d.withColumn("_g", F.when(prev.isNotNull() & (F.col("_us") - prev > gap_us), 1).otherwise(0))
-    d = d.withColumn("_cg", F.sum("_g").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    buckets = d.groupBy(user, "_tb").agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-                                         F.sum("_g").alias("_inner"))
+    d = df.withColumn("_tb", F.floor(micros(ts) / (bucket_seconds * 1_000_000)))
+    buckets = d.groupBy(user, "_tb").agg(F.min(micros(ts)).alias("_first"), F.max(micros(ts)).alias("_last"))
     wb = Window.partitionBy(user).orderBy("_tb")
     prev_last = F.lag("_last").over(wb)
     buckets = buckets.withColumn(
         "_fg", F.when(prev_last.isNotNull() & (F.col("_first") - prev_last > gap_us), 1).otherwise(0))
-    buckets = buckets.withColumn(
-        "_off", F.coalesce(F.sum(F.col("_inner") + F.col("_fg")).over(
-            wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    buckets = buckets.select(user, "_tb", F.sum("_fg").over(wb.rowsBetween(Window.unboundedPreceding, 0))
+                             .cast("bigint").alias(out))
     # every (user, bucket) of d is in the bucket table: the left join keeps rows
-    # and lets Catalyst drop the whole numbering when no caller uses it
-    d = d.join(buckets.select(user, "_tb", "_fg", "_off"), [user, "_tb"], "left")
-    return d.withColumn(out, (F.col("_off") + F.col("_fg") + F.col("_cg")).cast("bigint")) \
-            .drop("_us", "_tb", "_g", "_cg", "_fg", "_off")
+    # and lets Catalyst drop the numbering when no caller uses it
+    return d.join(buckets, [user, "_tb"], "left").drop("_tb")
 
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
