@@ -90,29 +90,59 @@ def _when_np(c: Column) -> Column:
     return F.when(non_purchase(), c)
 
 
-def _rollup_aggs() -> list[Column]:
+def _rollup(ev: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact session rollup in two hash aggregates, no Expand and no object
+    aggregate.
+
+    Every event yields one row per kind: kind 0 carries the statistics; kinds
+    1/2 carry the product / category id of non-purchase rows; kind 3 carries
+    the main category of any row.  Step 1 groups by (keys, kind, item): kind 0
+    collapses to one row per session with all features, kinds 1-3 dedupe
+    (and count) items.  Step 2 groups by the keys: distinct counts are row
+    counts, the mode is ``min_by(item, (-count, item))``.  A hot session is
+    spread over its items in step 1 and pre-aggregated on every mapper.
+    """
     np_ = non_purchase()
     price = F.col("price").cast("double")
     us = micros("event_time")
-    return [
-        # first row in time order, non-purchase rows before purchase rows
-        F.min_by("user_id", F.struct(np_.cast("int") * -1, us, F.col("event_id"))).alias("user_id"),
-        F.sum(F.when(np_, is_type(VIEW))).alias("n_view"),
-        F.sum(F.when(np_, is_type(CART))).alias("n_cart"),
-        F.sum(F.when(np_, is_type(REMOVE))).alias("n_remove"),
-        F.count(F.when(np_, F.lit(1))).alias("n_events"),
-        F.avg(_when_np(price)).alias("avg_price"),
-        F.max(_when_np(price)).alias("max_price"),
-        F.min(_when_np(price)).alias("min_price"),
-        F.stddev_samp(_when_np(price)).alias("price_std"),
-        F.count_distinct(_when_np(F.col("product_id"))).alias("unique_products"),
-        F.count_distinct(_when_np(F.col("category_id"))).alias("unique_categories"),
-        F.max(_when_np(F.col("brand").isNotNull().cast("int"))).alias("has_brand"),
-        F.min(_when_np(F.col("event_time"))).alias("_ts_min"),
-        F.max(_when_np(F.col("event_time"))).alias("_ts_max"),
-        F.max(is_type(PURCHASE)).alias("purchased"),
-        F.mode("main_cat", True).alias("main_cat"),
-    ]
+    kinds = F.array(
+        F.struct(F.lit(0).alias("k"), F.lit(None).cast("string").alias("item")),
+        F.struct(F.lit(1).alias("k"), F.when(np_, F.col("product_id").cast("string")).alias("item")),
+        F.struct(F.lit(2).alias("k"), F.when(np_, F.col("category_id").cast("string")).alias("item")),
+        F.struct(F.lit(3).alias("k"), F.col("main_cat").alias("item")))
+    x = ev.select(*keys, "user_id", "event_type", "price", "brand", "event_time", "event_id",
+                  F.inline(F.filter(kinds, lambda e: (e["k"] == 0) | e["item"].isNotNull())))
+    is0 = F.col("k") == 0
+
+    def k0(c):
+        return F.when(is0, c)
+
+    step1 = x.groupBy(*keys, "k", "item").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min_by(k0(F.col("user_id")), k0(F.struct(np_.cast("int") * -1, us, F.col("event_id")))).alias("user_id"),
+        F.sum(k0(F.when(np_, is_type(VIEW)))).alias("n_view"),
+        F.sum(k0(F.when(np_, is_type(CART)))).alias("n_cart"),
+        F.sum(k0(F.when(np_, is_type(REMOVE)))).alias("n_remove"),
+        F.count(k0(F.when(np_, F.lit(1)))).alias("n_events"),
+        F.avg(k0(F.when(np_, price))).alias("avg_price"),
+        F.max(k0(F.when(np_, price))).alias("max_price"),
+        F.min(k0(F.when(np_, price))).alias("min_price"),
+        F.stddev_samp(k0(F.when(np_, price))).alias("price_std"),
+        F.max(k0(F.when(np_, F.col("brand").isNotNull().cast("int")))).alias("has_brand"),
+        F.min(k0(F.when(np_, F.col("event_time")))).alias("_ts_min"),
+        F.max(k0(F.when(np_, F.col("event_time")))).alias("_ts_max"),
+        F.max(k0(is_type(PURCHASE))).alias("purchased"),
+    )
+    s0 = F.col("k") == 0
+    stats = ["user_id", "n_view", "n_cart", "n_remove", "n_events", "avg_price", "max_price", "min_price",
+             "price_std", "has_brand", "_ts_min", "_ts_max", "purchased"]
+    return step1.groupBy(*keys).agg(
+        *[F.max(F.when(s0, F.col(c))).alias(c) for c in stats],
+        F.count_if(F.col("k") == 1).alias("unique_products"),
+        F.count_if(F.col("k") == 2).alias("unique_categories"),
+        F.min_by(F.when(F.col("k") == 3, F.col("item")),
+                 F.when(F.col("k") == 3, F.struct(-F.col("_n"), F.col("item")))).alias("main_cat"),
+    )
 
 
 def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -128,7 +158,7 @@ def session_features(events_with_cat: DataFrame, by: list[str] | None = None) ->
     already carry ``main_cat``.  NULL session keys are dropped first."""
     keys = (by or []) + [KEY]
     ev = events_with_cat.filter(F.col(KEY).isNotNull())
-    return _finish(ev.groupBy(*keys).agg(*_rollup_aggs()), extra=by)
+    return _finish(_rollup(ev, keys), extra=by)
 
 
 def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataFrame | None = None) -> DataFrame:
