@@ -1235,3 +1235,21 @@ def q_windowed_sessions(spark, d):
 
 REGISTRY["raw_for_sessions"].sql = (W(*X.BASE) + _SAMPLE_CTES + f" SELECT event_id, {RAW9}, period FROM shop_events "
                                     "WHERE user_session IN (SELECT user_session FROM smp)")
+
+
+def _audit_sql() -> str:
+    names = ["inv_event_sum", "univariate_auc_check", "inv_cat_le_prod", "decile_purity", "range_checks", "null_free",
+             "non_negative", "unique_keys", "subset", "pure_purchase", "single_event", "outlier_sessions",
+             "negative_price", "weight_ratio"]
+    parts = [f"SELECT * FROM ({REGISTRY[n].sql})" for n in names]
+    spot = (W(*X.BASE) + _SPOT_SQL + ", a AS (SELECT count(*) FILTER (WHERE n_mismatch > 0) AS v FROM cmp) " +
+            _check_sql("spot-check sessions vs manual aggregation", "v", "v = 0", "a"))
+    parts.append(f"SELECT * FROM ({spot})")
+    allc = " UNION ALL ".join(parts)
+    return (f"WITH allc AS ({allc}) SELECT * FROM allc UNION ALL SELECT 'checks passed', "
+            "CAST(count(*) FILTER (WHERE passed) AS DOUBLE), count(*) FILTER (WHERE passed) = count(passed) FROM allc")
+
+
+REGISTRY["audit_report"].sql = _audit_sql()
+_audit_build = REGISTRY["audit_report"].build
+REGISTRY["audit_report"].build = lambda spark, d: _round_doubles(_audit_build(spark, d))
