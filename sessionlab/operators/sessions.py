@@ -171,10 +171,20 @@ def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataF
     return drop_categories(session_features(fill_main_cat(events, cm)), drop)
 
 
+def exact_mode(df: DataFrame, keys: list[str], col: str, out: str | None = None) -> DataFrame:
+    """Most frequent non-NULL ``col`` per ``keys`` (ties -> smallest; NULL when
+    a group has no value).  Counts per (keys, value) first (partial/final), then
+    ``min_by(value, (-count, value))``: two hash aggregates, no per-group map,
+    and a hot group is spread over its values."""
+    counts = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    has = F.col(col).isNotNull()
+    return counts.groupBy(*keys).agg(
+        F.min_by(F.when(has, F.col(col)), F.when(has, F.struct(-F.col("_n"), F.col(col)))).alias(out or col))
+
+
 def session_main_cat(events_with_cat: DataFrame) -> DataFrame:
     """Most frequent main_cat per session over all events, ties -> smallest."""
-    return (events_with_cat.filter(F.col(KEY).isNotNull()).groupBy(KEY)
-            .agg(F.mode("main_cat", True).alias("main_cat")))
+    return exact_mode(events_with_cat.filter(F.col(KEY).isNotNull()), [KEY], "main_cat")
 
 
 def purchase_label(events: DataFrame) -> DataFrame:
@@ -210,10 +220,12 @@ def merge_partials(parts: DataFrame, period: str = "period") -> DataFrame:
         F.sum("unique_products").alias("unique_products"),
         F.sum("unique_categories").alias("unique_categories"),
         F.max("has_brand").alias("has_brand"),
-        F.mode("main_cat", True).alias("main_cat"),
         F.max("purchased").alias("purchased"),
         F.sum(F.col("session_duration_sec").cast("double")).alias("session_duration_sec"),
     )
+    # parts of one session carry at most one row per period: the mode join is
+    # between two tables keyed by session
+    merged = merged.join(exact_mode(parts, [KEY], "main_cat"), KEY, "left")
     return fill_missing(merged).select(*[c for c in parts.columns if c != period])
 
 

@@ -634,7 +634,7 @@ def _bin_scores(spark, d, src: DataFrame | None = None, col_num: str = "n_cart")
 
 def _mc_scores(spark, d) -> DataFrame:
     fc = _feats_cat(spark, d)
-    rule = fc.groupBy("n_events").agg(F.mode("main_cat", True).alias("pred"))
+    rule = S.exact_mode(fc, ["n_events"], "main_cat", "pred")
     return J.lookup_join(fc.select("user_session", "n_events", F.col("main_cat").alias("label")), rule, "n_events",
                          "inner", cache=True).drop("n_events")
 
