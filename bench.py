@@ -19,8 +19,10 @@ from sessionlab.config import build_session  # noqa: E402
 from sessionlab.operators import joins  # noqa: E402
 from sessionlab.plans.registry import REGISTRY  # noqa: E402
 
-HEADLINE = ["sessions_all", "sessions_wide", "monthly_merge", "univariate_auc", "roc_auc", "stratified_split",
-            "feature_summary", "audit_report"]
+# phase 1 (events -> sessions, exact and monthly-merge, wide view), phase 2
+# (features), evaluation, splits, audit
+HEADLINE = ["sessions_all", "sessions_wide", "monthly_merge", "add_features", "univariate_auc", "roc_auc",
+            "classification_report", "stratified_split", "feature_summary", "audit_report"]
 
 
 def main() -> None:
