@@ -83,3 +83,31 @@ def test_quotas_largest_remainder(spark):
     df = spark.createDataFrame([(f"k{i}", r[0]) for i, r in enumerate(rows)], "user_session string, y string")
     q = {r.y: r.n_test for r in D.split_quotas(df, "y").collect()}
     assert sum(q.values()) == 2
+
+
+def test_roc_and_pr_curves_brute_force(spark):
+    rnd = random.Random(11)
+    pairs = [(rnd.randint(0, 1), rnd.choice([0.05, 0.3, 0.3, 0.7, 1.0, -2.0])) for _ in range(300)]
+    df = spark.createDataFrame(pairs, "label int, proba double")
+    P = sum(y for y, _ in pairs)
+    N = len(pairs) - P
+    roc = {r.threshold: (r.fpr, r.tpr) for r in E.roc_curve(df).collect()}
+    pr = {r.threshold: (r.precision, r.recall) for r in E.pr_curve(df).collect()}
+    for t in {s for _, s in pairs}:
+        tp = sum(1 for y, s in pairs if s >= t and y == 1)
+        fp = sum(1 for y, s in pairs if s >= t and y == 0)
+        assert roc[t] == pytest.approx((fp / N, tp / P))
+        assert pr[t] == pytest.approx((tp / (tp + fp), tp / P))
+    assert roc[None] == (0.0, 0.0) and pr[None] == (1.0, 0.0)
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from sessionlab.operators.stats import exact_quantiles
+    rnd = random.Random(2)
+    xs = [float(rnd.choice([1, 2, 2, 3, 10, 10, 10, 55])) + rnd.random() * (i % 3 == 0) for i in range(501)]
+    df = spark.createDataFrame([("f", x) for x in xs], "feature string, x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    got = {r.p: r.q for r in exact_quantiles(df, ["feature"], "x", probs).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.quantile(xs, p)), abs=1e-9)
