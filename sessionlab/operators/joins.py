@@ -59,10 +59,11 @@ def keys_join(big: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row: a broadcast
-    hash join on a constant key (the build side is a single row)."""
-    k = "_scalar_key"
-    return df.withColumn(k, F.lit(0)).join(F.broadcast(one_row.withColumn(k, F.lit(0))), k).drop(k)
+    """Attach the columns of a one-row aggregate to every row as a scalar
+    subquery (evaluated once, inlined into the plan): no join at all."""
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in cols])
 
 
 # --- J operators -----------------------------------------------------------
