@@ -9,13 +9,13 @@ mapper and never collected into a list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.constants import (CART, COUNT_COLS, DEFAULT_DROP_CATEGORIES, FLOAT_COLS, PURCHASE, REMOVE,
                                   VIEW)
-from sessionlab.functions.exprs import duration_seconds, is_type, micros, non_purchase
-from sessionlab.operators.joins import fill_main_cat
+from sessionlab.functions.exprs import duration_seconds, is_type, main_cat_of, micros, non_purchase
+from sessionlab.operators.joins import fill_main_cat, lookup_join
 
 KEY = "user_session"
 
@@ -75,13 +75,19 @@ def category_map(events: DataFrame, period: str | None = "period", tiebreak: str
     """One code per category id.
 
     Within a period the first code seen wins (time, then ``tiebreak`` order);
-    a later period overwrites an earlier one.  One partial/final aggregate.
-    """
-    order = [F.col(period)] if period else []
-    order += [-micros("event_time"), -F.col(tiebreak)]
-    return (events.filter(F.col("category_code").isNotNull())
-            .groupBy("category_id")
-            .agg(F.max_by("category_code", F.struct(*order)).alias("category_code")))
+    a later period overwrites an earlier one.  Step 1 groups by (category,
+    code) and keeps each code's best order key, packed into one decimal (a
+    hash aggregate over the events); step 2 picks the best code per category
+    on that small table."""
+    per = F.col(period).cast("long") if period else F.lit(0).cast("long")
+    # larger key = preferred inside a period: earlier time, then smaller id
+    key = ((_dec(10**17) - micros("event_time").cast(_D38)) * _dec(10**20)
+           + (_dec(2**63) - F.col(tiebreak).cast(_D38)))
+    codes = (events.filter(F.col("category_code").isNotNull()).withColumn("_p", per)
+             .groupBy("category_id", "_p", "category_code").agg(F.max(key).alias("_k")))
+    # later period wins: one row per (category, period, code), a small table
+    return codes.groupBy("category_id").agg(
+        F.max_by("category_code", F.struct("_p", "_k")).alias("category_code"))
 
 
 # --- B2/B3: session rollup ---------------------------------------------------
@@ -90,26 +96,56 @@ def _when_np(c: Column) -> Column:
     return F.when(non_purchase(), c)
 
 
-def _rollup(ev: DataFrame, keys: list[str]) -> DataFrame:
-    """Exact session rollup in two hash aggregates, no Expand and no object
-    aggregate.
+_D38 = "decimal(38,0)"
+
+
+def _dec(v: int) -> Column:
+    return F.lit(str(v)).cast(_D38)
+
+
+def first_row_key(np_: Column, us: Column, tiebreak: Column) -> Column:
+    """Exact order key (non-purchase rows first, then time, then tie-break id)
+    packed into one DECIMAL(38,0): purchase flag * 4e37 + (us + 1e17) * 1e20 +
+    (id + 2^63).  Unlike a struct it keeps the min-by buffer fixed-width, so
+    the aggregate stays a hash aggregate."""
+    return (F.when(np_, 0).otherwise(1).cast(_D38) * _dec(4 * 10**37)
+            + (us.cast(_D38) + _dec(10**17)) * _dec(10**20)
+            + (tiebreak.cast(_D38) + _dec(2**63)))
+
+
+def main_cat_vocab(cat_map: DataFrame) -> DataFrame:
+    """Main categories of a category map with alphabetical dense ids (one row
+    per class)."""
+    names = cat_map.select(main_cat_of("category_code").alias("main_cat")).distinct()
+    return names.withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long"))
+
+
+def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> DataFrame:
+    """Exact session rollup in hash aggregates (no Expand, no object or
+    sort-based aggregate over the events).
 
     Every event yields one row per kind: kind 0 carries the statistics; kinds
     1/2 carry the product / category id of non-purchase rows; kind 3 carries
-    the main category of any row.  Step 1 groups by (keys, kind, item): kind 0
-    collapses to one row per session with all features, kinds 1-3 dedupe
-    (and count) items.  Step 2 groups by the keys: distinct counts are row
-    counts, the mode is ``min_by(item, (-count, item))``.  A hot session is
-    spread over its items in step 1 and pre-aggregated on every mapper.
+    the id of the row's main category (ids follow the alphabetical order of a
+    bounded vocabulary table).  Step 1 groups by (keys, kind, item): kind 0
+    collapses to one row per session with all features, kinds 1-3 dedupe and
+    count items.  Step 2 groups by the keys: distinct counts are row counts,
+    the mode is ``min_by(id, (-count, id))``; the id maps back to its name.
+    A hot session is spread over its items in step 1 and pre-aggregated on
+    every mapper.
     """
+    if vocab is None:  # events of unknown origin: take the names they carry
+        vocab = (ev.select("main_cat").filter(F.col("main_cat").isNotNull()).distinct()
+                 .withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long")))
+    ev = lookup_join(ev, vocab, "main_cat", "left", cache=True)
     np_ = non_purchase()
     price = F.col("price").cast("double")
     us = micros("event_time")
     kinds = F.array(
-        F.struct(F.lit(0).alias("k"), F.lit(None).cast("string").alias("item")),
-        F.struct(F.lit(1).alias("k"), F.when(np_, F.col("product_id").cast("string")).alias("item")),
-        F.struct(F.lit(2).alias("k"), F.when(np_, F.col("category_id").cast("string")).alias("item")),
-        F.struct(F.lit(3).alias("k"), F.col("main_cat").alias("item")))
+        F.struct(F.lit(0).alias("k"), F.lit(None).cast("long").alias("item")),
+        F.struct(F.lit(1).alias("k"), F.when(np_, F.col("product_id").cast("long")).alias("item")),
+        F.struct(F.lit(2).alias("k"), F.when(np_, F.col("category_id").cast("long")).alias("item")),
+        F.struct(F.lit(3).alias("k"), F.col("_cid").alias("item")))
     x = ev.select(*keys, "user_id", "event_type", "price", "brand", "event_time", "event_id",
                   F.inline(F.filter(kinds, lambda e: (e["k"] == 0) | e["item"].isNotNull())))
     is0 = F.col("k") == 0
@@ -119,7 +155,7 @@ def _rollup(ev: DataFrame, keys: list[str]) -> DataFrame:
 
     step1 = x.groupBy(*keys, "k", "item").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min_by(k0(F.col("user_id")), k0(F.struct(np_.cast("int") * -1, us, F.col("event_id")))).alias("user_id"),
+        F.min_by(k0(F.col("user_id")), k0(first_row_key(np_, us, F.col("event_id")))).alias("user_id"),
         F.sum(k0(F.when(np_, is_type(VIEW)))).alias("n_view"),
         F.sum(k0(F.when(np_, is_type(CART)))).alias("n_cart"),
         F.sum(k0(F.when(np_, is_type(REMOVE)))).alias("n_remove"),
@@ -134,15 +170,18 @@ def _rollup(ev: DataFrame, keys: list[str]) -> DataFrame:
         F.max(k0(is_type(PURCHASE))).alias("purchased"),
     )
     s0 = F.col("k") == 0
+    is3 = F.col("k") == 3
     stats = ["user_id", "n_view", "n_cart", "n_remove", "n_events", "avg_price", "max_price", "min_price",
              "price_std", "has_brand", "_ts_min", "_ts_max", "purchased"]
-    return step1.groupBy(*keys).agg(
+    mode_key = F.when(is3, (-F.col("_n")).cast(_D38) * _dec(10**20) + F.col("item").cast(_D38))
+    out = step1.groupBy(*keys).agg(
         *[F.max(F.when(s0, F.col(c))).alias(c) for c in stats],
         F.count_if(F.col("k") == 1).alias("unique_products"),
         F.count_if(F.col("k") == 2).alias("unique_categories"),
-        F.min_by(F.when(F.col("k") == 3, F.col("item")),
-                 F.when(F.col("k") == 3, F.struct(-F.col("_n"), F.col("item")))).alias("main_cat"),
+        F.min_by(F.when(is3, F.col("item")), mode_key).alias("_cid"),
     )
+    names = vocab.select("_cid", "main_cat")
+    return lookup_join(out, names, "_cid", "left", cache=True).drop("_cid")
 
 
 def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -153,12 +192,13 @@ def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:
                       "unique_categories", "has_brand", "session_duration_sec", "purchased", "main_cat")
 
 
-def session_features(events_with_cat: DataFrame, by: list[str] | None = None) -> DataFrame:
+def session_features(events_with_cat: DataFrame, by: list[str] | None = None,
+                     vocab: DataFrame | None = None) -> DataFrame:
     """B2+B6+B4: one row per session (per ``by`` + session) from events that
     already carry ``main_cat``.  NULL session keys are dropped first."""
     keys = (by or []) + [KEY]
     ev = events_with_cat.filter(F.col(KEY).isNotNull())
-    return _finish(_rollup(ev, keys), extra=by)
+    return _finish(_rollup(ev, keys, vocab), extra=by)
 
 
 def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataFrame | None = None) -> DataFrame:
@@ -168,7 +208,7 @@ def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataF
     -> rare-class drop (NULL kept).
     """
     cm = category_map(events) if cat_map is None else cat_map
-    return drop_categories(session_features(fill_main_cat(events, cm)), drop)
+    return drop_categories(session_features(fill_main_cat(events, cm), vocab=main_cat_vocab(cm)), drop)
 
 
 def exact_mode(df: DataFrame, keys: list[str], col: str, out: str | None = None) -> DataFrame:
@@ -205,7 +245,7 @@ def monthly_merge(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, period: str =
     aggregates; the second runs on the (much smaller) partial table.
     """
     cm = category_map(events, period) if cat_map is None else cat_map
-    parts = session_features(fill_main_cat(events, cm), by=[period])
+    parts = session_features(fill_main_cat(events, cm), by=[period], vocab=main_cat_vocab(cm))
     return drop_categories(merge_partials(parts, period), drop)
 
 
