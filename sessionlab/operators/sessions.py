@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sessionlab.constants import (CART, COUNT_COLS, DEFAULT_DROP_CATEGORIES, FLOAT_COLS, PURCHASE, REMOVE,
                                   VIEW)
 from sessionlab.functions.exprs import duration_seconds, is_type, main_cat_of, micros, non_purchase
-from sessionlab.operators.joins import fill_main_cat, lookup_join
+from sessionlab.operators.joins import bounded_join, fill_main_cat
 
 KEY = "user_session"
 
@@ -137,7 +137,9 @@ def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> D
     if vocab is None:  # events of unknown origin: take the names they carry
         vocab = (ev.select("main_cat").filter(F.col("main_cat").isNotNull()).distinct()
                  .withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long")))
-    ev = lookup_join(ev, vocab, "main_cat", "left", cache=True)
+    # the vocabulary has at most one row per category of the (size-checked)
+    # category map
+    ev = bounded_join(ev, vocab, "main_cat", "left")
     np_ = non_purchase()
     price = F.col("price").cast("double")
     us = micros("event_time")
@@ -181,7 +183,7 @@ def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> D
         F.min_by(F.when(is3, F.col("item")), mode_key).alias("_cid"),
     )
     names = vocab.select("_cid", "main_cat")
-    return lookup_join(out, names, "_cid", "left", cache=True).drop("_cid")
+    return bounded_join(out, names, "_cid", "left").drop("_cid")
 
 
 def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -349,7 +349,8 @@ def q_category_map(spark, d):
 @register("session_features", W(*X.BASE) + f"SELECT {SC} FROM sess0")
 def q_session_features(spark, d):
     ev = _ev(spark, d)
-    return S.session_features(J.fill_main_cat(ev, S.category_map(ev)))
+    cm = S.category_map(shop_events_base(spark, d))
+    return S.session_features(J.fill_main_cat(ev, cm), vocab=S.main_cat_vocab(cm))
 
 
 @register("sessions_all", W(*X.BASE) + f"SELECT {SC} FROM sessions_all")
