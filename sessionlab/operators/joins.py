@@ -45,8 +45,10 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_row
 
 def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
     """Broadcast join for sides whose size is bounded by construction, not by
-    the data volume: one row per class, per feature, per hash bucket or per
-    value range.  Callers state the bound where they call it."""
+    the data: one row per feature (a list fixed in code), or a subset of a side
+    that was already measured.  Callers state the bound where they call it;
+    anything keyed by data values (classes, buckets) goes through
+    ``lookup_join``."""
     return big.join(F.broadcast(small), on, how)
 
 

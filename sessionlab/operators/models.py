@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.constants import FEATURE_COLS, RANDOM_STATE, THRESHOLD
-from sessionlab.operators.joins import bounded_join, with_scalars
+from sessionlab.operators.joins import lookup_join, with_scalars
 from sessionlab.operators.stats import with_class_weight
 
 
@@ -36,7 +36,7 @@ def label_index(df: DataFrame, label: str = "main_cat", out: str = "label_idx")
     """M2: alphabetical label codes 0..k-1 (dense rank over the class table)."""
     classes = df.select(label).filter(F.col(label).isNotNull()).distinct()
     classes = classes.withColumn(out, (F.dense_rank().over(Window.orderBy(label)) - 1).cast("int"))  # k rows
-    return bounded_join(df, classes, label, "inner")  # one row per class
+    return lookup_join(df, classes, label, "inner", cache=True)  # one row per class, measured
 
 
 def _assembler():
@@ -114,7 +114,7 @@ def score_multiclass(model: PipelineModel, df: DataFrame, classes: DataFrame, ke
     """M7 (multi-class): (key, label, pred) with class names restored."""
     s = model.transform(df).select(key, F.col(label).alias("label"), F.col("prediction").cast("int").alias("_pi"))
     names = classes.select(F.col("label_idx").alias("_pi"), F.col(label).alias("pred"))
-    return bounded_join(s, names, "_pi").drop("_pi")  # one row per class
+    return lookup_join(s, names, "_pi", "inner", cache=True).drop("_pi")  # one row per class, measured
 
 
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.operators.joins import bounded_join
+from sessionlab.operators.joins import lookup_join
 
 
 def order_bucket(value: str | Column, mantissa_bits: int = 6) -> Column:
@@ -49,8 +49,8 @@ def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] |
             F.sum(f"_bt_{c}").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         tot = tot.withColumn(f"{c}_tot", F.sum(f"_bt_{c}").over(whole))
     tot = tot.select(*groups, "_b", *[f"_off_{c}" for c in sums], *[f"{c}_tot" for c in sums])
-    # bounded by construction: (#groups x value ranges) rows
-    out = bounded_join(bucketed, tot, [*groups, "_b"], "inner")
+    # (#groups x value ranges) rows: measured before it is broadcast
+    out = lookup_join(bucketed, tot, [*groups, "_b"], "inner", cache=True)
     wb = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     for c in sums:
         out = out.withColumn(f"{c}_le", F.col(f"_off_{c}") + F.sum(c).over(wb))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sessionlab.constants import N_FOLDS, RANDOM_STATE, TEST_SIZE
 from sessionlab.functions.exprs import hash_bucket, split_hash
-from sessionlab.operators.joins import bounded_join, with_scalars
+from sessionlab.operators.joins import lookup_join, with_scalars
 
 
 def class_rank(df: DataFrame, label: str | None, key: str = "user_session", seed: int = RANDOM_STATE,
@@ -26,8 +26,9 @@ def class_rank(df: DataFrame, label: str | None, key: str = "user_session", seed
     wo = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy("_hb")
     sizes = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
                                                 F.lit(0))).drop("_n")
-    # bounded by construction: (#classes x 2**bits) rows
-    d = bounded_join(d, sizes, [*groups, "_hb"], "inner")
+    # (#classes x 2**bits) rows: the class count comes from the data, so the
+    # side is measured before it is broadcast
+    d = lookup_join(d, sizes, [*groups, "_hb"], "inner", cache=True)
     wr = Window.partitionBy(*groups, "_hb").orderBy("_h", key)
     return d.withColumn(out, F.col("_off") + F.row_number().over(wr)).drop("_h", "_hb", "_off")
 
@@ -54,7 +55,7 @@ def stratified_split(df: DataFrame, label: str, key: str = "user_session", test_
     """Adds ``split`` = 'train' / 'test', class shares preserved."""
     q = split_quotas(df, label, test_size).select(label, "n_test")
     r = class_rank(df, label, key, seed, out="_r")
-    r = bounded_join(r, q, label, "inner")  # one row per class
+    r = lookup_join(r, q, label, "inner", cache=True)  # one row per class, measured
     return r.withColumn("split", F.when(F.col("_r") <= F.col("n_test"), "test").otherwise("train")) \
             .drop("_r", "n_test")
 
@@ -67,7 +68,7 @@ def stratified_kfold(df: DataFrame, label: str, key: str = "user_session", k: in
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)  # one row per class
     sizes = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    r = bounded_join(r, sizes, label, "inner")
+    r = lookup_join(r, sizes, label, "inner", cache=True)  # one row per class, measured
     return r.withColumn("fold", ((F.col("_o") + F.col("_r") - 1) % k).cast("int")).drop("_r", "_o")
 
 

@@ -15,7 +15,7 @@ from sessionlab.constants import (DECILES, FEATURE_COLS, HIST_BINS, HIST_FEATURE
                                   OUTLIER_QUANTILE)
 from sessionlab.functions.exprs import safe_div
 from sessionlab.operators.features import to_long
-from sessionlab.operators.joins import bounded_join, with_scalars
+from sessionlab.operators.joins import bounded_join, lookup_join, with_scalars
 from sessionlab.operators.prefix import running_sums
 
 
@@ -122,7 +122,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, out: str = "w") -> DataFrame:
     """Attach the balanced weight as a column (class table: one row per class)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return bounded_join(df, w, label, "inner")  # one row per class
+    return lookup_join(df, w, label, "inner", cache=True)  # one row per class, measured
 
 
 def scale_pos_weight(df: DataFrame, label: str = "purchased") -> DataFrame:
