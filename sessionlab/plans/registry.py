@@ -24,7 +24,6 @@ from sessionlab.operators import stats as B
 from sessionlab.operators.features import add_features, select_features
 from sessionlab.plans import sql as X
 from sessionlab.sources.events import shop_events, shop_events_base, wide_events
-from sessionlab.sources.tables import read_table
 
 
 @dataclass

@@ -1,7 +1,6 @@
 """Every registered query with an oracle agrees with DuckDB at sf0.001."""
 
 import math
-import os
 
 import duckdb
 import pytest

@@ -111,3 +111,23 @@ def test_exact_quantiles_match_numpy(spark):
     got = {r.p: r.q for r in exact_quantiles(df, ["feature"], "x", probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(xs, p)), abs=1e-9)
+
+
+def test_results_do_not_depend_on_partitioning(spark):
+    """Ranks, running sums and session numbers are identical for any shuffle
+    partition count (order keys are data, not task order)."""
+    rnd = random.Random(4)
+    rows = [(f"k{i}", rnd.randint(0, 2), rnd.choice([0.1, 0.5, 0.5, rnd.random()])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "user_session string, y int, proba double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("3", "37"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            ranks = {r.user_session: r.rank for r in D.class_rank(df.repartition(int(n)), "y").collect()}
+            scores = df.withColumn("label", (F.col("y") == 1).cast("int"))
+            auc = E.roc_auc(scores).first().roc_auc
+            out.append((ranks, auc))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
