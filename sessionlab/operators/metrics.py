@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from sessionlab.constants import THRESHOLD
 from sessionlab.functions.exprs import safe_div
-from sessionlab.operators.prefix import running_sums
+from sessionlab.operators.joins import with_scalars
+from sessionlab.operators.prefix import running_sums, with_previous
 
 
 def threshold_predict(scores: DataFrame, proba: str = "proba", threshold: float = THRESHOLD,
@@ -64,10 +65,19 @@ def roc_auc(scores: DataFrame, label: str = "label", proba: str = "proba", by: l
     return agg.select(*by, auc.alias("roc_auc"))
 
 
-def roc_curve(scores: DataFrame, label: str = "label", proba: str = "proba") -> DataFrame:
-    """One (fpr, tpr) point per distinct score (score >= threshold) plus the
-    origin with a NULL threshold."""
+def roc_curve(scores: DataFrame, label: str = "label", proba: str = "proba",
+              drop_intermediate: bool = True) -> DataFrame:
+    """(fpr, tpr) per distinct score (score >= threshold) plus the origin
+    with a NULL threshold.  With ``drop_intermediate`` a point is kept only
+    where the curve bends: the next point's (positives, negatives) step differs
+    from this point's; the highest and lowest thresholds always stay."""
     rs = _score_counts(scores, label, proba, [])
+    if drop_intermediate:
+        rs = with_previous(rs, proba, ["pos", "neg"])
+        rs = with_scalars(rs, rs.agg(F.max(proba).alias("_top_score")))
+        keep = (F.col("prev_pos").isNull() | (F.col(proba) == F.col("_top_score"))
+                | (F.col("prev_pos") != F.col("pos")) | (F.col("prev_neg") != F.col("neg")))
+        rs = rs.filter(keep)
     tps = F.col("pos_tot") - F.col("pos_le") + F.col("pos")
     fps = F.col("neg_tot") - F.col("neg_le") + F.col("neg")
     pts = rs.select(F.col(proba).cast("double").alias("threshold"),

@@ -58,3 +58,24 @@ def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] |
 
 
 __all__ = ["order_bucket", "running_sums"]
+
+
+def with_previous(df: DataFrame, value: str, cols: list[str], groups: list[str] | None = None) -> DataFrame:
+    """Attach ``prev_<c>``: the columns of the row with the next smaller
+    ``value`` (one row per distinct value and group), without a global window:
+    a lag inside each value range plus, for a range's first row, the last row
+    of the previous non-empty range (a small per-range table)."""
+    groups = groups or []
+    b = df.withColumn("_b", order_bucket(value))
+    w = Window.partitionBy(*groups, "_b").orderBy(value)
+    for c in cols:
+        b = b.withColumn(f"_lag_{c}", F.lag(c).over(w))
+    last = b.groupBy(*groups, "_b").agg(
+        *[F.max_by(c, F.col(value)).alias(f"_last_{c}") for c in cols])
+    wb = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy("_b")  # one row per range
+    last = last.select(*groups, "_b", *[F.lag(f"_last_{c}").over(wb).alias(f"_pb_{c}") for c in cols])
+    out = lookup_join(b, last, [*groups, "_b"], "inner", cache=True)
+    first_in_range = F.row_number().over(w) == 1
+    for c in cols:
+        out = out.withColumn(f"prev_{c}", F.when(first_in_range, F.col(f"_pb_{c}")).otherwise(F.col(f"_lag_{c}")))
+    return out.drop("_b", *[f"_lag_{c}" for c in cols], *[f"_pb_{c}" for c in cols])

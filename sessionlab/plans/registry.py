@@ -677,8 +677,11 @@ def q_roc_auc(spark, d):
     return _round_doubles(E.roc_auc(_bin_scores(spark, d)))
 
 
-@register("roc_curve", W(*X.BASE_F, BIN_SCORES) + _RS_SQL + """SELECT round(proba, 6) AS threshold,
-  round(fps / neg_tot, 6) AS fpr, round(tps / pos_tot, 6) AS tpr FROM rt
+@register("roc_curve", W(*X.BASE_F, BIN_SCORES) + _RS_SQL + """
+, nx AS (SELECT *, lag(pos) OVER (ORDER BY proba) AS prev_pos, lag(neg) OVER (ORDER BY proba) AS prev_neg,
+           max(proba) OVER () AS top FROM rt)
+SELECT round(proba, 6) AS threshold, round(fps / neg_tot, 6) AS fpr, round(tps / pos_tot, 6) AS tpr FROM nx
+  WHERE prev_pos IS NULL OR proba = top OR prev_pos <> pos OR prev_neg <> neg
   UNION ALL SELECT NULL, 0.0, 0.0""")
 def q_roc_curve(spark, d):
     return _round_doubles(E.roc_curve(_bin_scores(spark, d)))

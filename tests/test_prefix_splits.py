@@ -131,3 +131,22 @@ def test_results_do_not_depend_on_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert out[0] == out[1]
+
+
+def _roc_dropped_brute(pairs):
+    """Distinct thresholds (descending) with the original's point dropping."""
+    ts = sorted({s for _, s in pairs}, reverse=True)
+    inc = [(sum(1 for y, s in pairs if s == t and y == 1), sum(1 for y, s in pairs if s == t and y == 0)) for t in ts]
+    keep = [i for i in range(len(ts)) if i in (0, len(ts) - 1) or inc[i + 1] != inc[i]]
+    return {ts[i] for i in keep}
+
+
+def test_roc_curve_drops_collinear_points(spark):
+    rnd = random.Random(21)
+    pairs = [(rnd.randint(0, 1), float(rnd.randint(0, 40))) for _ in range(200)]
+    pairs += [(1, 100.0 + i) for i in range(5)] + [(0, -1.0 - i) for i in range(5)]  # collinear runs
+    df = spark.createDataFrame(pairs, "label int, proba double")
+    got = {r.threshold for r in E.roc_curve(df).collect() if r.threshold is not None}
+    assert got == _roc_dropped_brute(pairs)
+    full = {r.threshold for r in E.roc_curve(df, drop_intermediate=False).collect() if r.threshold is not None}
+    assert full == {s for _, s in pairs} and got < full
