@@ -1173,6 +1173,13 @@ def q_cv_stability(spark, d):
     return JOBS.cv_checks(summ, "binary")
 
 
+@register("cv_stability_multiclass", None)
+def q_cv_stability_multiclass(spark, d):
+    """Q10 (multi-class): 5 folds of the one-vs-rest boosted model."""
+    summ = JOBS.cv_job(_feats_cat(spark, d), "main_cat", max_iter_gbt=max(2, GBT_ITERS // 5))
+    return JOBS.cv_checks(summ, "multiclass")
+
+
 @register("metrics_upsert", None)
 def q_metrics_upsert(spark, d):
     """A10: write binary metrics for run 'random', keep other partitions."""
