@@ -1263,3 +1263,66 @@ def _audit_sql() -> str:
 REGISTRY["audit_report"].sql = _audit_sql()
 _audit_build = REGISTRY["audit_report"].build
 REGISTRY["audit_report"].build = lambda spark, d: _round_doubles(_audit_build(spark, d))
+
+
+def _mc_eval_sql(src: str, p: str) -> str:
+    """Long (metric, label, value) rows of the n_events class rule evaluated on
+    the sessions of CTE ``src`` (the rule itself is learned on feats_cat)."""
+    return f"""
+, {p}_ms AS (SELECT f.user_session, f.main_cat AS label, r.pred FROM {src} f JOIN mcp r USING (n_events))
+, {p}_cnt AS (SELECT label, pred, count(*) AS n FROM {p}_ms GROUP BY label, pred)
+, {p}_labs AS (SELECT label AS l FROM {p}_cnt UNION SELECT pred FROM {p}_cnt)
+, {p}_cm AS (SELECT a.l AS true_label, b.l AS pred_label, coalesce(c.n, 0) AS n
+             FROM {p}_labs a JOIN {p}_labs b ON true LEFT JOIN {p}_cnt c ON c.label = a.l AND c.pred = b.l)
+, {p}_pc AS (SELECT t.true_label AS label, coalesce(tp.n / nullif(pr.p, 0), 0) AS precision,
+               coalesce(tp.n / nullif(t.s, 0), 0) AS recall, t.s AS support
+             FROM (SELECT true_label, sum(n) AS s FROM {p}_cm GROUP BY true_label) t
+             JOIN (SELECT pred_label, sum(n) AS p FROM {p}_cm GROUP BY pred_label) pr ON pr.pred_label = t.true_label
+             JOIN (SELECT true_label, n FROM {p}_cm WHERE true_label = pred_label) tp ON tp.true_label = t.true_label)
+, {p}_f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM {p}_pc)
+, {p}_m AS (SELECT 'f1' AS metric, label, f1 AS value FROM {p}_f
+            UNION ALL SELECT 'macro_f1', NULL, avg(f1) FROM {p}_f
+            UNION ALL SELECT 'weighted_f1', NULL, sum(f1 * support) / sum(support) FROM {p}_f)"""
+
+
+_MC_RULE_SQL = """
+, mc0 AS (SELECT n_events, main_cat, count(*) AS c FROM feats_cat GROUP BY n_events, main_cat)
+, mcp AS (SELECT n_events, main_cat AS pred FROM (
+            SELECT *, row_number() OVER (PARTITION BY n_events ORDER BY c DESC, main_cat) AS rn FROM mc0) WHERE rn = 1)"""
+
+
+@register("split_comparison_by_class", W(*X.BASE_F) + _split_sql("main_cat", "feats_cat") + _MONTHS_SQL + _MC_RULE_SQL + """
+, rnd_src AS (SELECT * FROM split WHERE split = 'test')
+, tmp_src AS (SELECT f.* FROM feats_cat f JOIN months m USING (user_session) WHERE m.period = 3)"""
+          + _mc_eval_sql("rnd_src", "r") + _mc_eval_sql("tmp_src", "t") + """
+SELECT 'ncat_rule' AS model, coalesce(a.metric, b.metric) AS metric, coalesce(a.label, b.label) AS label,
+  round(a.value, 6) AS random, round(b.value, 6) AS temporal, round(b.value - a.value, 6) AS delta
+FROM r_m a FULL OUTER JOIN t_m b ON a.metric = b.metric AND a.label IS NOT DISTINCT FROM b.label""")
+def q_split_comparison_by_class(spark, d):
+    """E13 by class: the n_events class rule on the random test split and on
+    the last period, per-class F1 plus macro / weighted F1, side by side."""
+    ev = _ev(spark, d)
+    f = materialize(S.categorized_sessions(add_features(
+        S.sessions_all(ev, cat_map=S.category_map(shop_events_base(spark, d))))))
+    rule = S.exact_mode(f, ["n_events"], "main_cat", "pred")
+
+    def scored(rows):
+        return J.lookup_join(rows.select("user_session", "n_events", F.col("main_cat").alias("label")), rule,
+                             "n_events", "inner", cache=True).drop("n_events")
+
+    def long_rows(sc, run):
+        pc = E.per_class_prf(E.confusion_multiclass(sc))
+        mw = E.macro_weighted_f1(pc)
+        per = pc.select(F.lit("f1").alias("metric"), "label", F.col("f1").alias("value"))
+        summ = mw.select(F.explode(F.array(
+            F.struct(F.lit("macro_f1").alias("metric"), F.lit(None).cast("string").alias("label"),
+                     F.col("macro_f1").alias("value")),
+            F.struct(F.lit("weighted_f1").alias("metric"), F.lit(None).cast("string").alias("label"),
+                     F.col("weighted_f1").alias("value")))).alias("kv")).select("kv.*")
+        return per.unionByName(summ).withColumn("run", F.lit(run)).withColumn("model", F.lit("ncat_rule"))
+
+    rnd = D.stratified_split(f, "main_cat").filter(F.col("split") == "test")
+    months = S.session_first_month(ev).select("user_session", "period")
+    tmp = J.attach_month(f, months).filter(F.col("period") == 3)
+    rows = long_rows(scored(rnd), "random").unionByName(long_rows(scored(tmp), "temporal"))
+    return _round_doubles(E.split_comparison(rows).select("model", "metric", "label", "random", "temporal", "delta"))
