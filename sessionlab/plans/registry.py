@@ -1228,7 +1228,9 @@ def q_incremental_sessions(spark, d):
 @register("windowed_sessions", None)
 def q_windowed_sessions(spark, d):
     """Streaming sessionisation without session ids: session_window (12 h
-    gap) + 1-day watermark over the event stream, appended to a memory sink."""
+    gap) + 1-day watermark over the event stream, appended to a parquet file
+    sink in the shared folder (its commit log makes a replayed batch
+    exactly-once; nothing is held on the driver)."""
     import uuid
 
     from sessionlab.streaming.incremental import windowed_sessions
@@ -1236,11 +1238,11 @@ def q_windowed_sessions(spark, d):
     _ev(spark, d).drop("user_session").write.mode("overwrite").parquet(f"{run}/source")
     schema = spark.read.parquet(f"{run}/source").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/source")
-    name = f"windowed_{uuid.uuid4().hex[:8]}"
-    q = (windowed_sessions(stream).writeStream.outputMode("append").format("memory").queryName(name)
-         .option("checkpointLocation", f"{run}/ckpt").trigger(availableNow=True).start())
+    q = (windowed_sessions(stream).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{run}/out").option("checkpointLocation", f"{run}/ckpt")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(f"{run}/out")
 
 
 REGISTRY["raw_for_sessions"].sql = (W(*X.BASE) + _SAMPLE_CTES + f" SELECT event_id, {RAW9}, period FROM shop_events "

@@ -32,3 +32,57 @@ def test_partials_merge_equals_batch(spark, tmp_path):
                 assert inc[k][c] == v, (k, c)
     # later period re-labels: category 1 maps to z.k (period 1), so 'a' has x? no: a's rows are cats 1,2,2,2
     assert inc["a"]["main_cat"] == "y"
+
+
+def test_windowed_sessions_match_gaps_and_islands(spark, tmp_path):
+    """session_window + watermark over a file stream equals gaps-and-islands
+    on sorted times; a hot user holds about a third of the events."""
+    import random
+    from datetime import timedelta
+
+    from sessionlab.streaming.incremental import windowed_sessions
+    from tests.helpers import EVENT_SCHEMA, T0
+
+    rnd, gap = random.Random(7), timedelta(hours=12)
+    rows, t_user, i = [], {}, 0
+    for _ in range(600):
+        user = 1 if rnd.random() < 0.34 else rnd.randint(2, 9)
+        step = rnd.choice([rnd.randint(1, 600), rnd.randint(13 * 60, 40 * 60)])  # minutes, never exactly 12 h
+        t_user[user] = t_user.get(user, 0) + step
+        i += 1
+        etype = rnd.choice(["view", "view", "cart", "remove_from_cart", "purchase"])
+        rows.append(ev(i, t_user[user] * 60, etype, None, price=float(rnd.randint(1, 50)), user=user))
+    rows.sort(key=lambda r: r[1])
+    src = str(tmp_path / "src")
+    flush = [ev(i + 1, 86400 * 400, "view", None, user=999)]  # moves the watermark past every session
+    for chunk in (rows[:200], rows[200:400], rows[400:], flush):
+        frame(spark, chunk).drop("user_session").coalesce(1).write.mode("append").parquet(src)
+    from pyspark.sql import types as T
+    schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "user_session"])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = str(tmp_path / "out")
+    q = (windowed_sessions(stream).writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.user_id, r.session_start): r for r in spark.read.parquet(out).filter(F.col("user_id") != 999).collect()}
+
+    want, by_user = {}, {}
+    for r in rows:
+        by_user.setdefault(r[8], []).append(r)
+    for user, evs in by_user.items():
+        groups, cur = [], [evs[0]]
+        for a, b in zip(evs, evs[1:]):
+            if b[1] - a[1] >= gap:
+                groups.append(cur)
+                cur = []
+            cur.append(b)
+        groups.append(cur)
+        for g in groups:
+            prices = [r[7] for r in g if r[2] != "purchase"]
+            want[(user, g[0][1])] = (g[-1][1] + gap, len(prices), sum(prices) / len(prices) if prices else None,
+                                     int(any(r[2] == "purchase" for r in g)))
+    assert got.keys() == want.keys()
+    for k, (end, n, avg, purchased) in want.items():
+        r = got[k]
+        assert (r.session_end, r.n_events, r.purchased) == (end, n, purchased), k
+        assert (r.avg_price is None) == (avg is None) and (avg is None or abs(r.avg_price - avg) < 1e-9), k
