@@ -139,13 +139,17 @@ def confusion_normalized(confusion: DataFrame, by: list[str] | None = None) -> D
 
 
 def per_class_prf(confusion: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Precision / recall / F1 / support per class from the matrix."""
+    """Precision / recall / F1 / support per class from the matrix, in one
+    pass: each cell counts toward its true label's support (and tp on the
+    diagonal) and toward its predicted label's predicted total."""
     by = by or []
-    tp = confusion.filter(F.col("true_label") == F.col("pred_label")).select(*by, F.col("true_label").alias("label"),
-                                                                           F.col("n").alias("tp"))
-    sup = confusion.groupBy(*by, F.col("true_label").alias("label")).agg(F.sum("n").alias("support"))
-    prd = confusion.groupBy(*by, F.col("pred_label").alias("label")).agg(F.sum("n").alias("predicted"))
-    j = tp.join(sup, [*by, "label"]).join(prd, [*by, "label"])
+    n, zero = F.col("n").cast("bigint"), F.lit(0).cast("bigint")
+    diag = F.when(F.col("true_label") == F.col("pred_label"), n).otherwise(zero)
+    cell = F.explode(F.array(
+        F.struct(F.col("true_label").alias("label"), n.alias("sup"), zero.alias("prd"), diag.alias("tp")),
+        F.struct(F.col("pred_label").alias("label"), zero.alias("sup"), n.alias("prd"), zero.alias("tp"))))
+    j = confusion.select(*by, cell.alias("_c")).select(*by, "_c.*").groupBy(*by, "label").agg(
+        F.sum("tp").alias("tp"), F.sum("sup").alias("support"), F.sum("prd").alias("predicted"))
     p = safe_div(F.col("tp"), F.col("predicted"))
     r = safe_div(F.col("tp"), F.col("support"))
     return j.select(*by, "label", p.alias("precision"), r.alias("recall"),
