@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import decontamination, line_dedup, mixing, quality_rules, simhash
+from sessionlab.llm import chat_quotes, decontamination, html_extraction, line_dedup, mixing, quality_rules, simhash, url_filter
 from sessionlab.llm.common import written
 from sessionlab.sources.tables import read_table
 
@@ -49,3 +49,86 @@ def op9_simhash_near_dedup(spark, d):
 def op10_mixing(spark, d):
     out = mixing.mix(read_table(spark, d, "documents", ["doc_id", "source", "text"]))
     return out.select("doc_id", "source", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+@register
+def op2_html_extraction(spark, d):
+    pages = read_table(spark, d, "pages", ["page_id", "url", "html"])
+    return html_extraction.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+# ---- op4: the chat has no quotes, so each turn quotes the two before it as mail does
+_TRIM = r"regexp_replace({0}, '^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$', '', 'g')"
+ORACLES["op4_chat_quotes"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, text,
+         lag(turn) OVER w AS p_turn, lag(text) OVER w AS p_text, lag(turn, 2) OVER w AS pp_turn, lag(text, 2) OVER w AS pp_text
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+l AS (
+  SELECT *, coalesce(p_turn = turn - 1 AND {_TRIM.format("coalesce(p_text, '')")} <> '', false) AS linked FROM c),
+r AS (
+  SELECT *, max(CASE WHEN NOT linked THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS thread_root FROM l)
+SELECT conv_id, turn, role, {_TRIM.format("coalesce(text, '')")} AS text,
+       CASE WHEN linked THEN turn - 1 END AS reply_to, thread_root, turn - thread_root AS depth,
+       CAST(coalesce(CASE WHEN p_turn = turn - 1 THEN len(string_split(p_text, chr(10))) END, 0)
+            + coalesce(CASE WHEN p_turn = turn - 2 THEN len(string_split(p_text, chr(10)))
+                            WHEN pp_turn = turn - 2 THEN len(string_split(pp_text, chr(10))) END, 0) AS BIGINT) AS n_quoted_lines,
+       row_number() OVER (PARTITION BY conv_id ORDER BY thread_root, turn - thread_root, turn) - 1 AS position
+FROM r"""
+
+
+@register
+def op4_chat_quotes(spark, d):
+    mail = chat_quotes.mail_view(read_table(spark, d, "conversations", ["conv_id", "turn", "role", "text"]))
+    return chat_quotes.conversations(mail).select("conv_id", "turn", "role", "text", "reply_to", "thread_root", "depth",
+                                                  "n_quoted_lines", "position")
+
+
+# ---- op7: pages are the captures, fetched when the event of their number happened; the other
+# events of a page's number (user_id) are the edits that listed or delisted its host, domain or path
+ORACLES["op7_url_filter"] = r"""
+WITH u AS (
+  SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts
+  FROM pages),
+e AS (
+  SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'h:' || host
+              WHEN event_type IN ('click', 'view') THEN 'p:' || host || '/' || parts[1]
+              WHEN event_type = 'purchase' AND len(string_split(host, '.')) > 2
+                   THEN 'd:' || array_to_string(string_split(host, '.')[2:], '.') END AS pattern,
+         ts AS t_at, (event_type IN ('error', 'click') OR (event_type = 'purchase' AND event_id % 2 = 0)) AS adds
+  FROM events JOIN u ON u.page_id = events.user_id),
+s AS (SELECT pattern, t_at, bool_and(adds) AS active FROM e WHERE pattern IS NOT NULL AND t_at IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT *, lag(active) OVER (PARTITION BY pattern ORDER BY t_at) AS was FROM s),
+x AS (SELECT pattern, t_at, active FROM g WHERE active <> coalesce(was, false)),
+c AS (SELECT u.*, events.ts AS fetched_at FROM u LEFT JOIN events ON events.event_id = u.page_id),
+k AS (
+  SELECT page_id, fetched_at, unnest(list_distinct(list_concat(['h:' || host],
+      list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: 'd:' || array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(range(1, len(parts) + 1), lambda i: 'p:' || host || '/' || array_to_string(parts[1:i], '/'))))) AS pattern
+  FROM c WHERE host <> '' AND fetched_at IS NOT NULL),
+h AS (
+  SELECT k.page_id, count(*) AS n_entries, min({'p': x.pattern, 'a': x.t_at}) AS least
+  FROM k ASOF JOIN x ON k.pattern = x.pattern AND k.fetched_at >= x.t_at WHERE x.active GROUP BY 1)
+SELECT c.page_id, c.url, epoch_us(c.fetched_at) AS fetched_us, h.page_id IS NOT NULL AS blocked, coalesce(n_entries, 0) AS n_entries,
+       least.p AS entry, epoch_us(least.a) AS valid_from_us
+FROM c LEFT JOIN h ON h.page_id = c.page_id"""
+
+
+@register
+def op7_url_filter(spark, d):
+    pages = read_table(spark, d, "pages", ["page_id", "url"])
+    events = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type"]).withColumn("ts", F.col("ts").cast("timestamp"))
+    captures = pages.join(events.select(F.col("event_id").alias("page_id"), F.col("ts").alias("fetched_at")), "page_id", "left")
+    host, kind = url_filter.host_of(F.col("url")), F.col("event_type")
+    part = F.get(F.filter(F.split(url_filter.path_of(F.col("url")), "/"), lambda x: x != ""), F.lit(0))
+    labels = F.split(host, r"\.")
+    pattern = (F.when(kind.isin("error", "signup"), F.concat(F.lit("h:"), host))
+               .when(kind.isin("click", "view"), F.concat(F.lit("p:"), host, F.lit("/"), part))
+               .when((kind == "purchase") & (F.size(labels) > 2), F.concat(F.lit("d:"), F.array_join(F.slice(labels, F.lit(2), F.size(labels)), "."))))
+    adds = kind.isin("error", "click") | ((kind == "purchase") & (F.col("event_id") % 2 == 0))
+    edits = (events.join(pages, events["user_id"] == pages["page_id"])
+             .select(pattern.alias("pattern"), F.col("ts").alias("at"), F.when(adds, "add").otherwise("remove").alias("action")))
+    return url_filter.filter_urls(captures, edits).select(
+        "page_id", "url", F.unix_micros("fetched_at").alias("fetched_us"), "blocked", "n_entries", "entry",
+        F.unix_micros("valid_from").alias("valid_from_us"))
