@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import chat_quotes, decontamination, html_extraction, line_dedup, mixing, quality_rules, simhash, url_filter
+from sessionlab.llm import chat_quotes, decontamination, html_extraction, line_dedup, lm_scoring, mixing, quality_rules, simhash, substring_dedup, url_filter
 from sessionlab.llm.common import written
 from sessionlab.sources.tables import read_table
 
@@ -132,3 +132,15 @@ def op7_url_filter(spark, d):
     return url_filter.filter_urls(captures, edits).select(
         "page_id", "url", F.unix_micros("fetched_at").alias("fetched_us"), "blocked", "n_entries", "entry",
         F.unix_micros("valid_from").alias("valid_from_us"))
+
+
+@register
+def op3_lm_scoring(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return lm_scoring.score_documents(docs, held_out=held_out)
+
+
+@register
+def op1_substring_dedup(spark, d):
+    return substring_dedup.substring_dedup(read_table(spark, d, "documents", ["doc_id", "text"]))
