@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import WS_CHARS, let, text_or_empty, written
+from sessionlab.llm.common import WS_CHARS, guarded, let, text_or_empty, unguarded, written
 
 SLICE = 1024
 MARKS = r"^[ \t]*(?:>[ \t]?)+"
@@ -135,7 +135,7 @@ def conversations(messages: DataFrame, thread: str = "conv_id", turn: str = "tur
     """Every row of ``messages`` with its text freed of quotes and with reply_to, thread_root,
     depth, n_quoted_lines and position (reply order within the thread: root, depth, turn)."""
     out = ["reply_to", "thread_root", "depth", "n_quoted_lines", "position"]
-    base = (messages.drop(*[c for c in messages.columns if c.lower() in out])
+    base = (guarded(messages, [thread, turn, text], out)
             .withColumn("_thread", F.coalesce(F.col(thread).cast("string"), F.lit("\0null")))
             .withColumn("_turn", F.coalesce(F.col(turn).cast("long"), F.lit(-1).cast("long")))
             .withColumn("_lines", _lines(F.col(text))).withColumn("_own", own_text(F.col("_lines")))
@@ -147,7 +147,8 @@ def conversations(messages: DataFrame, thread: str = "conv_id", turn: str = "tur
               .withColumn(text, F.col("_own")).withColumn("thread_root", F.coalesce("root", "_turn"))
               .withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
               .drop("_lines", "_own", "root"))
-    return numbered(joined, "_thread", ["thread_root", "depth", "_turn", "_row"], "position").drop("_thread", "_turn", "_row")
+    done = numbered(joined, "_thread", ["thread_root", "depth", "_turn", "_row"], "position")
+    return unguarded(done, messages.columns, [thread, turn, text], out)
 
 
 def mail_view(conversations: DataFrame) -> DataFrame:

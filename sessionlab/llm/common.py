@@ -59,3 +59,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of an Arrow batch for the operators that read whole texts in Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def guarded(df: DataFrame, needed: list[str], out: list[str]) -> DataFrame:
+    """``needed`` columns as they are and all others packed away in ``_rest``, so that their names
+    meet none of an operator's own; those named like an output column are left out."""
+    rest = [c for c in df.columns if c not in needed and c.lower() not in out]
+    packed = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("int")
+    return df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(needed)], packed.alias("_rest"))
+
+
+def unguarded(df: DataFrame, columns: list[str], needed: list[str], out: list[str]) -> DataFrame:
+    """The ``columns`` a guarded frame came from, in their order, and the output columns."""
+    kept = [c for c in columns if c in needed or c.lower() not in out]
+    return df.select(*[F.col(f"`{c}`") if c in needed else F.col("_rest").getField(c).alias(c) for c in kept],
+                     *[c for c in out if c not in needed])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import small_batches, written
+from sessionlab.llm.common import guarded, small_batches, unguarded, written
 
 #: words of an item piece, and of all pieces in one automaton (about 150 bytes of memory a word)
 PIECE_WORDS = 20_000
@@ -203,8 +203,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     total = pieces.agg(F.sum(F.length("piece") - F.length(F.replace("piece", F.lit(" "), F.lit(""))) + 1)).first()[0] or 0
     shards = -(-total // AUTOMATON_WORDS)
     out = ["n_words", "spans", "items", "n_hit", "n_items", "items_sha256", "contaminated"]
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in out])
-    base = docs.withColumn("_c", F.struct(F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
+    base = guarded(docs, [text], out).withColumn("_c", F.struct(F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
                                           F.array().cast("array<string>").alias("items")))
     for k in range(max(shards, 1)):
         # one automaton's words (bounded above) at a time pass the driver
@@ -214,11 +213,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         if k + 1 < shards:
             base = written(base, "contamination")
     n_hit = F.aggregate("_c.spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    return (base.withColumns({"n_words": F.col("_c.n_words"), "spans": F.col("_c.spans"), "items": F.col("_c.items")})
+    done = (base.withColumns({"n_words": F.col("_c.n_words"), "spans": F.col("_c.spans"), "items": F.col("_c.items")})
             .withColumn("n_hit", n_hit).withColumn("n_items", F.size("items").cast("long"))
             .withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= F.lit(float(min_percent)) * F.col("n_words")))
             .drop("_c"))
+    return unguarded(done, docs.columns, [text], out)
 
 
 @F.pandas_udf(T.StringType())

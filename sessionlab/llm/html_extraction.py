@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import small_batches
+from sessionlab.llm.common import guarded, small_batches, unguarded
 
 #: pages the weights are learned from (about; the rest only gets scored)
 SAMPLE_PAGES = 4000
@@ -286,5 +286,6 @@ def extract(pages: DataFrame, html: str = "html", weights: Weights | None = None
         own = Weights(counts)
         return pd.Series([main_text(x, own) for x in column], dtype=object)
     small_batches(pages.sparkSession)
-    return (pages.withColumn("_text", run(F.col(html))).drop(*[c for c in pages.columns if c.lower() in ("text", "n_chars")])
-            .withColumnRenamed("_text", "text").withColumn("n_chars", F.length("text").cast("long")))
+    out = ["text", "n_chars"]
+    done = guarded(pages, [html], out).withColumn("text", run(F.col(html))).withColumn("n_chars", F.length("text").cast("long"))
+    return unguarded(done, pages.columns, [html], out)

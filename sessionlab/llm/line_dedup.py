@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import content_key, let, text_or_empty, written
+from sessionlab.llm.common import content_key, guarded, let, text_or_empty, unguarded, written
 
 #: relative standard error of the sketch is about 1.04 / sqrt(2^LG_K)
 LG_K = 10
@@ -62,18 +62,21 @@ def line_dedup(docs: DataFrame, text: str = "text", site: str = "source", min_si
 
     A line is boilerplate when it stands on ``min_sites`` distinct sites or more.
     """
+    out = ["n_lines", "n_removed"]
+    columns, docs = docs.columns, guarded(docs, [text, site], out)
     bad = written(boilerplate_lines(docs, text, site, min_sites), "line-boilerplate")
     bad = F.broadcast(bad) if bad.count() <= BROADCAST_LINES else bad
     k1, k2 = content_key(F.col(text))
     rows = docs.select(k1, k2, F.posexplode(line_hashes(F.col(text))).alias("pos", "h")).filter(F.col("h").isNotNull())
     gone = (rows.join(bad, "h", "left_semi").groupBy("k1", "k2").agg(F.collect_set("pos").alias("_gone"))
             .withColumnsRenamed({"k1": "g_k1", "k2": "g_k2"}))
-    out = ["n_lines", "n_removed"]
-    base = docs.drop(*[c for c in docs.columns if c.lower() in out]).withColumns({"_k1": k1, "_k2": k2})
+    gone = written(gone, "line-positions")     # so that the join below can split the copies of one text
+    base = docs.withColumns({"_k1": k1, "_k2": k2})
     kept = let(F.split(F.col(text), "\n"), lambda x: F.array_join(
         F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
-    return (base.join(gone, F.expr("_k1 = g_k1 AND _k2 = g_k2"), "left")
+    done = (base.join(gone, F.expr("_k1 = g_k1 AND _k2 = g_k2"), "left")
             .withColumn("n_lines", F.coalesce(F.size(F.split(F.col(text), "\n")), F.lit(0)).cast("long"))
             .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
             .withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept))
             .drop("_k1", "_k2", "g_k1", "g_k2", "_gone"))
+    return unguarded(done, columns, [text, site], out)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import words, written
+from sessionlab.llm.common import guarded, unguarded, words, written
 
 #: documents ranked in one task at most (about)
 RANK_ROWS = 20_000
@@ -132,9 +132,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
     out = ["size", "source_size", "target", "rate", "copies", "taken"]
     ident = F.xxhash64(*[F.to_json(f"`{f.name}`") if "map" in f.dataType.simpleString() else F.col(f"`{f.name}`")
                          for f in docs.schema.fields])
-    base = (docs.withColumn("_size", F.size(words(F.col(text))).cast("long")).withColumn("_h", ident)
-            .drop(*[c for c in docs.columns if c.lower() in out and c != source])
-            .withColumnRenamed("_size", "size"))
+    base = (guarded(docs.withColumn("_row_hash", ident), [text, source, "_row_hash"], out).withColumnRenamed("_row_hash", "_h")
+            .withColumn("size", F.size(words(F.col(text))).cast("long")))
     counts = written(base.groupBy(F.col(source).alias("source"), "size").agg(F.count("*").alias("n")), "mix-sizes")
     sizes = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     tilts = solve_tilts(counts, source_targets(sizes, weights, share, cap), cap)
@@ -163,10 +162,11 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", weights: tu
     rank = F.row_number().over(Window.partitionBy("p_source", "p_size", "_slice").orderBy("_h"))
     ranked = (joined.withColumn("_rank", rank)
               .join(quota, F.expr("p_source <=> q_source AND p_size = q_size AND _slice = q_slice"), "left"))
-    return (ranked.withColumn("copies", (F.floor(F.col("copies_all") / F.col("n"))
+    done = (ranked.withColumn("copies", (F.floor(F.col("copies_all") / F.col("n"))
                                          + (F.col("_rank") <= F.coalesce(F.col("quota"), extra_all)).cast("long")).cast("int"))
             .withColumn("taken", F.col("copies") * F.col("size"))
             .drop("_h", "_slice", "_rank", "n", "copies_all", "p_source", "p_size", "q_source", "q_size", "q_slice", "quota"))
+    return unguarded(done, docs.columns, [text, source], out)
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

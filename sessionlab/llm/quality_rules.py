@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import WS_CHARS, content_key, let, text_or_empty, words
+from sessionlab.llm.common import WS_CHARS, content_key, guarded, let, text_or_empty, unguarded, words, written
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -118,16 +118,19 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     ``min_spread`` of its documents.  A document is depleted, and rejected, when less than
     ``min_left`` of its words stand outside such lines.
     """
-    rows = line_rows(docs, text, host)
+    out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"]
+    columns, docs = docs.columns, guarded(docs, [text, host], out)
+    rows = written(line_rows(docs, text, host), "line-rows")
     bad = frequent_lines(rows, min_docs, min_share, min_spread).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
     taken = (rows.join(bad, F.expr("host <=> b_host AND h = b_h"))
              .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"))
              .select(F.col("host").alias("t_host"), F.col("k1").alias("t_k1"), F.col("k2").alias("t_k2"), "n_frequent_words"))
+    taken = written(taken, "frequent-lines")   # so that the join below can split the copies of one text
     k1, k2 = content_key(F.col(text))
-    out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"]
-    base = base_rules(docs.drop(*[c for c in docs.columns if c.lower() in out]), text).withColumns({"_k1": k1, "_k2": k2})
-    return (base.join(taken, F.expr(f"`{host}` <=> t_host AND _k1 = t_k1 AND _k2 = t_k2"), "left")
+    base = base_rules(docs, text).withColumns({"_k1": k1, "_k2": k2})
+    done = (base.join(taken, F.expr(f"`{host}` <=> t_host AND _k1 = t_k1 AND _k2 = t_k2"), "left")
             .withColumn("n_frequent_words", F.coalesce("n_frequent_words", F.lit(0).cast("long")))
             .withColumn("kept", ~F.col("base_failed")
                         & (F.col("n_words") - F.col("n_frequent_words") >= min_left * F.col("n_words")))
             .drop("_k1", "_k2", "t_host", "t_k1", "t_k2"))
+    return unguarded(done, columns, [text, host], out)

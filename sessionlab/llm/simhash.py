@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionlab.llm.common import small_batches, written
+from sessionlab.llm.common import guarded, small_batches, unguarded, written
 from sessionlab.llm.components import component_roots
 
 SEED = 42
@@ -165,7 +165,9 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", radius: int = 3) -> DataFram
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                    radius: int = 3) -> DataFrame:
     """Every row of ``docs`` with its fingerprint and component."""
-    return linked(written(fingerprints(docs, text, shingle), "simhash-docs"), doc_id, radius)
+    out = ["fingerprint", "component", "component_id"]
+    own = fingerprints(guarded(docs, [doc_id, text], out), text, shingle)
+    return unguarded(linked(written(own, "simhash-docs"), doc_id, radius), docs.columns, [doc_id, text], out)
 
 
 def one_per_component(groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import let
+from sessionlab.llm.common import guarded, let, unguarded
 
 #: seconds of a time slice
 SLICE = 86_400
@@ -89,7 +89,7 @@ def filter_urls(captures: DataFrame, edits: DataFrame, url: str = "url", fetched
     """Every row of ``captures`` with blocked, n_entries (entries active at fetch time that match),
     entry (the least of them) and valid_from (since when it stands)."""
     out = ["blocked", "n_entries", "entry", "valid_from"]
-    base = captures.drop(*[c for c in captures.columns if c.lower() in out])
+    base = guarded(captures, [url, fetched_at], out)
     # a judgement depends on url and time alone
     asked = base.select(F.col(url).alias("_url"), F.col(fetched_at).alias("_at")).filter("_url IS NOT NULL AND _at IS NOT NULL").distinct()
     asked = (asked.select("_url", "_at", F.explode(F.array_distinct(candidates(F.col("_url")))).alias("pattern"))
@@ -107,8 +107,9 @@ def filter_urls(captures: DataFrame, edits: DataFrame, url: str = "url", fetched
             .withColumn("state", state)
             .filter(F.col("state.active"))
             .groupBy("_url", "_at").agg(F.count("*").alias("n_entries"), F.min(F.struct("pattern", "state.at")).alias("least")))
-    return (base.join(hits, (F.col(url) == F.col("_url")) & (F.col(fetched_at) == F.col("_at")), "left")
+    done = (base.join(hits, (F.col(url) == F.col("_url")) & (F.col(fetched_at) == F.col("_at")), "left")
             .withColumn("blocked", F.col("n_entries").isNotNull())
             .withColumn("n_entries", F.coalesce("n_entries", F.lit(0).cast("long")))
             .withColumn("entry", F.col("least.pattern")).withColumn("valid_from", F.col("least.at"))
             .drop("_url", "_at", "least"))
+    return unguarded(done, captures.columns, [url, fetched_at], out)
