@@ -93,3 +93,99 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
             left -= out[s]
         free -= full
     return out
+
+
+# ------------------------------------------------------------------ operators without a contract
+
+
+def norm_line(x):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
+
+
+def own_lines(text):
+    return [x for x in (text or "").split("\n") if WORD.search(x)]
+
+
+def quality_kept(rows, min_docs=20, min_share=0.001, min_spread=0.5, min_left=0.2):
+    """rows (doc_id, text, host) -> list of kept."""
+    texts = {(h, t or "") for _, t, h in rows}
+    host_docs = Counter(h for h, t in texts if own_lines(t))
+    docs, other = defaultdict(set), defaultdict(set)
+    for h, t in texts:
+        ln = [norm_line(x) for x in own_lines(t)]
+        for x in set(ln):
+            docs[h, x].add(t)
+            # ties of length cannot be told from hashes here: keep both readings
+            rest = [y for y in set(ln) if y != x]
+            other[h, x].add(max(rest, key=lambda y: (len(y), y)) if rest else None)
+    bad = {k for k, d in docs.items() if len(d) > min_docs and len(other[k]) > min_docs and len(other[k]) >= min_spread * len(d)
+           and len(d) > min_share * host_docs[k[0]]}
+    out = []
+    for _, t, h in rows:
+        n = len(WORD.findall(t or ""))
+        gone = sum(len(norm_line(x).split(" ")) for x in own_lines(t) if (h, norm_line(x)) in bad)
+        out.append(not base_rules(t)[5] and n - gone >= min_left * n)
+    return out
+
+
+def line_dedup(rows, min_sites=10):
+    """rows (doc_id, text, site) -> list of texts."""
+    sites = defaultdict(set)
+    for _, t, s in rows:
+        for x in own_lines(t):
+            sites[norm_line(x)].add(s)
+    bad = {x for x, s in sites.items() if len(s) >= min_sites}
+    return [None if t is None else "\n".join(x for x in t.split("\n") if not (WORD.search(x) and norm_line(x) in bad)) for _, t, _ in rows]
+
+
+def without_spans(docs, items):
+    """(doc_id, text) of documents that are not contaminated, hit words cut out."""
+    out = []
+    for (d, t), judged in zip(docs, contamination(docs, items)):
+        if judged[5]:
+            continue
+        if judged[2]:
+            t = cut_hits(t, items)
+        out.append((d, t))
+    return out
+
+
+def cut_hits(text, items, window=13):
+    lower = text.translate(AZ)
+    words = [(m.group(), m.span()) for m in ITEM_WORD.finditer(lower)]
+    wins = set()
+    for _, t in items:
+        w = ITEM_WORD.findall((t or "").translate(AZ))
+        for i in range(max(len(w) - window, 0) + 1 if w else 0):
+            wins.add(tuple(w[i:i + window]))
+    hit = set()
+    for n in {len(w) for w in wins}:
+        for i in range(len(words) - n + 1):
+            if tuple(x for x, _ in words[i:i + n]) in wins:
+                hit.update(range(i, i + n))
+    out, last, i = [], 0, 0
+    while i < len(words):
+        if i in hit:
+            j = i
+            while j + 1 in hit:
+                j += 1
+            out.append(text[last:words[i][1][0]])
+            last = words[j][1][1]
+            i = j
+        i += 1
+    return "".join([*out, text[last:]])
+
+
+def shared_passages(rows, words=51):
+    """doc -> word numbers inside exact passages of ``words`` words that another document has too."""
+    w = {i: (t or "").encode().lower().split() for i, (_, t) in enumerate(rows)}
+    own = defaultdict(set)
+    for i, x in w.items():
+        for k in range(len(x) - words + 1):
+            own[tuple(x[k:k + words])].add(i)
+    out = defaultdict(set)
+    for i, x in w.items():
+        for k in range(len(x) - words + 1):
+            if len(own[tuple(x[k:k + words])]) > 1:
+                out[i].update(range(k, k + words))
+    return out
