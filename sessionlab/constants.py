@@ -79,13 +79,8 @@ CV_MAX_STD_F1 = 0.02
 CV_MAX_STD_AUC = 0.01
 CV_MAX_STD_MACRO = 0.02
 CV_MAX_STD_WEIGHTED = 0.02
-# Session table of the original analysis: the class it drops is "sport".
-ORIGINAL_DROP_CATEGORIES = ("sport",)
-# ---------------------------------------------------------------------------
-
-# On the driver's test tables the rare class playing that role is "promo"
-# (see FIXTURES.md); builders take the set as a parameter.
-DEFAULT_DROP_CATEGORIES = ("promo",)
+# The class dropped from the session tables.
+DEFAULT_DROP_CATEGORIES = ("sport",)
 
 # Session table schema (name, Spark SQL type) in output order.
 SESSION_COLUMNS = [
@@ -108,3 +103,4 @@ SESSION_COLUMNS = [
 ]
 COUNT_COLS = ["n_view", "n_cart", "n_remove", "n_events", "unique_products", "unique_categories"]
 FLOAT_COLS = ["avg_price", "max_price", "min_price", "price_std", "session_duration_sec"]
+# ---------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sessionlab.constants import CART, PURCHASE, REMOVE, VIEW
 
 __all__ = [
-    "micros", "is_type", "non_purchase", "main_cat_of", "duration_seconds",
+    "micros", "price_of", "is_type", "non_purchase", "main_cat_of", "duration_seconds",
     "cart_to_view_ratio", "remove_to_cart_ratio", "split_hash", "hash_bucket", "r6",
     "safe_div", "VIEW", "CART", "REMOVE", "PURCHASE",
 ]
@@ -30,6 +30,12 @@ def non_purchase(col: str = "event_type") -> Column:
     return ~F.col(col).eqNullSafe(F.lit(PURCHASE))
 
 
+def price_of(col: str = "price") -> Column:
+    """Price as double; NaN is a missing price, not a number."""
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def main_cat_of(code: str | Column = "category_code") -> Column:
     """Top-level category: text before the first dot (whole text if none)."""
     c = F.col(code) if isinstance(code, str) else code

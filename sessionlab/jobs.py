@@ -6,16 +6,24 @@ model fits iterate over files, not over the event pipeline.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.constants import N_FOLDS
+from sessionlab.config import written
+from sessionlab.constants import CV_MAX_STD_AUC, CV_MAX_STD_F1, CV_MAX_STD_MACRO, CV_MAX_STD_WEIGHTED, N_FOLDS
 from sessionlab.operators import metrics as E
 from sessionlab.operators import models as M
 from sessionlab.operators import splits as D
 from sessionlab.operators.joins import attach_month, with_scalars
-from sessionlab.operators.quality import _row, _stack
+from sessionlab.operators.quality import CHECK, _row, _stack
+from sessionlab.sources.sinks import metrics_upsert
+
+BASELINE, PRIMARY = "baseline_logreg", "primary_boosted"
+CV_BOUNDS = {"f1": CV_MAX_STD_F1, "roc_auc": CV_MAX_STD_AUC, "macro_f1": CV_MAX_STD_MACRO, "weighted_f1": CV_MAX_STD_WEIGHTED}
 
 
 def _long_binary(scores: DataFrame, run: str, model: str) -> DataFrame:
@@ -43,126 +51,159 @@ def _long_multiclass(scores: DataFrame, run: str, model: str) -> DataFrame:
         "label", "_kv.value")
 
 
+def _split(sessions: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    s = written(D.stratified_split(sessions, label), "split")
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+
+
+def _with_label(sessions: DataFrame) -> DataFrame:
+    return sessions.withColumn("label", F.col("purchased").cast("double"))
+
+
+def in_parallel(jobs: list) -> list:
+    """Run independent fits at the same time; their jobs share the executors."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return list(pool.map(lambda f: f(), [inheritable_thread_target(SparkSession.active())(j) for j in jobs]))
+
+
 def fit_binary(train: DataFrame, max_iter_lr: int = 1000, max_iter_gbt: int = 400) -> dict[str, PipelineModel]:
-    lr_train = M.prepare_binary(train)
-    lr = M.logreg_binary(max_iter_lr, reg=M.regularisation(lr_train)).fit(lr_train)
-    gbt = M.boosted_binary(max_iter_gbt).fit(M.prepare_binary(train, positive_weight=True))
-    return {"baseline_logreg": lr, "primary_boosted": gbt}
-
-
-def train_binary_job(sessions: DataFrame, max_iter_lr: int = 1000, max_iter_gbt: int = 400,
-                     run: str = "random") -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """M9: stratified 80/20 split -> LR baseline + boosted trees -> metrics."""
-    s = D.stratified_split(sessions, "purchased").checkpoint(eager=True)
-    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-    models = fit_binary(train, max_iter_lr, max_iter_gbt)
-    test_l = test.withColumn("label", F.col("purchased").cast("double"))
-    out = None
+    linear = M.training_frame(M.prepare_binary(train))
+    boosted = M.training_frame(M.prepare_binary(train, positive_weight=True))
+    fits = in_parallel([lambda: M.logreg_binary(max_iter_lr, reg=M.regularisation(linear)).fit(linear),
+                        lambda: M.boosted_binary(max_iter_gbt).fit(boosted)])
+    return dict(zip((BASELINE, PRIMARY), fits))
+
+
+def fit_multiclass(train: DataFrame, max_iter_lr: int = 2000, max_iter_gbt: int = 400,
+                   parallelism: int = 8) -> dict[str, PipelineModel]:
+    rows = M.training_frame(M.prepare_multiclass(train), ("main_cat",))
+    fits = in_parallel([lambda: M.fit_multiclass(M.logreg_multiclass(max_iter_lr, reg=M.regularisation(rows)), rows),
+                        lambda: M.fit_multiclass(M.boosted_multiclass(max_iter_gbt, parallelism=parallelism), rows)])
+    return dict(zip((BASELINE, PRIMARY), fits))
+
+
+def _finish(metrics: DataFrame, models: dict[str, PipelineModel], model_path: str | None, metrics_path: str | None) -> DataFrame:
+    """Keep the primary model and merge the metrics where paths are given."""
+    metrics = written(metrics, "metrics-rows")
+    if model_path:
+        M.save_model(models[PRIMARY], model_path)
+    if metrics_path:
+        metrics_upsert(metrics, metrics_path)
+    return metrics
+
+
+def train_binary_job(sessions: DataFrame, max_iter_lr: int = 1000, max_iter_gbt: int = 400, run: str = "random",
+                     model_path: str | None = None, metrics_path: str | None = None) -> DataFrame:
+    """M9: stratified 80/20 split -> LR baseline + boosted trees -> metrics, merged into the metrics
+    table (A10) -> primary model saved (A11)."""
+    train, test = _split(sessions, "purchased")
+    models, out = fit_binary(train, max_iter_lr, max_iter_gbt), None
     for name, m in models.items():
-        part = _long_binary(M.score_binary(m, test_l), run, name)
+        part = _long_binary(written(M.score_binary(m, _with_label(test)), "scores"), run, name)
         out = part if out is None else out.unionByName(part)
-    return out, models
+    return _finish(out, models, model_path, metrics_path)
 
 
-def fit_multiclass(train: DataFrame, max_iter_lr: int = 2000, max_iter_gbt: int = 400,
-                   parallelism: int = 4) -> dict[str, PipelineModel]:
-    prepped = M.prepare_multiclass(train)
-    lr = M.logreg_multiclass(max_iter_lr, reg=M.regularisation(prepped)).fit(prepped)
-    gbt = M.boosted_multiclass(max_iter_gbt, parallelism=parallelism).fit(prepped)
-    return {"baseline_logreg": lr, "primary_boosted": gbt}
-
-
-def train_multiclass_job(sessions_cat: DataFrame, max_iter_lr: int = 2000, max_iter_gbt: int = 400,
-                         run: str = "random") -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Stratified split on main_cat -> multinomial LR + one-vs-rest
-    boosted trees -> classification reports."""
-    s = D.stratified_split(sessions_cat, "main_cat").checkpoint(eager=True)
-    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-    models = fit_multiclass(train, max_iter_lr, max_iter_gbt)
-    classes = M.label_index(train, "main_cat").select("main_cat", "label_idx").distinct()
-    test_l = M.label_index(test, "main_cat").withColumn("label", F.col("label_idx").cast("double"))
-    out = None
+def train_multiclass_job(sessions_cat: DataFrame, max_iter_lr: int = 2000, max_iter_gbt: int = 400, run: str = "random",
+                         model_path: str | None = None, metrics_path: str | None = None) -> DataFrame:
+    """Stratified split on main_cat -> multinomial LR + one-vs-rest boosted trees ->
+    classification reports, merged (A10) -> primary model with its class names saved (A11)."""
+    train, test = _split(sessions_cat, "main_cat")
+    models, out = fit_multiclass(train, max_iter_lr, max_iter_gbt), None
     for name, m in models.items():
-        part = _long_multiclass(M.score_multiclass(m, test_l, classes), run, name)
+        part = _long_multiclass(M.score_multiclass(m, test), run, name)
         out = part if out is None else out.unionByName(part)
-    return out, models
+    return _finish(out, models, model_path, metrics_path)
+
 
+def binary_scores(model_path: str, sessions: DataFrame) -> DataFrame:
+    """Scores of a saved model on the test part of the seeded split, written once."""
+    test = D.stratified_split(sessions, "purchased").filter(F.col("split") == "test")
+    return written(M.score_binary(M.load_model(model_path), _with_label(test)), "scores")
 
-def evaluate_binary_job(model: PipelineModel, sessions: DataFrame) -> dict[str, DataFrame]:
-    """Reload a model, repeat the seeded split, and return the curve,
-    confusion and importance tables."""
-    test = D.stratified_split(sessions, "purchased").filter(F.col("split") == "test") \
-        .withColumn("label", F.col("purchased").cast("double"))
-    sc = M.score_binary(model, test).checkpoint(eager=True)
+
+def evaluate_binary_job(model_path: str, sessions: DataFrame) -> dict[str, DataFrame]:
+    """Reload the saved model, repeat the seeded split, and return the curve, confusion and
+    importance tables."""
+    sc = binary_scores(model_path, sessions)
     return {"confusion": E.confusion_binary(sc), "roc_curve": E.roc_curve(sc), "pr_curve": E.pr_curve(sc),
             "roc_auc": E.roc_auc(sc), "average_precision": E.average_precision(sc),
-            "importance": M.importance_table(sessions.sparkSession, model)}
+            "importance": M.importance_table(sessions.sparkSession, M.load_model(model_path))}
+
+
+def multiclass_scores(model_path: str, sessions_cat: DataFrame) -> DataFrame:
+    test = D.stratified_split(sessions_cat, "main_cat").filter(F.col("split") == "test")
+    return written(M.score_multiclass(M.load_model(model_path), test), "scores")
 
 
-def evaluate_multiclass_job(model: PipelineModel, sessions_cat: DataFrame) -> dict[str, DataFrame]:
-    """Confusion matrix (counts and row-normalised) and importances."""
-    s = D.stratified_split(sessions_cat, "main_cat")
-    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
-    classes = M.label_index(train, "main_cat").select("main_cat", "label_idx").distinct()
-    test_l = M.label_index(test, "main_cat").withColumn("label", F.col("label_idx").cast("double"))
-    cm = E.confusion_multiclass(M.score_multiclass(model, test_l, classes)).checkpoint(eager=True)
+def evaluate_multiclass_job(model_path: str, sessions_cat: DataFrame) -> dict[str, DataFrame]:
+    """Reload the saved model; confusion matrix (counts and row-normalised) and importances.
+    Class names come from the model, whatever classes the table has."""
+    cm = written(E.confusion_multiclass(multiclass_scores(model_path, sessions_cat)), "confusion")
     return {"confusion": cm, "confusion_normalized": E.confusion_normalized(cm),
-            "importance": M.importance_table(sessions_cat.sparkSession, model)}
+            "importance": M.importance_table(sessions_cat.sparkSession, M.load_model(model_path))}
 
 
-def temporal_validation_job(sessions: DataFrame, months: DataFrame, max_iter_gbt: int = 400,
-                            test_periods=(3,)) -> DataFrame:
-    """Attach first month (J4) -> train on earlier periods, test on the
-    last (D6) -> boosted models for both tasks -> long metrics."""
-    tm = D.temporal_split(attach_month(sessions, months.select("user_session", "period")), test_periods=test_periods)
-    tm = tm.checkpoint(eager=True)
+def as_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The tables of a job as one: (table, row as JSON)."""
+    out = None
+    for name, df in tables.items():
+        part = df.select(F.lit(name).alias("table"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def temporal_validation_job(sessions: DataFrame, months: DataFrame, max_iter_gbt: int = 400, test_periods=(3,),
+                            random_metrics: DataFrame | None = None, metrics_path: str | None = None) -> DataFrame:
+    """Attach first month (J4) -> train on earlier periods, test on the last (D6) -> boosted
+    models for both tasks -> metrics merged (A10) and, given those of the random split, set
+    beside them (E13)."""
+    tm = written(D.temporal_split(attach_month(sessions, months.select("user_session", "period")), test_periods=test_periods), "temporal")
     train, test = tm.filter(F.col("split") == "train"), tm.filter(F.col("split") == "test")
-    gbt = M.boosted_binary(max_iter_gbt).fit(M.prepare_binary(train, positive_weight=True))
-    out = _long_binary(M.score_binary(gbt, test.withColumn("label", F.col("purchased").cast("double"))),
-                       "temporal", "primary_boosted")
     tc, ec = train.filter(F.col("main_cat").isNotNull()), test.filter(F.col("main_cat").isNotNull())
     # Keep test rows whose class occurs in training
     ec = ec.join(tc.select("main_cat").distinct(), "main_cat", "left_semi")
-    prepped = M.prepare_multiclass(tc)
-    ovr = M.boosted_multiclass(max_iter_gbt).fit(prepped)
-    classes = prepped.select("main_cat", "label_idx").distinct()
-    ec_l = ec.join(classes, "main_cat").withColumn("label", F.col("label_idx").cast("double"))
-    return out.unionByName(_long_multiclass(M.score_multiclass(ovr, ec_l, classes), "temporal", "primary_boosted"))
+    binary = M.training_frame(M.prepare_binary(train, positive_weight=True))
+    classes = M.training_frame(M.prepare_multiclass(tc), ("main_cat",))
+    gbt, ovr = in_parallel([lambda: M.boosted_binary(max_iter_gbt).fit(binary),
+                            lambda: M.fit_multiclass(M.boosted_multiclass(max_iter_gbt, parallelism=8), classes)])
+    out = _long_binary(written(M.score_binary(gbt, _with_label(test)), "scores"), "temporal", PRIMARY)
+    out = _finish(out.unionByName(_long_multiclass(M.score_multiclass(ovr, ec), "temporal", PRIMARY)), {}, None, metrics_path)
+    if random_metrics is None:
+        return out
+    both = out.unionByName(random_metrics.filter(F.col("model") == PRIMARY).select(*out.columns))
+    # two tasks may share a metric's name
+    named = both.withColumn("model", F.concat_ws(":", "task", "model"))
+    return E.split_comparison(named)
 
 
 def cv_job(sessions: DataFrame, label: str = "purchased", k: int = N_FOLDS, max_iter_gbt: int = 400) -> DataFrame:
-    """K-fold CV of the boosted model -> per-fold metrics ->
-    mean, population std and the stability checks."""
-    folded = D.stratified_kfold(sessions.filter(F.col(label).isNotNull()), label, k=k).checkpoint(eager=True)
-    rows = []
-    for f in range(k):  # k model fits: the loop is over folds, each fit is distributed
+    """K-fold CV of the boosted model -> per-fold metrics -> mean, population std and the
+    stability checks.  The folds are fitted at the same time."""
+    folded = written(D.stratified_kfold(sessions.filter(F.col(label).isNotNull()), label, k=k), "folds")
+
+    def one(f: int) -> DataFrame:
         train, test = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
         if label == "purchased":
-            m = M.boosted_binary(max_iter_gbt).fit(M.prepare_binary(train, positive_weight=True))
-            sc = M.score_binary(m, test.withColumn("label", F.col(label).cast("double")))
-            part = with_scalars(E.binary_metrics(sc), E.roc_auc(sc)).select(
-                F.explode(F.array(F.struct(F.lit("f1").alias("metric"), F.col("f1").alias("value")),
-                                  F.struct(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value")))).alias("kv"))
+            rows = M.training_frame(M.prepare_binary(train, positive_weight=True))
+            sc = written(M.score_binary(M.boosted_binary(max_iter_gbt).fit(rows), _with_label(test)), "scores")
+            wide, names = with_scalars(E.binary_metrics(sc), E.roc_auc(sc)), ("f1", "roc_auc")
         else:
-            prepped = M.prepare_multiclass(train, label)
-            m = M.boosted_multiclass(max_iter_gbt).fit(prepped)
-            classes = prepped.select(label, "label_idx").distinct()
-            te = test.join(classes, label).withColumn("label", F.col("label_idx").cast("double"))
-            mw = E.macro_weighted_f1(E.per_class_prf(E.confusion_multiclass(M.score_multiclass(m, te, classes, label=label))))
-            part = mw.select(F.explode(F.array(
-                F.struct(F.lit("macro_f1").alias("metric"), F.col("macro_f1").alias("value")),
-                F.struct(F.lit("weighted_f1").alias("metric"), F.col("weighted_f1").alias("value")))).alias("kv"))
-        rows.append(part.select(F.lit(f).alias("fold"), "kv.metric", "kv.value").checkpoint(eager=True))
+            rows = M.training_frame(M.prepare_multiclass(train, label), (label,))
+            m = M.fit_multiclass(M.boosted_multiclass(max_iter_gbt, parallelism=2), rows, label)
+            wide = E.macro_weighted_f1(E.per_class_prf(E.confusion_multiclass(M.score_multiclass(m, test, label=label))))
+            names = ("macro_f1", "weighted_f1")
+        kv = F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value")) for n in names]))
+        return written(wide.select(kv.alias("kv")).select(F.lit(f).alias("fold"), "kv.metric", "kv.value"), "fold-metrics")
+    rows = in_parallel([lambda f=f: one(f) for f in range(k)])
     allf = rows[0]
     for r in rows[1:]:
         allf = allf.unionByName(r)
-    bounds = {"f1": 0.02, "roc_auc": 0.01, "macro_f1": 0.02, "weighted_f1": 0.02}
-    return E.cv_summary(allf, bounds)
+    return E.cv_summary(allf, CV_BOUNDS)
 
 
 def cv_checks(summary: DataFrame, task: str) -> DataFrame:
     """Q10 audit rows from a CV summary."""
     ok = summary.agg(F.bool_and("stable").alias("ok"), F.max("std").alias("v"))
-    name = ("binary CV stability (std_f1<0.02, std_auc<0.01)" if task == "binary"
-            else "multi CV stability (std_macro<0.02, std_weighted<0.02)")
+    name = CHECK["cv_binary"] if task == "binary" else CHECK["cv_multi"]
     return _stack(ok, [_row(name, F.col("v"), F.col("ok"))])

@@ -25,6 +25,12 @@ def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
+def column_presence(df: DataFrame, cols: list[str]) -> DataFrame:
+    """P13 as rows: (column, present), from the schema alone."""
+    rows = [(c, c in df.columns) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column string, present boolean")
+
+
 def select_features(sessions: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """P10: the 14 features in canonical order (plus ``keep`` columns first)."""
     require_columns(sessions, FEATURE_COLS)

@@ -12,19 +12,10 @@ from pyspark.sql import functions as F
 
 from sessionlab import config
 
-_COUNTS: dict[tuple, int] = {}
-
-
-def measured_rows(df: DataFrame) -> int:
-    """Row count of a (small, derived) frame, memoised by plan for the session."""
-    key = (id(df.sparkSession), df.semanticHash())
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
-
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    return measured_rows(df) <= (config.BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    """Whether a (small, derived or dimension) frame has few enough rows, by counting them now."""
+    return df.count() <= (config.BROADCAST_MAX_ROWS if max_rows is None else max_rows)
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None,
@@ -32,15 +23,12 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_row
     """Join a dimension onto a fact table; broadcast only after a size check.
 
     ``cache=True`` is for derived dimensions (e.g. the category map): the side
-    is persisted first, so measuring it and joining it compute it once.  A side
-    over the bound is released and joined by shuffle (AQE splits skew)."""
+    is written to the shared folder first, so measuring it and joining it
+    compute it once.  A side over the bound is joined by shuffle (AQE splits
+    skew)."""
     if cache:
-        small = small.persist()
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    if cache:
-        small.unpersist()
-    return big.join(small, on, how)
+        small = config.written(small, "lookup")
+    return big.join(F.broadcast(small) if fits_broadcast(small, max_rows) else small, on, how)
 
 
 def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -89,6 +77,12 @@ def attach_month(sessions: DataFrame, months: DataFrame, key: str = "user_sessio
     return sessions.join(months, key, "left")
 
 
+def missing_months(sessions: DataFrame, months: DataFrame, key: str = "user_session") -> DataFrame:
+    """How many sessions the side table does not know."""
+    return attach_month(sessions, months, key).agg(F.count_if(F.col("month").isNull()).alias("n_missing"),
+                                                   F.count(F.lit(1)).alias("n_sessions"))
+
+
 def not_in(left: DataFrame, right: DataFrame, key: str = "user_session") -> DataFrame:
     """Rows of ``left`` whose key is absent from ``right`` (left anti)."""
     return keys_join(left, right, key, "left_anti")

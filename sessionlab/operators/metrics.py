@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlab.config import written
 from sessionlab.constants import THRESHOLD
 from sessionlab.functions.exprs import safe_div
 from sessionlab.operators.joins import with_scalars
@@ -168,6 +169,7 @@ def classification_report(confusion: DataFrame, by: list[str] | None = None) ->
     """Long report (label, precision, recall, f1, support) with the
     'accuracy', 'macro avg' and 'weighted avg' rows."""
     by = by or []
+    confusion = written(confusion, "confusion")     # classes squared: read by every block below
     pc = per_class_prf(confusion, by)
     acc = confusion.groupBy(*by).agg(F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n"))).alias("_c"),
                                      F.sum("n").alias("_s"))

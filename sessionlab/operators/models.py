@@ -8,17 +8,23 @@ Spark.  Sampling uses the hash-based split, never ``rand()``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import IndexToString, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlab.config import written
 from sessionlab.constants import FEATURE_COLS, RANDOM_STATE, THRESHOLD
 from sessionlab.operators.joins import lookup_join, with_scalars
 from sessionlab.operators.stats import with_class_weight
 
+#: training rows for each task of a fit
+ROWS_PER_TASK = 250_000
+
 
 def scale_features(df: DataFrame, features: list[str] = FEATURE_COLS, keep: list[str] | None = None) -> DataFrame:
     """M1: z-score with population std (the original scaler), as SQL so the
@@ -78,6 +84,18 @@ def boosted_multiclass(max_iter: int = 400, max_depth: int = 6, parallelism: int
     return Pipeline(stages=[_assembler(), ovr])
 
 
+def fit_multiclass(pipeline: Pipeline, train: DataFrame, label: str = "main_cat") -> PipelineModel:
+    """Fit on ``prepare_multiclass`` rows.  The class names of the training rows become the
+    model's last stage, so they are saved, loaded and applied with it."""
+    fitted = pipeline.fit(train)
+    names = [r[0] for r in train.select(label, "label").distinct().orderBy("label").collect()]  # one row per class
+    return PipelineModel([*fitted.stages, IndexToString(inputCol="prediction", outputCol="pred", labels=names)])
+
+
+def class_names(model: PipelineModel) -> list[str]:
+    return model.stages[-1].getLabels()
+
+
 def prepare_binary(sessions: DataFrame, label: str = "purchased", positive_weight: bool = False) -> DataFrame:
     """Label + weight column.  Balanced weights for the linear model; for the
     boosted model the positive class gets n_neg / max(n_pos, 1)."""
@@ -91,10 +109,20 @@ def prepare_binary(sessions: DataFrame, label: str = "purchased", positive_weigh
 
 
 def prepare_multiclass(sessions: DataFrame, label: str = "main_cat") -> DataFrame:
+    """Alphabetical label codes and the balanced weight column."""
     d = label_index(sessions.filter(F.col(label).isNotNull()), label, "label_idx")
     return with_class_weight(d.withColumn("label", F.col("label_idx").cast("double")), label)
 
 
+def training_frame(prepared: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The columns a fit reads, written once to the shared folder and dealt out by row count:
+    every boosting round passes over these files, not over the event pipeline, and a small
+    table does not pay for empty tasks."""
+    cols = [*FEATURE_COLS, "label", "w", *extra]
+    d = written(prepared.select(*cols), "training")
+    return d.coalesce(max(1, math.ceil(d.count() / ROWS_PER_TASK)))
+
+
 def regularisation(train: DataFrame) -> float:
     """C=1 on the summed loss equals regParam = 1/sum(w) on MLlib's mean loss."""
     return 1.0 / float(train.agg(F.sum("w")).first()[0] or 1.0)
@@ -109,17 +137,33 @@ def score_binary(model: PipelineModel, df: DataFrame, key: str = "user_session",
                     (p >= threshold).cast("int").alias("pred"))
 
 
-def score_multiclass(model: PipelineModel, df: DataFrame, classes: DataFrame, key: str = "user_session",
+def class_probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with pred (class name) and proba (array in the order of ``class_names``).
+
+    The linear model gives probabilities itself.  One-vs-rest gives a margin F for each class;
+    its own model's probability is 1 / (1 + exp(-2 F)), and these are scaled to sum to one.
+    """
+    s = model.transform(df)
+    if "probability" in s.columns:
+        return s.withColumn("proba", vector_to_array("probability"))
+    odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+    total = F.aggregate("_odds", F.lit(0.0), lambda a, x: a + x)
+    return s.withColumn("_odds", odds).withColumn("_total", total) \
+            .withColumn("proba", F.transform("_odds", lambda x: x / F.col("_total"))).drop("_odds", "_total")
+
+
+def score_multiclass(model: PipelineModel, df: DataFrame, key: str = "user_session",
                      label: str = "main_cat") -> DataFrame:
-    """M7 (multi-class): (key, label, pred) with class names restored."""
-    s = model.transform(df).select(key, F.col(label).alias("label"), F.col("prediction").cast("int").alias("_pi"))
-    names = classes.select(F.col("label_idx").alias("_pi"), F.col(label).alias("pred"))
-    return lookup_join(s, names, "_pi", "inner", cache=True).drop("_pi")  # one row per class, measured
+    """M7 (multi-class): (key, label, pred, proba of pred); every row of ``df`` is kept, whatever
+    classes it has."""
+    s = class_probabilities(model, df)
+    known = F.col(label) if label in df.columns else F.lit(None).cast("string")
+    return s.select(key, known.alias("label"), "pred", F.array_max("proba").alias("proba"))
 
 
 def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
     """M8: importance per feature (mean over one-vs-rest sub-models)."""
-    last = model.stages[-1]
+    last = [m for m in model.stages if hasattr(m, "models") or hasattr(m, "featureImportances")][-1]
     if hasattr(last, "models"):
         vecs = [m.featureImportances.toArray() for m in last.models]
         imp = [sum(v[i] for v in vecs) / len(vecs) for i in range(len(FEATURE_COLS))]
@@ -136,11 +180,9 @@ def importance_table(spark, model: PipelineModel, top: int | None = None) -> Dat
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    """Persist the fitted pipeline (indexing lives in the data prep)."""
+    """Persist the fitted pipeline, class names included."""
     model.write().overwrite().save(path)
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-

@@ -2,35 +2,28 @@
 
 ``Window.orderBy`` with no partition runs in one task, and a window per group
 puts a whole group (a feature, a class) in one task.  Instead, rows are first
-collapsed to one row per distinct sort value, then cut into narrow,
-order-preserving value ranges computed from the value alone: the binary
-exponent of |v| plus the leading ``mantissa_bits`` of its mantissa (sign and
-zero handled), so every range spans at most 1/64 of an octave.  Totals per
-range are tiny and get a window of their own (offsets); exact running sums
-inside a range use a window partitioned by (group, range).  The bucketing is
-pure arithmetic: deterministic, no driver round trip, inside codegen.
+collapsed to one row per distinct sort value, then dealt out by range over
+(group, value).  The boundaries come from the data (Spark samples them), so a
+narrow band of values is cut as finely as a wide one.  The dealt rows are
+written once with the number of their range, because boundaries sampled anew
+could differ.  Totals per range are tiny and get a window of their own
+(offsets); exact running sums inside a range use a window partitioned by
+(group, range).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlab.config import written
 from sessionlab.operators.joins import lookup_join
 
 
-def order_bucket(value: str | Column, mantissa_bits: int = 6) -> Column:
-    """Integer bucket, monotone non-decreasing in ``value`` (doubles)."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    a = F.abs(v)
-    e0 = F.floor(F.log2(a))
-    # exact exponent: correct the floating log2 by one step either way
-    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
-    m = 1 << mantissa_bits
-    frac = F.floor((a / F.pow(F.lit(2.0), e) - 1.0) * m)
-    mag = (e + 1100) * m + F.least(F.greatest(frac, F.lit(0)), F.lit(m - 1)) + 1
-    return (F.when(v > 0, mag).when(v < 0, -mag).otherwise(F.lit(0))).cast("bigint")
+def in_ranges(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """``df`` with ``_b``: the range of its row, increasing with (groups, value)."""
+    dealt = df.repartitionByRange(*groups, value).withColumn("_b", F.spark_partition_id())
+    return written(dealt, "ranges")
 
 
 def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
@@ -39,7 +32,7 @@ def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] |
     (ascending) and ``<c>_tot`` = group total.  ``df`` must already hold one
     row per (groups, value) (pre-aggregated)."""
     groups = groups or []
-    bucketed = df.withColumn("_b", order_bucket(value))
+    bucketed = in_ranges(df, value, groups)
     tot = bucketed.groupBy(*groups, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sums])
     # one row per (group, value range): small
     wg = Window.partitionBy(*groups).orderBy("_b") if groups else Window.orderBy("_b")
@@ -57,16 +50,13 @@ def running_sums(df: DataFrame, value: str, sums: list[str], groups: list[str] |
     return out.drop("_b", *[f"_off_{c}" for c in sums])
 
 
-__all__ = ["order_bucket", "running_sums"]
-
-
 def with_previous(df: DataFrame, value: str, cols: list[str], groups: list[str] | None = None) -> DataFrame:
     """Attach ``prev_<c>``: the columns of the row with the next smaller
     ``value`` (one row per distinct value and group), without a global window:
     a lag inside each value range plus, for a range's first row, the last row
     of the previous non-empty range (a small per-range table)."""
     groups = groups or []
-    b = df.withColumn("_b", order_bucket(value))
+    b = in_ranges(df, value, groups)
     w = Window.partitionBy(*groups, "_b").orderBy(value)
     for c in cols:
         b = b.withColumn(f"_lag_{c}", F.lag(c).over(w))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sessionlab.constants import (CART, COUNT_COLS, DEFAULT_DROP_CATEGORIES, FLOAT_COLS, PURCHASE, REMOVE,
                                   VIEW)
-from sessionlab.functions.exprs import duration_seconds, is_type, main_cat_of, micros, non_purchase
-from sessionlab.operators.joins import bounded_join, fill_main_cat
+from sessionlab.functions.exprs import duration_seconds, is_type, main_cat_of, micros, non_purchase, price_of
+from sessionlab.operators.joins import fill_main_cat, lookup_join
 
 KEY = "user_session"
 
@@ -50,8 +50,8 @@ def categorized_sessions(sessions: DataFrame) -> DataFrame:
 
 
 def fill_missing(sessions: DataFrame) -> DataFrame:
-    """NULL -> 0 for counts, flags, prices, std and duration, narrowed to
-    the session table types."""
+    """NULL and NaN -> 0 for counts, flags, prices, std and duration,
+    narrowed to the session table types."""
     out = sessions
     cols = set(sessions.columns)
     for c in COUNT_COLS:
@@ -59,7 +59,8 @@ def fill_missing(sessions: DataFrame) -> DataFrame:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("int"))
     for c in FLOAT_COLS:
         if c in cols:
-            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0)).cast("float"))
+            x = F.col(c).cast("double")
+            out = out.withColumn(c, F.when(x.isNull() | F.isnan(x), F.lit(0.0)).otherwise(x).cast("float"))
     if "has_brand" in cols:
         out = out.withColumn("has_brand", F.coalesce(F.col("has_brand"), F.lit(0)).cast("tinyint"))
     if "purchased" in cols:
@@ -137,11 +138,9 @@ def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> D
     if vocab is None:  # events of unknown origin: take the names they carry
         vocab = (ev.select("main_cat").filter(F.col("main_cat").isNotNull()).distinct()
                  .withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long")))
-    # the vocabulary has at most one row per category of the (size-checked)
-    # category map
-    ev = bounded_join(ev, vocab, "main_cat", "left")
+    ev = lookup_join(ev, vocab, "main_cat", "left", cache=True)
     np_ = non_purchase()
-    price = F.col("price").cast("double")
+    price = price_of()
     us = micros("event_time")
     kinds = F.array(
         F.struct(F.lit(0).alias("k"), F.lit(None).cast("long").alias("item")),
@@ -183,7 +182,7 @@ def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> D
         F.min_by(F.when(is3, F.col("item")), mode_key).alias("_cid"),
     )
     names = vocab.select("_cid", "main_cat")
-    return bounded_join(out, names, "_cid", "left").drop("_cid")
+    return lookup_join(out, names, "_cid", "left", cache=True).drop("_cid")
 
 
 def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -171,7 +171,8 @@ def quantile_cut(sessions: DataFrame, col: str = "n_events", p: float = OUTLIER_
 
 def log1p_hist(sessions: DataFrame, features: list[str] = HIST_FEATURES, bins: int = HIST_BINS) -> DataFrame:
     """log1p histograms: drop NULL/inf/negative values, 60 equal bins
-    between min and max (last edge inclusive) -> (feature, bin, lo, hi, n)."""
+    between min and max (last edge inclusive), empty ones too -> (feature, bin,
+    lo, n)."""
     lg = to_long(sessions, features)
     lg = lg.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.abs("x") != float("inf")) & (F.col("x") >= 0)) \
            .withColumn("x", F.log1p("x"))
@@ -180,7 +181,8 @@ def log1p_hist(sessions: DataFrame, features: list[str] = HIST_FEATURES, bins: i
     width = (F.col("_hi") - F.col("_lo")) / bins
     raw = F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("x") - F.col("_lo")) / width)).otherwise(F.lit(0))
     j = j.withColumn("bin", F.least(raw, F.lit(bins - 1)).cast("int"))
-    out = j.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),
-                                          F.first("_hi").alias("_hi"))
-    return out.select("feature", "bin", (F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins).alias("lo"),
-                      "n")
+    counts = j.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))  # bins x features
+    return grid.join(counts, ["feature", "bin"], "left").select(
+        "feature", "bin", (F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins).alias("lo"),
+        F.coalesce("n", F.lit(0).cast("long")).alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlab.operators.sessions import categorized_sessions
+from sessionlab.sources.tables import path_exists
 
 METRICS_SCHEMA = "run string, task string, model string, metric string, label string, value double"
 
@@ -32,26 +33,14 @@ def write_session_months(months: DataFrame, path: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Metrics table, or an empty one when missing or unreadable."""
-    try:
-        return spark.read.schema(METRICS_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - missing/corrupt store starts empty
+    """Metrics table, or an empty one while there is none; any other fault is raised."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], METRICS_SCHEMA)
+    return spark.read.schema(METRICS_SCHEMA).parquet(path)
 
 
 def metrics_upsert(metrics: DataFrame, path: str) -> None:
     """A10: replace only the (run, task) partitions present in ``metrics``,
     keep all others (dynamic partition overwrite)."""
-    spark = metrics.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (metrics.select("run", "task", "model", "metric", "label", F.col("value").cast("double"))
-         .write.mode("overwrite").partitionBy("run", "task").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def metrics_json(metrics: DataFrame, path: str) -> None:
-    """JSON export of the long metrics table (one line per metric)."""
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    (metrics.select("run", "task", "model", "metric", "label", F.col("value").cast("double"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "task").parquet(path))

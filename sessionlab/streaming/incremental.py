@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlab.constants import DEFAULT_DROP_CATEGORIES
-from sessionlab.functions.exprs import is_type, main_cat_of, micros, non_purchase
+from sessionlab.functions.exprs import is_type, main_cat_of, micros, non_purchase, price_of
+from sessionlab.operators.joins import lookup_join
 from sessionlab.operators.sessions import KEY, drop_categories, fill_missing
 
 
@@ -34,7 +35,7 @@ def batch_partials(events: DataFrame, batch: int) -> dict[str, DataFrame]:
     """Partials of one batch of events (raw schema + event_id + period)."""
     ev = events.filter(F.col(KEY).isNotNull())
     np_ = non_purchase()
-    price = F.when(np_, F.col("price").cast("double"))
+    price = F.when(np_, price_of())
     us = micros("event_time")
     first_key = F.struct((np_.cast("int") * -1).alias("a"), us.alias("b"), F.col("event_id").alias("c"))
     sess = ev.groupBy(KEY).agg(
@@ -62,14 +63,9 @@ def batch_partials(events: DataFrame, batch: int) -> dict[str, DataFrame]:
 
 def write_partials(parts: dict[str, DataFrame], root: str) -> None:
     """Overwrite this batch's partition of each partial table."""
-    spark = next(iter(parts.values())).sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        for name, df in parts.items():
-            df.write.mode("overwrite").partitionBy("batch").parquet(f"{root.rstrip('/')}/{name}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    for name, df in parts.items():
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+         .parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEGORIES) -> DataFrame:
@@ -81,24 +77,26 @@ def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEG
     cp = spark.read.parquet(f"{r}/category_partials")
     cmap = cp.groupBy("category_id").agg(
         F.max_by("category_code", F.struct(F.col("period"), -F.col("k.b"), -F.col("k.c"))).alias("category_code"))
-    n = F.sum("p_n")
-    mean = F.sum("p_sum") / n
-    m2 = F.sum("p_m2") + F.sum(F.when(F.col("p_n") > 0, F.col("p_sum") * F.col("p_sum") / F.col("p_n"))) \
-        - F.sum("p_sum") * F.sum("p_sum") / n
+    # the session's mean first, then what each part lies off it: nothing cancels
+    mean = sp.groupBy(KEY).agg(F.sum("p_n").alias("n"), F.try_divide(F.sum("p_sum"), F.sum("p_n")).alias("mean"))
+    off = F.col("p_sum") / F.nullif(F.col("p_n"), F.lit(0)) - F.col("mean")
+    spread = (sp.join(mean, KEY).groupBy(KEY)
+              .agg(F.first("n").alias("n"), F.first("mean").alias("avg_price"),
+                   F.sum(F.when(F.col("p_n") > 0, F.col("p_m2") + F.col("p_n") * off * off)).alias("m2"))
+              .select(KEY, "avg_price", F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("price_std")))
     merged = sp.groupBy(KEY).agg(
         F.min("first").alias("first"),
         *[F.sum(c).alias(c) for c in ("n_view", "n_cart", "n_remove", "n_events")],
-        mean.alias("avg_price"), F.min("p_min").alias("min_price"), F.max("p_max").alias("max_price"),
-        F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))).alias("price_std"),
+        F.min("p_min").alias("min_price"), F.max("p_max").alias("max_price"),
         ((F.max("t_max") - F.min("t_min")) / 1e6).alias("session_duration_sec"),
         F.max("has_brand").alias("has_brand"), F.max("purchased").alias("purchased"),
-    )
+    ).join(spread, KEY)
     items = spark.read.parquet(f"{r}/session_items")
     uniq = items.groupBy(KEY).agg(F.count_distinct("product_id").alias("unique_products"),
                                   F.count_distinct("category_id").alias("unique_categories"))
     cats = spark.read.parquet(f"{r}/session_categories").groupBy(KEY, "category_id").agg(F.sum("n").alias("n"))
-    labelled = cats.join(F.broadcast(cmap.select("category_id", main_cat_of("category_code").alias("main_cat"))),
-                         "category_id").groupBy(KEY, "main_cat").agg(F.sum("n").alias("n"))
+    names = cmap.select("category_id", main_cat_of("category_code").alias("main_cat"))
+    labelled = lookup_join(cats, names, "category_id", "inner", cache=True).groupBy(KEY, "main_cat").agg(F.sum("n").alias("n"))
     mode = labelled.groupBy(KEY).agg(F.min_by("main_cat", F.struct(-F.col("n"), F.col("main_cat"))).alias("main_cat"))
     out = merged.join(uniq, KEY, "left").join(mode, KEY, "left").withColumn("user_id", F.col("first.u"))
     out = fill_missing(out.withColumn("purchased", (F.col("purchased") > 0).cast("tinyint")))
@@ -123,19 +121,47 @@ def run_incremental(spark: SparkSession, source_dir: str, schema, root: str, che
     q.awaitTermination()
 
 
-def windowed_sessions(events: DataFrame, gap: str = "12 hours", watermark: str = "1 day") -> DataFrame:
-    """Streaming sessions without a session id: ``session_window`` per user,
-    late rows inside the watermark included, later ones dropped.
-    ``count(DISTINCT)`` is not allowed on streams and a per-session set would
-    grow with a hot session, so distinct counts are left to the partials path
-    (exact, set-free)."""
+def _window_totals(events: DataFrame, gap: str) -> DataFrame:
     np_ = non_purchase()
-    price = F.when(np_, F.col("price").cast("double"))
-    ev = events.withColumn("event_time", F.col("event_time").cast("timestamp"))  # watermarks need TIMESTAMP
-    return (ev.withWatermark("event_time", watermark)
-            .groupBy("user_id", F.session_window("event_time", gap).alias("session"))
+    price = F.when(np_, price_of())
+    return (events.groupBy("user_id", F.session_window("event_time", gap).alias("session"))
             .agg(F.count(F.when(np_, F.lit(1))).alias("n_events"),
                  F.avg(price).alias("avg_price"),
                  F.max(is_type("purchase")).alias("purchased"))
             .select("user_id", F.col("session.start").alias("session_start"), F.col("session.end").alias("session_end"),
                     "n_events", "avg_price", "purchased"))
+
+
+def windowed_sessions(events: DataFrame, gap: str = "12 hours", watermark: str = "1 day") -> DataFrame:
+    """Streaming sessions without a session id: ``session_window`` per user.
+
+    A session is emitted once the watermark has passed its end; those still
+    open when a stream ends are left to ``open_sessions``.  A row is lost only
+    if it arrives in a later micro-batch than one that moved the watermark past
+    it, that is more than ``watermark`` late.  ``count(DISTINCT)`` is not
+    allowed on streams and a per-session set would grow with a hot session, so
+    distinct counts are left to the partials path (exact, set-free)."""
+    ev = events.withColumn("event_time", F.col("event_time").cast("timestamp"))  # watermarks need TIMESTAMP
+    return _window_totals(ev.withWatermark("event_time", watermark), gap)
+
+
+def open_sessions(events: DataFrame, closed: DataFrame, gap: str = "12 hours") -> DataFrame:
+    """Sessions of ``events`` that a finished stream has not emitted: those that
+    begin at or after the end of the user's last ``closed`` one."""
+    ends = closed.groupBy("user_id").agg(F.max("session_end").alias("_end"))
+    ev = events.withColumn("event_time", F.col("event_time").cast("timestamp")).join(ends, "user_id", "left")
+    return _window_totals(ev.filter(F.col("_end").isNull() | (F.col("event_time") >= F.col("_end"))), gap)
+
+
+def run_windowed(spark: SparkSession, source_dir: str, schema, out: str, checkpoint: str, gap: str = "12 hours",
+                 watermark: str = "1 day") -> DataFrame:
+    """All sessions of the files under ``source_dir``: the stream takes every
+    file there in one micro-batch, so no watermark is set before all rows are
+    in and neither number nor order of the files matters; closed sessions go to
+    the file sink under ``out``, open ones are added from the source."""
+    stream = spark.readStream.schema(schema).parquet(source_dir)
+    q = (windowed_sessions(stream, gap, watermark).writeStream.outputMode("append").format("parquet")
+         .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    closed = spark.read.parquet(out)
+    return closed.unionByName(open_sessions(spark.read.schema(schema).parquet(source_dir), closed, gap))
