@@ -39,13 +39,31 @@ def test_boosted_and_linear_learn_signal(planted):
     assert max(imp, key=imp.get) == "n_cart"
 
 
-def test_multiclass_one_vs_rest(planted):
-    prepped = M.prepare_multiclass(planted)
-    m = M.boosted_multiclass(max_iter=5, parallelism=2).fit(prepped)
-    classes = prepped.select("main_cat", "label_idx").distinct()
-    sc = M.score_multiclass(m, prepped, classes)
-    mw = E.macro_weighted_f1(E.per_class_prf(E.confusion_multiclass(sc))).first()
+def test_multiclass_one_vs_rest(planted, spark, tmp_path):
+    """Saved, loaded and applied to rows that lack a class, or have a new one, the model keeps its
+    class names and loses no row."""
+    rows = M.training_frame(M.prepare_multiclass(planted), ("main_cat",))
+    M.save_model(M.fit_multiclass(M.boosted_multiclass(max_iter=5, parallelism=2), rows), str(tmp_path / "m"))
+    m = M.load_model(str(tmp_path / "m"))
+    assert M.class_names(m) == ["a", "b", "c"]
+    mw = E.macro_weighted_f1(E.per_class_prf(E.confusion_multiclass(M.score_multiclass(m, planted)))).first()
     assert mw.macro_f1 > 0.9
+    part = planted.filter("main_cat <> 'a'").withColumn("main_cat", F.expr("if(user_session = 's2', 'new', main_cat)"))
+    got = M.score_multiclass(m, part)
+    assert got.count() == part.count()
+    assert got.filter("label IN ('b', 'c') AND label <> pred").count() < 0.1 * part.count()
+    p = M.class_probabilities(m, part).select(F.size("proba").alias("n"), F.aggregate("proba", F.lit(0.0), lambda a, x: a + x).alias("s"))
+    assert p.filter("n <> 3 OR abs(s - 1) > 1e-9").count() == 0
+
+
+def test_jobs_end_in_saved_model_and_metrics(planted, spark, tmp_path):
+    from sessionlab import jobs
+    model, metrics = str(tmp_path / "model"), str(tmp_path / "metrics")
+    out = jobs.train_multiclass_job(planted, max_iter_lr=20, max_iter_gbt=3, model_path=model, metrics_path=metrics)
+    assert sinks.read_metrics(spark, metrics).count() == out.count() > 0
+    tables = jobs.evaluate_multiclass_job(model, planted)
+    assert {r.true_label for r in tables["confusion"].collect()} == {"a", "b", "c"}
+    assert {r.table for r in jobs.as_rows(tables).collect()} == set(tables)
 
 
 def test_label_index_alphabetical(planted):
@@ -72,12 +90,42 @@ def test_metrics_upsert_keeps_other_partitions(spark, tmp_path):
     assert sinks.read_metrics(spark, str(tmp_path / "missing")).count() == 0
 
 
+HEADER = ["event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price", "user_id", "user_session"]
+
+
+def _csv(path, rows=1, header=HEADER, extra="", **values):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    row = {"event_time": "2020-01-01 00:00:05 UTC", "event_type": "view", "product_id": "1", "category_id": "2", "price": "3.5",
+           "user_id": "7", "user_session": "s", **values}
+    path.write_text("\n".join([",".join(header), *[",".join(row.get(c, "") for c in header) + extra] * rows]) + "\n")
+    return str(path)
+
+
 def test_csv_scan_missing_file_fails_early(spark, tmp_path):
     from sessionlab.sources.events import scan_periods_csv
     with pytest.raises(FileNotFoundError):
         scan_periods_csv(spark, [str(tmp_path / "nope.csv")])
 
 
+def test_csv_by_name(spark, tmp_path):
+    from sessionlab.sources.events import read_events_csv
+    r = read_events_csv(spark, _csv(tmp_path / "a.csv", header=HEADER[::-1])).first()
+    assert (r.user_id, r.event_type, r.price, r.category_code, str(r.event_time)) == (7, "view", 3.5, None, "2020-01-01 00:00:05")
+    with pytest.raises(KeyError):
+        read_events_csv(spark, _csv(tmp_path / "b.csv", header=HEADER[1:]))
+    assert read_events_csv(spark, _csv(tmp_path / "c.csv", header=HEADER[1:]), columns=["user_id"]).first() == (7,)
+    for bad in (_csv(tmp_path / "d.csv", extra=",9,9"), _csv(tmp_path / "e.csv", user_id="x")):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|CAST_INVALID"):
+            read_events_csv(spark, bad).collect()
+
+
+def test_csv_periods_by_path(spark, tmp_path):
+    from sessionlab.sources.events import scan_periods_csv
+    paths = [_csv(tmp_path / d / "x.csv", n, h) for d, n, h in (("m-1", 2, HEADER), ("m-10", 3, HEADER[::-1]), ("with space", 4, HEADER))]
+    got = scan_periods_csv(spark, [p.rsplit("/", 1)[0] for p in paths]).groupBy("period").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 2), (1, 3), (2, 4)]
+
+
 def test_category_scan_is_pruned(spark):
     import __spark_entry__ as ent
     df = ent.queries()["scan_category_cols"](spark, "/root/testdata/sf0.001")

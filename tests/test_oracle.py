@@ -1,4 +1,5 @@
-"""Every registered query with an oracle agrees with DuckDB at sf0.001."""
+"""Registered queries of every family agree with DuckDB at sf0.001; ``tools/check_oracle.py``
+compares all of them."""
 
 import math
 
@@ -11,7 +12,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = ["part", "orders", "lineitem", "events", "customer"]
 FAST = ["shop_events", "category_map", "sessions_all", "monthly_merge", "session_main_cat", "stratified_split",
         "roc_auc", "average_precision", "feature_summary", "crosstab_purity", "classification_report",
-        "univariate_auc", "spot_recompute", "session_sample", "sessions_wide", "log1p_hist", "quantile_cut"]
+        "univariate_auc", "spot_recompute", "session_sample", "sessions_wide", "log1p_hist", "quantile_cut",
+        "windowed_sessions", "incremental_sessions", "scan_csv", "fill_missing", "column_presence", "dtype_report",
+        "metrics_upsert", "write_sessions", "attach_month_missing", "audit_report"]
 
 
 def _norm(v):

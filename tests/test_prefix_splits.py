@@ -150,3 +150,16 @@ def test_roc_curve_drops_collinear_points(spark):
     assert got == _roc_dropped_brute(pairs)
     full = {r.threshold for r in E.roc_curve(df, drop_intermediate=False).collect() if r.threshold is not None}
     assert full == {s for _, s in pairs} and got < full
+
+
+def test_ranges_follow_the_data(spark):
+    """A million distinct scores in [0.9, 1) are dealt out evenly."""
+    from sessionlab.operators.prefix import in_ranges
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(1_000_000).select((0.9 + F.col("id") * 1e-7).alias("x"))
+        n = [r["count"] for r in in_ranges(df, "x", []).groupBy("_b").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(n) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(n) < 3 * sum(n) / len(n)

@@ -34,55 +34,64 @@ def test_partials_merge_equals_batch(spark, tmp_path):
     assert inc["a"]["main_cat"] == "y"
 
 
+def test_incremental_spread_and_nan_prices(spark, tmp_path):
+    """Large prices that differ little, over two batches, and prices that are no numbers."""
+    rows = [ev(i, i, "view", "a", price=16_000_000.0 + i % 2, period=i // 3) for i in range(6)]
+    rows += [ev(10, 0, "view", "n", price=float("nan")), ev(11, 1, "view", "n", price=4.0), ev(12, 2, "cart", "n", price=float("nan"), period=1),
+             ev(13, 0, "view", "only", price=float("nan"))]
+    events = frame(spark, rows)
+    for b in (0, 1):
+        write_partials(batch_partials(events.filter(F.col("period") == b), b), str(tmp_path / "p"))
+    exact = {r.user_session: r for r in S.sessions_all(events).collect()}
+    inc = {r.user_session: r for r in merge_partials_exact(spark, str(tmp_path / "p")).collect()}
+    assert abs(exact["a"].price_std - 0.5477) < 1e-4 and abs(inc["a"].price_std - exact["a"].price_std) < 1e-6
+    for got in (exact, inc):
+        assert (got["n"].avg_price, got["n"].max_price, got["n"].min_price, got["n"].price_std) == (4.0, 4.0, 4.0, 0.0)
+        assert (got["only"].avg_price, got["only"].max_price, got["only"].n_events) == (0.0, 0.0, 1)
+
+
 def test_windowed_sessions_match_gaps_and_islands(spark, tmp_path):
-    """session_window + watermark over a file stream equals gaps-and-islands
-    on sorted times; a hot user holds about a third of the events."""
+    """All sessions whatever the number and order of the files, and without an event that closes
+    them; a hot user holds about a third of the events."""
     import random
     from datetime import timedelta
 
-    from sessionlab.streaming.incremental import windowed_sessions
-    from tests.helpers import EVENT_SCHEMA, T0
+    from pyspark.sql import types as T
+
+    from sessionlab.streaming.incremental import run_windowed
+    from tests.helpers import EVENT_SCHEMA
 
     rnd, gap = random.Random(7), timedelta(hours=12)
     rows, t_user, i = [], {}, 0
-    for _ in range(600):
+    for _ in range(400):
         user = 1 if rnd.random() < 0.34 else rnd.randint(2, 9)
         step = rnd.choice([rnd.randint(1, 600), rnd.randint(13 * 60, 40 * 60)])  # minutes, never exactly 12 h
         t_user[user] = t_user.get(user, 0) + step
         i += 1
         etype = rnd.choice(["view", "view", "cart", "remove_from_cart", "purchase"])
         rows.append(ev(i, t_user[user] * 60, etype, None, price=float(rnd.randint(1, 50)), user=user))
-    rows.sort(key=lambda r: r[1])
-    src = str(tmp_path / "src")
-    flush = [ev(i + 1, 86400 * 400, "view", None, user=999)]  # moves the watermark past every session
-    for chunk in (rows[:200], rows[200:400], rows[400:], flush):
-        frame(spark, chunk).drop("user_session").coalesce(1).write.mode("append").parquet(src)
-    from pyspark.sql import types as T
-    schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "user_session"])
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = str(tmp_path / "out")
-    q = (windowed_sessions(stream).writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {(r.user_id, r.session_start): r for r in spark.read.parquet(out).filter(F.col("user_id") != 999).collect()}
-
     want, by_user = {}, {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: r[1]):
         by_user.setdefault(r[8], []).append(r)
     for user, evs in by_user.items():
-        groups, cur = [], [evs[0]]
+        groups = [[evs[0]]]
         for a, b in zip(evs, evs[1:]):
             if b[1] - a[1] >= gap:
-                groups.append(cur)
-                cur = []
-            cur.append(b)
-        groups.append(cur)
+                groups.append([])
+            groups[-1].append(b)
         for g in groups:
             prices = [r[7] for r in g if r[2] != "purchase"]
             want[(user, g[0][1])] = (g[-1][1] + gap, len(prices), sum(prices) / len(prices) if prices else None,
                                      int(any(r[2] == "purchase" for r in g)))
-    assert got.keys() == want.keys()
-    for k, (end, n, avg, purchased) in want.items():
-        r = got[k]
-        assert (r.session_end, r.n_events, r.purchased) == (end, n, purchased), k
-        assert (r.avg_price is None) == (avg is None) and (avg is None or abs(r.avg_price - avg) < 1e-9), k
+    schema = T.StructType([f for f in EVENT_SCHEMA.fields if f.name != "user_session"])
+    for files in (1, 8):
+        rnd.shuffle(rows)
+        src = str(tmp_path / f"src{files}")
+        frame(spark, rows).drop("user_session").repartition(files).write.parquet(src)
+        out = run_windowed(spark, src, schema, f"{src}-out", f"{src}-ckpt").collect()
+        got = {(r.user_id, r.session_start): r for r in out}
+        assert len(out) == len(got) and got.keys() == want.keys()
+        for k, (end, n, avg, purchased) in want.items():
+            r = got[k]
+            assert (r.session_end, r.n_events, r.purchased) == (end, n, purchased), k
+            assert (r.avg_price is None) == (avg is None) and (avg is None or abs(r.avg_price - avg) < 1e-9), k
