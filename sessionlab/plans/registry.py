@@ -32,14 +32,15 @@ class Entry:
     name: str
     build: Callable[[SparkSession, str], DataFrame]
     sql: str | None
+    fits: bool = False   # trains a model, or waits for one
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, fits: bool = False):
     def deco(fn):
-        REGISTRY[name] = Entry(name, fn, sql)
+        REGISTRY[name] = Entry(name, fn, sql, fits)
         return fn
     return deco
 
@@ -1129,38 +1130,38 @@ def _split_frames(spark, d, label):
     return JOBS._split(f, label)
 
 
-@register("logreg_binary", None)
+@register("logreg_binary", None, fits=True)
 def q_logreg_binary(spark, d):
     train, test = _split_frames(spark, d, "purchased")
     tr = M.training_frame(M.prepare_binary(train))
     return M.score_binary(M.logreg_binary(reg=M.regularisation(tr)).fit(tr), JOBS._with_label(test))
 
 
-@register("boosted_binary", None)
+@register("boosted_binary", None, fits=True)
 def q_boosted_binary(spark, d):
     return JOBS.binary_scores(_trained(spark, d, "binary")[0], _feats(spark, d))
 
 
-@register("logreg_multiclass", None)
+@register("logreg_multiclass", None, fits=True)
 def q_logreg_multiclass(spark, d):
     train, test = _split_frames(spark, d, "main_cat")
     tr = M.training_frame(M.prepare_multiclass(train), ("main_cat",))
     return M.score_multiclass(M.fit_multiclass(M.logreg_multiclass(reg=M.regularisation(tr)), tr), test)
 
 
-@register("boosted_multiclass", None)
+@register("boosted_multiclass", None, fits=True)
 def q_boosted_multiclass(spark, d):
     return JOBS.multiclass_scores(_trained(spark, d, "multiclass")[0], _feats_cat(spark, d))
 
 
-@register("score_sessions", None)
+@register("score_sessions", None, fits=True)
 def q_score_sessions(spark, d):
     """M7: batch scoring of every session with the saved boosted binary model."""
     model = M.load_model(_trained(spark, d, "binary")[0])
     return M.score_binary(model, JOBS._with_label(_feats(spark, d)))
 
 
-@register("score_sessions_multiclass", None)
+@register("score_sessions_multiclass", None, fits=True)
 def q_score_sessions_multiclass(spark, d):
     """M7: class probabilities of every session, those without a known class too."""
     model = M.load_model(_trained(spark, d, "multiclass")[0])
@@ -1170,28 +1171,28 @@ def q_score_sessions_multiclass(spark, d):
                  .select("user_session", "pred", F.col("c.class").alias("class"), "c.proba")
 
 
-@register("feature_importance", None)
+@register("feature_importance", None, fits=True)
 def q_feature_importance(spark, d):
     return M.importance_table(spark, M.load_model(_trained(spark, d, "binary")[0]))
 
 
-@register("top_importance", None)
+@register("top_importance", None, fits=True)
 def q_top_importance(spark, d):
     """Top-5 features by importance (the limit is the feature)."""
     return M.importance_table(spark, M.load_model(_trained(spark, d, "binary")[0]), top=5)
 
 
-@register("train_binary_job", None)
+@register("train_binary_job", None, fits=True)
 def q_train_binary_job(spark, d):
     return SINK.read_metrics(spark, _trained(spark, d, "binary")[1])
 
 
-@register("train_multiclass_job", None)
+@register("train_multiclass_job", None, fits=True)
 def q_train_multiclass_job(spark, d):
     return SINK.read_metrics(spark, _trained(spark, d, "multiclass")[1])
 
 
-@register("model_save", None)
+@register("model_save", None, fits=True)
 def q_model_save(spark, d):
     """Importances of both saved models after loading, with the class names they carry."""
     out = None
@@ -1203,17 +1204,17 @@ def q_model_save(spark, d):
     return out
 
 
-@register("evaluate_binary_job", None)
+@register("evaluate_binary_job", None, fits=True)
 def q_evaluate_binary_job(spark, d):
     return JOBS.as_rows(JOBS.evaluate_binary_job(_trained(spark, d, "binary")[0], _feats(spark, d)))
 
 
-@register("evaluate_multiclass_job", None)
+@register("evaluate_multiclass_job", None, fits=True)
 def q_evaluate_multiclass_job(spark, d):
     return JOBS.as_rows(JOBS.evaluate_multiclass_job(_trained(spark, d, "multiclass")[0], _feats_cat(spark, d)))
 
 
-@register("temporal_validation_job", None)
+@register("temporal_validation_job", None, fits=True)
 def q_temporal_validation_job(spark, d):
     ev = materialize(_ev(spark, d))
     f = materialize(add_features(_all(ev)))
@@ -1223,13 +1224,13 @@ def q_temporal_validation_job(spark, d):
                                         metrics_path=fresh_path(spark, "metrics-temporal"))
 
 
-@register("cv_stability", None)
+@register("cv_stability", None, fits=True)
 def q_cv_stability(spark, d):
     """Q10/E14 with model fits: 5 folds of the boosted binary model."""
     return JOBS.cv_checks(JOBS.cv_job(_feats(spark, d), "purchased"), "binary")
 
 
-@register("cv_stability_multiclass", None)
+@register("cv_stability_multiclass", None, fits=True)
 def q_cv_stability_multiclass(spark, d):
     """Q10 (multi-class): 5 folds of the one-vs-rest boosted model."""
     return JOBS.cv_checks(JOBS.cv_job(_feats_cat(spark, d), "main_cat"), "multiclass")
