@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sessionlab.constants import N_FOLDS, RANDOM_STATE, TEST_SIZE
 from sessionlab.functions.exprs import hash_bucket, split_hash
-from sessionlab.operators.joins import lookup_join, with_scalars
+from sessionlab.operators.joins import lookup_join
 
 
 def class_rank(df: DataFrame, label: str | None, key: str = "user_session", seed: int = RANDOM_STATE,
@@ -83,14 +83,10 @@ def session_sample(sessions: DataFrame, n_pos: int = 2, n_neg: int = 2, seed: in
                    key: str = "user_session", label: str = "purchased") -> DataFrame:
     """n_pos purchased + n_neg not purchased + 1 edge session (n_events = 0
     if any exist, else any session), each the first in hash order."""
-    r = class_rank(sessions, label, key, seed, out="_r")
-    picked = r.filter(((F.col(label) == 1) & (F.col("_r") <= n_pos)) | ((F.col(label) == 0) & (F.col("_r") <= n_neg))) \
-              .withColumn("stratum", F.when(F.col(label) == 1, "purchased").otherwise("not_purchased"))
-    edge_pool = sessions.withColumn("_edge", (F.col("n_events") == 0).cast("int"))
-    e = class_rank(edge_pool, "_edge", key, seed + 1, out="_r")
-    has_edge = e.filter(F.col("_edge") == 1).agg(F.count(F.lit(1)).alias("_ne"))
-    e = with_scalars(e, has_edge)
-    edge = e.filter(((F.col("_ne") > 0) & (F.col("_edge") == 1) & (F.col("_r") == 1))
-                    | ((F.col("_ne") == 0) & (F.col("_r") == 1))) \
-            .drop("_edge", "_ne").withColumn("stratum", F.lit("edge"))
-    return picked.drop("_r").unionByName(edge.drop("_r"))
+    def first(rows: DataFrame, n: int, s: int, *before) -> DataFrame:
+        # planned as a top-n: every task keeps n rows, no table is ranked
+        return rows.orderBy(*before, split_hash(key, s), key).limit(n)
+    pos = first(sessions.filter(F.col(label) == 1), n_pos, seed).withColumn("stratum", F.lit("purchased"))
+    neg = first(sessions.filter(F.col(label) == 0), n_neg, seed).withColumn("stratum", F.lit("not_purchased"))
+    edge = first(sessions, 1, seed + 1, F.col("n_events") != 0).withColumn("stratum", F.lit("edge"))
+    return pos.unionByName(neg).unionByName(edge)

@@ -348,7 +348,7 @@ def q_purch_wo_cat(spark, d):
 def q_raw_for_sessions_m(spark, d):
     """Raw events of the sampled sessions (left semi on the sample keys)."""
     ev = _ev(spark, d)
-    sample = D.session_sample(_all(ev))
+    sample = D.session_sample(materialize(_all(ev)))
     return J.only_in(ev, sample.select("user_session"))
 
 

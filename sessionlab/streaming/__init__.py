@@ -1,3 +1,3 @@
 from sessionlab.streaming.incremental import (  # noqa: F401
-    batch_partials, merge_partials_exact, run_incremental, windowed_sessions,
+    batch_partials, merge_partials_exact, open_sessions, run_incremental, run_windowed, windowed_sessions,
 )
