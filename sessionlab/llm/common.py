@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -47,13 +48,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table to the shared folder and read it back: lineage ends at files
-    that every executor sees, so a lost executor costs a re-read, not a re-run."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a derived table to the shared folder (one folder for each value of ``by``) and read it
+    back: lineage ends at files that every executor sees, so a lost executor costs a re-read, not
+    a re-run."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return (spark.read.schema(df.schema) if by else spark.read).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
@@ -74,3 +76,17 @@ def unguarded(df: DataFrame, columns: list[str], needed: list[str], out: list[st
     kept = [c for c in columns if c in needed or c.lower() not in out]
     return df.select(*[F.col(f"`{c}`") if c in needed else F.col("_rest").getField(c).alias(c) for c in kept],
                      *[c for c in out if c not in needed])
+
+
+def release(spark: SparkSession, *tables: DataFrame, parts: tuple[str, ...] = ()) -> None:
+    """Free what finished steps left on disk: written tables (of partitioned ones only the
+    ``parts`` named) that no later step reads, and the shuffle files of finished jobs, which Spark
+    removes once the driver has collected the objects that stand for them."""
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        if parts and not folder.endswith(parts):
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()

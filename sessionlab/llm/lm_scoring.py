@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlab.llm.chunks import END, MESSAGE, cut, messages, pack, rows_of, text_chunks, unpack, words_of
-from sessionlab.llm.common import written
+from sessionlab.llm.common import release, written
 from sessionlab.llm.tokens import mix
 
 #: words of training and scored text for each shard (about)
@@ -453,7 +453,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     The model learns from the rows that ``held_out`` does not mark (null: not marked).
     """
-    settings = settings or Settings()
+    settings, spark = settings or Settings(), docs.sparkSession
     chunks = text_chunks(docs, doc_id, text, held_out)
     words = chunks.agg(F.sum("n")).first()[0] or 0
     shards = max(4, math.ceil(words / SHARD_WORDS))
@@ -463,18 +463,22 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     vocabulary = sum(x[0] for x in found)
     n_train = sum(x[1] for x in found)
     split = {int(h): 1 + int(c / threshold) for *_, hs, cs in found for h, c in zip(hs, cs)}
-    pairs = written(_grouped(chunks.mapInArrow(_each_chunk(shards, split, _send_pairs), MESSAGE), _build(shards)), "lm-pairs")
+    pairs = written(_grouped(chunks.mapInArrow(_each_chunk(shards, split, _send_pairs), MESSAGE), _build(shards)), "lm-pairs", by="kind")
+    release(spark)
     first = written(_grouped(pairs.filter("kind = 'first'"), _root_first(vocabulary, settings)), "lm-root")
 
     def sums(df: DataFrame) -> list[tuple[int, int]]:
         got = [(r["peer"], *unpack(r["blob"])) for r in df.filter("kind = 'sum'").select("peer", "blob").collect()]
         return [(sum(c for k, c, _ in got if k == s), sum(t for k, _, t in got if k == s)) for s in range(settings.samples)]
+    release(spark)
     rest = _root_rest(sums(first)[0], vocabulary, settings)
     seated = written(_grouped(pairs.filter("kind IN ('state', 'asked')").unionByName(first.filter("kind = 'root'")),
                               _gibbs(shards, split, rest, settings)), "lm-seated")
+    release(spark, pairs, parts=("kind=state", "kind=asked"))
     last = written(_grouped(lists.unionByName(pairs.filter("kind = 'first'"))
                             .unionByName(seated.filter("kind IN ('tables', 'totals')")), _root_last(vocabulary, settings)), "lm-last")
     rests = [_root_rest(s, vocabulary, settings) for s in sums(last)]
+    release(spark, lists, pairs, first)
     texts = chunks.select(F.lit("text").alias("kind"), F.col("chunk").alias("key"), F.lit(0).cast("long").alias("peer"), "blob", "ids", "held")
     answers = seated.filter("kind = 'answer'").unionByName(last.filter("kind = 'words'"))
     schema = ("id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
