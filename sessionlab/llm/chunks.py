@@ -8,6 +8,7 @@ key, peer, blob); a group receives those of its key and sends others on.
 from __future__ import annotations
 
 import pickle
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,30 @@ MESSAGE = "kind string, key long, peer long, blob binary"
 _ARROW = pa.schema([("kind", pa.string()), ("key", pa.int64()), ("peer", pa.int64()), ("blob", pa.binary())])
 
 
-def pack(*arrays) -> bytes:
-    return zstandard.compress(pickle.dumps(arrays, 5), 1)
+def pack(*values) -> bytes:
+    """Arrays (of one or two dimensions) with a few bytes of header each; anything else is pickled."""
+    if not all(isinstance(v, np.ndarray) for v in values):
+        return b"p" + zstandard.compress(pickle.dumps(values, 5), 1)
+    head, body = [], []
+    for v in values:
+        v = np.ascontiguousarray(v)
+        head.append(struct.pack("<2sBqq", v.dtype.str[1:].encode(), v.ndim, v.shape[0], v.shape[-1]))
+        body.append(v.tobytes())
+    return b"a" + bytes([len(values)]) + zstandard.compress(b"".join(head + body), 1)
 
 
 def unpack(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(blob))
+    if blob[:1] == b"p":
+        return pickle.loads(zstandard.decompress(blob[1:]))
+    n, raw, step = blob[1], zstandard.decompress(blob[2:]), struct.calcsize("<2sBqq")
+    out, at = [], n * step
+    for k in range(n):
+        kind, dims, rows, columns = struct.unpack_from("<2sBqq", raw, k * step)
+        kind, size = np.dtype(kind.decode()), rows * (columns if dims == 2 else 1)
+        v = np.frombuffer(raw, kind, size, at)
+        out.append(v.reshape(rows, columns) if dims == 2 else v)
+        at += size * kind.itemsize
+    return tuple(out)
 
 
 def messages(rows: list[tuple[str, int, int, bytes]]) -> pa.Table:
