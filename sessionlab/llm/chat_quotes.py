@@ -55,23 +55,33 @@ def _hashed(text: Column, whole: bool) -> Column:
         F.lit(whole).alias("whole"), F.xxhash64(n, F.lit(whole)).alias("h"), F.length(n).alias("chars"))))
 
 
-def _passage_rows(messages: DataFrame) -> DataFrame:
-    """(thread, turn, quote, level, whole, h, chars): own passages and quoted ones."""
-    line = (messages.select("_thread", "_turn", "_row", F.posexplode("_lines").alias("pos", "l"))
-            .select("_thread", "_turn", "_row", "pos", "l.level", "l.content"))
-    by_line = (line.select("_thread", "_turn", "level", _hashed(F.col("content"), False).alias("p"))
-               .filter(F.col("p").isNotNull()).select("_thread", "_turn", "level", "p.*"))
-    # runs of one level within a message: its lines are one row's, however long the thread
-    w = Window.partitionBy("_thread", "_turn", "_row").orderBy("pos")
-    run = (line.withColumn("new", (F.col("level") != F.lag("level", 1, -1).over(w)).cast("int"))
-           .withColumn("run", F.sum("new").over(w)).filter(F.col("level") > 0)
-           .groupBy("_thread", "_turn", "_row", "run", "level")
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda e: e["content"]), "\n").alias("t")))
-    own = messages.select("_thread", "_turn", F.lit(0).alias("level"), F.col("_own").alias("t"))
-    whole = (run.select("_thread", "_turn", "level", "t").unionByName(own)
-             .select("_thread", "_turn", "level", _hashed(F.col("t"), True).alias("p"))
-             .filter(F.col("p").isNotNull()).select("_thread", "_turn", "level", "p.*"))
-    return by_line.unionByName(whole).distinct()
+def _quoted(lines: Column) -> Column:
+    """Array of (level, text) of the runs of quoted lines of one level."""
+    def of(a):
+        new = F.filter(F.sequence(F.lit(0), F.size(a) - 1),
+                       lambda i: (i == 0) | (F.get(a, i)["level"] != F.get(a, i - 1)["level"]))
+        runs = let(new, lambda s: F.transform(s, lambda i, k: F.struct(
+            F.get(a, i)["level"].alias("level"),
+            F.array_join(F.transform(F.slice(a, i + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - i), lambda e: e["content"]), "\n").alias("t"))))
+        return F.filter(runs, lambda r: r["level"] > 0)
+    return let(lines, of)
+
+
+def _passage_rows(messages: DataFrame, text: str) -> DataFrame:
+    """(thread, turn, level, whole, h, chars): own passages (level 0) and quoted ones, whole and line
+    by line.  They are taken and hashed within the message, so no text is shuffled."""
+    def hashed(level, t, whole):
+        return let(_hashed(t, whole), lambda p: F.when(p.isNotNull(), F.struct(
+            level.cast("int").alias("level"), p["whole"].alias("whole"), p["h"].alias("h"), p["chars"].alias("chars"))))
+
+    def of(a):
+        by_line = F.transform(a, lambda e: hashed(e["level"], e["content"], False))
+        quoted = F.transform(_quoted(a), lambda r: hashed(r["level"], r["t"], True))
+        own = F.array(hashed(F.lit(0), own_text(a), True))
+        return F.array_distinct(F.concat(by_line, quoted, own))
+    found = let(_lines(F.col(text)), of)
+    return messages.select("_thread", "_turn", F.explode(found).alias("p")).filter(F.col("p").isNotNull()) \
+                   .select("_thread", "_turn", "p.*").distinct()
 
 
 def reply_links(passages: DataFrame) -> DataFrame:
@@ -138,15 +148,15 @@ def conversations(messages: DataFrame, thread: str = "conv_id", turn: str = "tur
     base = (guarded(messages, [thread, turn, text], out)
             .withColumn("_thread", F.coalesce(F.col(thread).cast("string"), F.lit("\0null")))
             .withColumn("_turn", F.coalesce(F.col(turn).cast("long"), F.lit(-1).cast("long")))
-            .withColumn("_lines", _lines(F.col(text))).withColumn("_own", own_text(F.col("_lines")))
             .withColumn("_row", F.xxhash64(F.col(text))))
     parsed = written(base, "messages")
-    trees = reply_trees(reply_links(_passage_rows(parsed.select("_thread", "_turn", "_row", "_lines", "_own").dropDuplicates(["_thread", "_turn", "_row"]))))
-    joined = (parsed.join(trees, ["_thread", "_turn"], "left")
-              .withColumn("n_quoted_lines", F.size(F.filter("_lines", lambda e: e["level"] > 0)).cast("long"))
-              .withColumn(text, F.col("_own")).withColumn("thread_root", F.coalesce("root", "_turn"))
-              .withColumn("depth", F.coalesce("depth", F.lit(0).cast("long")))
-              .drop("_lines", "_own", "root"))
+    trees = reply_trees(reply_links(written(_passage_rows(parsed, text), "passages")))
+    lines = let(_lines(F.col(text)), lambda a: F.struct(
+        own_text(a).alias("own"), F.size(F.filter(a, lambda e: e["level"] > 0)).cast("long").alias("quoted")))
+    joined = (parsed.withColumn("_l", lines).withColumn("n_quoted_lines", F.col("_l.quoted")).withColumn(text, F.col("_l.own"))
+              .drop("_l").join(trees, ["_thread", "_turn"], "left")
+              .withColumn("thread_root", F.coalesce("root", "_turn"))
+              .withColumn("depth", F.coalesce("depth", F.lit(0).cast("long"))).drop("root"))
     done = numbered(joined, "_thread", ["thread_root", "depth", "_turn", "_row"], "position")
     return unguarded(done, messages.columns, [thread, turn, text], out)
 
