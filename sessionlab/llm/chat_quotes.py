@@ -110,18 +110,18 @@ def reply_links(passages: DataFrame) -> DataFrame:
 
 
 def reply_trees(links: DataFrame) -> DataFrame:
-    """(thread, turn, reply_to, root, depth) for every linked message, by pointer jumping."""
-    state = written(links.select("_thread", "_turn", "reply_to", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("depth")), "replies")
-    while True:
+    """(thread, turn, reply_to, root, depth) for every linked message, by pointer jumping: the
+    distance to ``root`` doubles every round, and messages that have arrived drop out."""
+    state = written(links.select("_thread", "_turn", "reply_to", F.col("reply_to").alias("root"), F.lit(1).cast("long").alias("depth"),
+                                 F.lit(True).alias("open")), "replies")
+    while state.filter("open").limit(1).count():
         up = state.select(F.col("_thread").alias("u_thread"), F.col("_turn").alias("u_turn"), F.col("root").alias("u_root"),
                           F.col("depth").alias("u_depth"))
-        jumped = (state.join(up, (F.col("_thread") == F.col("u_thread")) & (F.col("root") == F.col("u_turn")), "left")
+        jumped = (state.filter("open").join(up, (F.col("_thread") == F.col("u_thread")) & (F.col("root") == F.col("u_turn")), "left")
                   .select("_thread", "_turn", "reply_to", F.coalesce("u_root", "root").alias("root"),
-                          (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth"), F.col("u_root").isNotNull().alias("moved")))
-        jumped = written(jumped, "replies")
-        state = jumped.drop("moved")
-        if not jumped.filter("moved").limit(1).count():
-            return state
+                          (F.col("depth") + F.coalesce("u_depth", F.lit(0))).alias("depth"), F.col("u_root").isNotNull().alias("open")))
+        state = written(jumped.unionByName(state.filter("NOT open")), "replies")
+    return state.drop("open")
 
 
 def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
