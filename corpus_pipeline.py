@@ -15,8 +15,10 @@ from sessionlab.sources.tables import read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are depleted of their own lines go."""
-    return quality_rules.quality_rules(docs).filter("kept").select(*docs.columns)
+    """Documents that fail the base rules or are depleted of their own lines go; the others lose
+    the lines that are frequent on their host."""
+    n_chars = F.when(F.col("n_frequent_words") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return quality_rules.quality_rules(docs).filter("kept").withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,32 +76,33 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """One row for each (host, distinct text, line): the words the line holds in the text and
-    the hash of the longest other line."""
-    norm = F.transform(_lines(F.col(text)), lambda x: F.btrim(F.regexp_replace(F.lower(x), r"[\x20\x09-\x0D]+", " "), F.lit(" ")))
-    hashed = F.transform(norm, lambda x: F.struct(
-        F.length(x).alias("len"), F.xxhash64(x).alias("h"),
-        (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("w")))
+    """One row for each (host, distinct text, position of a line that holds a word): hash and words
+    of the line and the hash of the longest other line."""
+    hashed = F.filter(F.transform(F.split(text_or_empty(F.col(text)), "\n"), lambda x, i: let(
+        F.btrim(F.regexp_replace(F.lower(x), r"[\x20\x09-\x0D]+", " "), F.lit(" ")),
+        lambda n: F.when(n != "", F.struct(
+            F.length(n).alias("len"), F.xxhash64(n).alias("h"),
+            (F.length(n) - F.length(F.replace(n, F.lit(" "), F.lit(""))) + 1).cast("long").alias("w"), i.alias("pos"))))),
+        lambda e: e.isNotNull())
 
     def with_other(a):
         return let(F.array_max(a), lambda top: let(
             F.array_max(F.filter(a, lambda e: e["h"] != top["h"])),
-            lambda second: F.transform(a, lambda e, i: F.struct(
-                i.alias("pos"), e["h"].alias("h"), e["w"].alias("w"),
+            lambda second: F.transform(a, lambda e: F.struct(
+                e["pos"].alias("pos"), e["h"].alias("h"), e["w"].alias("w"),
                 F.when(e["h"] == top["h"], F.coalesce(second["h"], F.lit(0).cast("long"))).otherwise(top["h"]).alias("other")))))
 
     k1, k2 = content_key(F.col(text))
     return (docs.select(F.col(host).alias("host"), k1, k2, F.inline(let(hashed, with_other)))
             .groupBy("host", "k1", "k2", "pos")   # exact copies on a host count once
-            .agg(F.min("h").alias("h"), F.min("w").alias("w"), F.min("other").alias("other"))
-            .groupBy("host", "k1", "k2", "h")
-            .agg(F.sum("w").alias("w"), F.min("other").alias("other")))
+            .agg(F.min("h").alias("h"), F.min("w").alias("w"), F.min("other").alias("other")))
 
 
 def frequent_lines(rows: DataFrame, min_docs: int, min_share: float, min_spread: float) -> DataFrame:
     """(host, h) of the lines above the limits."""
     on_host = (rows.select("host", "k1", "k2").distinct().groupBy("host").agg(F.count("*").alias("host_docs")))
-    counted = (rows.groupBy("host", "h").agg(F.count("*").alias("docs"), F.countDistinct("other").alias("spread"))
+    once = rows.groupBy("host", "k1", "k2", "h").agg(F.min("other").alias("other"))   # a line of one text counts once
+    counted = (once.groupBy("host", "h").agg(F.count("*").alias("docs"), F.countDistinct("other").alias("spread"))
                .filter((F.col("docs") > min_docs) & (F.col("spread") > min_docs)
                        & (F.col("spread") >= min_spread * F.col("docs"))))
     c, o = counted.alias("c"), on_host.alias("o")
@@ -111,7 +112,8 @@ def frequent_lines(rows: DataFrame, min_docs: int, min_share: float, min_spread:
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = 20,
                   min_share: float = 0.001, min_spread: float = 0.5, min_left: float = 0.2) -> DataFrame:
-    """Every row of ``docs`` with the base measures, ``n_frequent_words`` and ``kept``.
+    """Every row of ``docs`` with the lines above the limits taken out of ``text``, the base
+    measures of the text as it came, ``n_frequent_words`` (words taken out) and ``kept``.
 
     A line is above the limits when it stands in more than ``min_docs`` distinct documents
     of its host, in more than ``min_share`` of them, and its spread is at least
@@ -123,14 +125,17 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     rows = written(line_rows(docs, text, host), "line-rows")
     bad = frequent_lines(rows, min_docs, min_share, min_spread).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
     taken = (rows.join(bad, F.expr("host <=> b_host AND h = b_h"))
-             .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"))
-             .select(F.col("host").alias("t_host"), F.col("k1").alias("t_k1"), F.col("k2").alias("t_k2"), "n_frequent_words"))
+             .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"), F.collect_list("pos").alias("_gone"))
+             .withColumnsRenamed({"host": "t_host", "k1": "t_k1", "k2": "t_k2"}))
     taken = written(taken, "frequent-lines")   # so that the join below can split the copies of one text
     k1, k2 = content_key(F.col(text))
     base = base_rules(docs, text).withColumns({"_k1": k1, "_k2": k2})
+    cleaned = let(F.split(F.col(text), "\n"), lambda x: F.array_join(
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
     done = (base.join(taken, F.expr(f"`{host}` <=> t_host AND _k1 = t_k1 AND _k2 = t_k2"), "left")
             .withColumn("n_frequent_words", F.coalesce("n_frequent_words", F.lit(0).cast("long")))
             .withColumn("kept", ~F.col("base_failed")
                         & (F.col("n_words") - F.col("n_frequent_words") >= min_left * F.col("n_words")))
-            .drop("_k1", "_k2", "t_host", "t_k1", "t_k2"))
+            .withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(cleaned))
+            .drop("_k1", "_k2", "t_host", "t_k1", "t_k2", "_gone"))
     return unguarded(done, columns, [text, host], out)

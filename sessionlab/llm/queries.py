@@ -36,7 +36,7 @@ def op6_line_dedup(spark, d):
 def op8_quality_rules(spark, d):
     out = quality_rules.quality_rules(read_table(spark, d, "documents", ["doc_id", "source", "text"]))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", "n_frequent_words")
+                      "kept", "n_frequent_words", "text")
 
 
 @register

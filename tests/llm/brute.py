@@ -189,3 +189,18 @@ def shared_passages(rows, words=51):
             if len(own[tuple(x[k:k + words])]) > 1:
                 out[i].update(range(k, k + words))
     return out
+
+
+def without_host_lines(rows, min_docs=20):
+    """rows (doc_id, text, host) -> (text without the lines in more than ``min_docs`` distinct texts of the host, words taken out)."""
+    docs = defaultdict(set)
+    for _, t, h in rows:
+        for x in own_lines(t):
+            docs[h, norm_line(x)].add(t)
+    bad = {k for k, d in docs.items() if len(d) > min_docs}
+    out = []
+    for _, t, h in rows:
+        gone = [x for x in own_lines(t) if (h, norm_line(x)) in bad]
+        left = None if t is None else "\n".join(x for x in t.split("\n") if not (WORD.search(x) and (h, norm_line(x)) in bad))
+        out.append((left, sum(len(WORD.findall(x)) for x in gone)))
+    return out
