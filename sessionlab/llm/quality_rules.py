@@ -4,11 +4,11 @@
 (host, line) the distinct documents that carry it, takes the lines above the limits out
 and rejects documents of which too little is left.
 
-Two counts are held for a (host, line).  ``docs`` counts distinct texts, so exact copies
-count once.  ``spread`` counts distinct companions: for each document the longest of its
-*other* lines.  Furniture of a site stands beside ever new lines, so its spread is near
-its docs; the lines of a mass-copied or lightly edited page always stand beside each
-other, so their spread stays small and the page is left to the near-duplicate stages.
+Documents are distinct texts of a host, so exact copies count once.  Near copies of one page
+count once, too: a text that has less than ``NEAR_COPY_PERCENT`` of its words outside the
+lines of many texts is named, for the count, by one of those lines, drawn by a min-hash that
+weighs lines by their words; a mass-copied page with small edits so gets few names and is left
+to the near-duplicate stages.  What stands beside a line decides nothing else.
 
 Defined cases: null text is the empty text (no words, ``base_failed``); null host is a
 host of its own; an empty table gives an empty result; repeated rows get equal verdicts;
@@ -17,7 +17,7 @@ columns of the input that share a name with an output column are not carried ove
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.llm.common import WS_CHARS, content_key, guarded, let, text_or_empty, unguarded, words, written
@@ -26,6 +26,8 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+#: words outside the lines of many texts, of all words, below which a text is a near copy
+NEAR_COPY_PERCENT = 5
 
 
 def _covered(positions: Column) -> Column:
@@ -77,54 +79,63 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
     """One row for each (host, distinct text, position of a line that holds a word): hash and words
-    of the line and the hash of the longest other line."""
+    of the line, and ``n``, the words of the text."""
     hashed = F.filter(F.transform(F.split(text_or_empty(F.col(text)), "\n"), lambda x, i: let(
         F.btrim(F.regexp_replace(F.lower(x), r"[\x20\x09-\x0D]+", " "), F.lit(" ")),
         lambda n: F.when(n != "", F.struct(
-            F.length(n).alias("len"), F.xxhash64(n).alias("h"),
-            (F.length(n) - F.length(F.replace(n, F.lit(" "), F.lit(""))) + 1).cast("long").alias("w"), i.alias("pos"))))),
+            i.alias("pos"), F.xxhash64(n).alias("h"),
+            (F.length(n) - F.length(F.replace(n, F.lit(" "), F.lit(""))) + 1).alias("w"))))),
         lambda e: e.isNotNull())
 
-    def with_other(a):
-        return let(F.array_max(a), lambda top: let(
-            F.array_max(F.filter(a, lambda e: e["h"] != top["h"])),
-            lambda second: F.transform(a, lambda e: F.struct(
-                e["pos"].alias("pos"), e["h"].alias("h"), e["w"].alias("w"),
-                F.when(e["h"] == top["h"], F.coalesce(second["h"], F.lit(0).cast("long"))).otherwise(top["h"]).alias("other")))))
+    def with_words(a):
+        return let(F.aggregate(a, F.lit(0), lambda n, e: n + e["w"]), lambda n: F.transform(a, lambda e: F.struct(
+            e["pos"].alias("pos"), e["h"].alias("h"), e["w"].alias("w"), n.alias("n"))))
 
     k1, k2 = content_key(F.col(text))
-    return (docs.select(F.col(host).alias("host"), k1, k2, F.inline(let(hashed, with_other)))
+    return (docs.select(F.col(host).alias("host"), k1, k2, F.inline(let(hashed, with_words)))
             .groupBy("host", "k1", "k2", "pos")   # exact copies on a host count once
-            .agg(F.min("h").alias("h"), F.min("w").alias("w"), F.min("other").alias("other")))
+            .agg(F.min("h").alias("h"), F.min("w").alias("w"), F.min("n").alias("n")))
 
 
-def frequent_lines(rows: DataFrame, min_docs: int, min_share: float, min_spread: float) -> DataFrame:
+def common_rows(rows: DataFrame, min_docs: int) -> DataFrame:
+    """Rows of the lines in more than ``min_docs`` texts of their host; (c1, c2) names the text, or
+    the page it is a near copy of."""
+    common = written(rows.select("host", "h", "k1", "k2").distinct().groupBy("host", "h").agg(F.count("*").alias("docs"))
+                     .filter(F.col("docs") > min_docs)
+                     .select(F.col("host").alias("c_host"), F.col("h").alias("c_h")), "common-lines")
+    text = Window.partitionBy("host", "k1", "k2")
+    drawn = -F.ln((F.shiftrightunsigned("h", 11) + 0.5) / 2.0 ** 53) / F.col("w")
+    near = 100 * (F.col("n") - F.sum("w").over(text)) < NEAR_COPY_PERCENT * F.col("n")
+    return (rows.join(common, F.expr("host <=> c_host AND h = c_h"))
+            .withColumns({"_near": near, "_name": F.min(F.struct(drawn.alias("at"), F.col("h").alias("h"))).over(text)["h"]})
+            .select("host", "k1", "k2", "pos", "h", "w", F.when(F.col("_near"), F.col("_name")).otherwise(F.col("k1")).alias("c1"),
+                    F.when(F.col("_near"), F.lit(0).cast("long")).otherwise(F.col("k2")).alias("c2")))
+
+
+def frequent_lines(held: DataFrame, rows: DataFrame, min_docs: int, min_share: float) -> DataFrame:
     """(host, h) of the lines above the limits."""
     on_host = (rows.select("host", "k1", "k2").distinct().groupBy("host").agg(F.count("*").alias("host_docs")))
-    once = rows.groupBy("host", "k1", "k2", "h").agg(F.min("other").alias("other"))   # a line of one text counts once
-    counted = (once.groupBy("host", "h").agg(F.count("*").alias("docs"), F.countDistinct("other").alias("spread"))
-               .filter((F.col("docs") > min_docs) & (F.col("spread") > min_docs)
-                       & (F.col("spread") >= min_spread * F.col("docs"))))
+    counted = (held.groupBy("host", "h").agg(F.countDistinct("c1", "c2").alias("docs")).filter(F.col("docs") > min_docs))
     c, o = counted.alias("c"), on_host.alias("o")
     return (c.join(o, F.expr("c.host <=> o.host"))
-            .filter(F.col("docs") > min_share * F.col("host_docs")).select("c.host", "c.h", "c.docs"))
+            .filter(F.col("docs") > min_share * F.col("host_docs")).select("c.host", "c.h"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = 20,
-                  min_share: float = 0.001, min_spread: float = 0.5, min_left: float = 0.2) -> DataFrame:
+                  min_share: float = 0.001, min_left: float = 0.2) -> DataFrame:
     """Every row of ``docs`` with the lines above the limits taken out of ``text``, the base
     measures of the text as it came, ``n_frequent_words`` (words taken out) and ``kept``.
 
     A line is above the limits when it stands in more than ``min_docs`` distinct documents
-    of its host, in more than ``min_share`` of them, and its spread is at least
-    ``min_spread`` of its documents.  A document is depleted, and rejected, when less than
+    of its host and in more than ``min_share`` of them.  A document is depleted, and rejected, when less than
     ``min_left`` of its words stand outside such lines.
     """
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"]
     columns, docs = docs.columns, guarded(docs, [text, host], out)
     rows = written(line_rows(docs, text, host), "line-rows")
-    bad = frequent_lines(rows, min_docs, min_share, min_spread).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
-    taken = (rows.join(bad, F.expr("host <=> b_host AND h = b_h"))
+    held = written(common_rows(rows, min_docs), "common-rows")
+    bad = frequent_lines(held, rows, min_docs, min_share).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
+    taken = (held.join(bad, F.expr("host <=> b_host AND h = b_h"))
              .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"), F.collect_list("pos").alias("_gone"))
              .withColumnsRenamed({"host": "t_host", "k1": "t_k1", "k2": "t_k2"}))
     taken = written(taken, "frequent-lines")   # so that the join below can split the copies of one text

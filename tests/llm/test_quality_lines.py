@@ -27,3 +27,21 @@ def test_lines_are_taken_out(spark):
     table = spark.createDataFrame([(*x, len(x[1] or "")) for x in data], SCHEMA + ", n_chars long")
     kept = corpus_pipeline.quality(spark, table, "").collect()
     assert len(kept) == 50 and all(r.text == got[r.doc_id].text and r.n_chars == len(r.text) for r in kept)
+
+
+def test_long_furniture(spark):
+    """Two shared lines longer than the own ones, each the longest other line of the rest, and two short ones."""
+    shared = [line("notice", 60), line("menu", 50), "cookie line here", "share this"]
+    data = [(i, "\n".join([*shared[:i % 4], line(f"own{i}x", 24), *shared[i % 4:]]), "s") for i in range(60)]
+    got = as_brute(spark, data)
+    assert not any(r.kept for r in got.values()) and all(got[i].text == line(f"own{i}x", 24) for i in range(60))
+
+
+def test_mass_copies(spark):
+    """A page of 40 lines copied 300 times with another line edited in each stays whole beside furniture that goes."""
+    body = [line(f"p{k}w", 8 + k) for k in range(40)]
+    menu = line("menu", 12)
+    data = [(i, "\n".join([menu, *body[:i % 40], f"edit {i}", *body[i % 40 + 1:]]), "s") for i in range(300)]
+    data += [(1000 + i, f"{menu}\n{line(f'own{i}x', 30)}", "s") for i in range(40)]
+    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert all(got[x[0]].kept and got[x[0]].text == x[1].removeprefix(menu + "\n") for x in data)
