@@ -1,7 +1,7 @@
 """Quality rules with cross-document line frequency (native: DataFrame expressions only).
 
 ``quality_rules`` measures every text, hashes its normalised lines, counts for each
-(host, line) the distinct documents that carry it, takes the lines above the limits out
+(host, line) the distinct documents that carry it, takes the lines above the limit out
 and rejects documents of which too little is left.
 
 Documents are distinct texts of a host, so exact copies count once.  Near copies of one page
@@ -112,29 +112,26 @@ def common_rows(rows: DataFrame, min_docs: int) -> DataFrame:
                     F.when(F.col("_near"), F.lit(0).cast("long")).otherwise(F.col("k2")).alias("c2")))
 
 
-def frequent_lines(held: DataFrame, rows: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """(host, h) of the lines above the limits."""
-    on_host = (rows.select("host", "k1", "k2").distinct().groupBy("host").agg(F.count("*").alias("host_docs")))
-    counted = (held.groupBy("host", "h").agg(F.countDistinct("c1", "c2").alias("docs")).filter(F.col("docs") > min_docs))
-    c, o = counted.alias("c"), on_host.alias("o")
-    return (c.join(o, F.expr("c.host <=> o.host"))
-            .filter(F.col("docs") > min_share * F.col("host_docs")).select("c.host", "c.h"))
+def frequent_lines(held: DataFrame, min_docs: int) -> DataFrame:
+    """(host, h) of the lines above the limit."""
+    return (held.groupBy("host", "h").agg(F.countDistinct("c1", "c2").alias("docs"))
+            .filter(F.col("docs") > min_docs).select("host", "h"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min_docs: int = 20,
-                  min_share: float = 0.001, min_left: float = 0.2) -> DataFrame:
-    """Every row of ``docs`` with the lines above the limits taken out of ``text``, the base
+                  min_left: float = 0.2) -> DataFrame:
+    """Every row of ``docs`` with the lines above the limit taken out of ``text``, the base
     measures of the text as it came, ``n_frequent_words`` (words taken out) and ``kept``.
 
-    A line is above the limits when it stands in more than ``min_docs`` distinct documents
-    of its host and in more than ``min_share`` of them.  A document is depleted, and rejected, when less than
+    A line is above the limit when it stands in more than ``min_docs`` distinct documents of
+    its host, whatever the host's size.  A document is depleted, and rejected, when less than
     ``min_left`` of its words stand outside such lines.
     """
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"]
     columns, docs = docs.columns, guarded(docs, [text, host], out)
     rows = written(line_rows(docs, text, host), "line-rows")
     held = written(common_rows(rows, min_docs), "common-rows")
-    bad = frequent_lines(held, rows, min_docs, min_share).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
+    bad = frequent_lines(held, min_docs).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
     taken = (held.join(bad, F.expr("host <=> b_host AND h = b_h"))
              .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"), F.collect_list("pos").alias("_gone"))
              .withColumnsRenamed({"host": "t_host", "k1": "t_k1", "k2": "t_k2"}))

@@ -45,3 +45,11 @@ def test_mass_copies(spark):
     data += [(1000 + i, f"{menu}\n{line(f'own{i}x', 30)}", "s") for i in range(40)]
     got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(data, SCHEMA)).collect()}
     assert all(got[x[0]].kept and got[x[0]].text == x[1].removeprefix(menu + "\n") for x in data)
+
+
+def test_large_host(spark):
+    """A line of 21 documents is frequent on a host of 30 texts and on one of 21,500."""
+    for n in (30, 21_500):
+        data = [(i, f"own{i} {line('w', 11)} {i}" + "\nshare this" * (i < 21), "s") for i in range(n)]
+        got = as_brute(spark, data)
+        assert sum(r.n_frequent_words for r in got.values()) == 42
