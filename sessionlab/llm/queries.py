@@ -1,4 +1,4 @@
-"""The ten operators as registered queries (``opN_<name>``) over the driver tables."""
+"""The operators as registered queries (``opN_<name>``) over the driver tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionlab.llm import chat_quotes, decontamination, html_extraction, line_dedup, lm_scoring, mixing, quality_rules, simhash, substring_dedup, url_filter
+from sessionlab.llm import (byte_bpe, centroids, chat_quotes, decontamination, filter_audit, html_extraction, line_dedup, lm_scoring, mixing,
+                            quality_rules, simhash, substring_dedup, url_filter)
 from sessionlab.llm.common import written
 from sessionlab.sources.tables import read_table
 
@@ -144,3 +145,83 @@ def op3_lm_scoring(spark, d):
 @register
 def op1_substring_dedup(spark, d):
     return substring_dedup.substring_dedup(read_table(spark, d, "documents", ["doc_id", "text"]))
+
+
+# ---- op11: ten rounds written out one after another
+def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
+    def assigned(r):
+        return f"""a{r} AS MATERIALIZED (SELECT vec_id, v, d, list_position(d, list_min(d)) - 1 AS c FROM (
+  SELECT vec_id, v, list_transform((SELECT list(v ORDER BY c) FROM c{r}), lambda q:
+         list_sum(list_transform(list_zip(v, q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS d FROM kept))"""
+    parts = ["""kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+             f"""c0 AS (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+  SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT {k}))"""]
+    for r in range(rounds):
+        parts += [assigned(r), f"""c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, 65) AS t(i) GROUP BY c, i) GROUP BY c) m ON m.c = c{r}.c)"""]
+    parts.append(assigned(rounds))
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, CAST(list_min(d) AS BIGINT) AS distance,
+       CAST(sum(list_min(d)) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(list_min(d)) OVER () AS BIGINT) AS inertia, sha256(array_to_string(q.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} q ON q.c = a{rounds}.c"""
+
+
+ORACLES["op11_centroid_clustering"] = _rounds_sql()
+
+
+@register
+def op11_centroid_clustering(spark, d):
+    return centroids.cluster(read_table(spark, d, "embeddings", ["vec_id", "embedding"])).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@register
+def op12_byte_bpe(spark, d):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    tokens = byte_bpe.encode(read_table(spark, d, "documents", ["doc_id", "text"]), ranks, public_tokenizers.PATTERN)
+    out = byte_bpe.decode(tokens.drop("text"), ranks)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0b\f\r]+') AS w FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         MAP {'A': len(w) < 50, 'B': 100 * len(list_distinct(w)) < 65 * len(w),
+              'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+              'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)} AS fails
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, string_split(filter_order[1:step - 1], '') AS before FROM o, range(1, 6) AS t(step)),
+g AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+j AS (SELECT g.*, s.*, fails[own] AS bad, len(list_filter(before, lambda y: y <> '' AND fails[y])) > 0 AS gone,
+             len(list_filter(map_values(fails), lambda y: y)) = 1 AS once FROM g, s),
+r AS (
+  SELECT part, filter_order, step, own,
+         CAST(sum(CASE WHEN NOT bad AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN bad AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN bad AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN bad AND once THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN bad AND NOT gone AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN bad AND NOT gone AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM j GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
+
+@register
+def op13_filter_audit(spark, d):
+    return filter_audit.filter_audit(spark, f"{d.rstrip('/')}/documents.parquet", read_table(spark, d, "labels"))
