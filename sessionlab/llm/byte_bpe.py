@@ -32,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionlab.llm.common import guarded, text_or_empty, unguarded
+from sessionlab.llm.common import guarded, small_batches, text_or_empty, unguarded
 
-CACHE_PIECES = 1 << 19   # about 100 MB a generation
+CACHE_PIECES = 1 << 18   # about 50 MB a generation
 CACHE_BYTES = 64
 #: texts beyond are cut into pieces step by step, so that their pieces never lie in memory at once
 LONG_CHARS = 1 << 20
@@ -177,6 +177,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     """Every row with ``ids`` (array of ints), the tokens of its whole ``text`` by the rank file at
     ``path`` (on the driver) and the ``pattern`` that cuts texts into pieces."""
     shared = _rank_file(docs, path)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
     def ids_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -192,6 +193,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Every row with ``decoded`` (binary), the bytes of its ``ids``; null ids have none.  An id
     outside the vocabulary is an error."""
     shared = _rank_file(tokens, path)
+    small_batches(tokens.sparkSession)
 
     @F.pandas_udf("binary")
     def bytes_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
