@@ -13,6 +13,9 @@ so a replayed batch is idempotent and no upsert is needed:
   sessions;
 * ``category_partials``: first code per (category, period) in the batch.
 
+Every partial table has a declared schema (``PARTIALS``), so batches without codes, without
+non-purchase rows, or without any row at all read as what they are: empty.
+
 Reading merges partials by session with exact formulas (Chan's merge for the
 variance) and equals the batch table: integers exactly, floats to rounding.
 The ``foreachBatch`` body is exactly the batch code.  A second form,
@@ -24,11 +27,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlab.constants import DEFAULT_DROP_CATEGORIES
 from sessionlab.functions.exprs import is_type, main_cat_of, micros, non_purchase, price_of
 from sessionlab.operators.joins import lookup_join
 from sessionlab.operators.sessions import KEY, drop_categories, fill_missing
+from sessionlab.sources.tables import path_exists
+
+
+#: schemas of the partial tables; ``batch`` is the partition column
+_FIRST = "first struct<k: struct<a: int, b: bigint, c: bigint>, u: bigint>"
+PARTIALS = {
+    "session_partials": f"user_session string, {_FIRST}, n_view bigint, n_cart bigint, n_remove bigint, n_events bigint, p_n bigint, "
+                        "p_sum double, p_m2 double, p_min double, p_max double, t_min bigint, t_max bigint, has_brand int, "
+                        "purchased int, batch int",
+    "session_items": "user_session string, product_id bigint, category_id bigint, batch int",
+    "session_categories": "user_session string, category_id bigint, n bigint, batch int",
+    "category_partials": "category_id bigint, period int, category_code string, k struct<b: bigint, c: bigint>, batch int",
+}
+
+
+def read_partials(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A partial table by its declared schema; one that no batch has written yet is empty."""
+    path = f"{root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], PARTIALS[table])
+    return spark.read.schema(PARTIALS[table]).parquet(path)
 
 
 def batch_partials(events: DataFrame, batch: int) -> dict[str, DataFrame]:
@@ -64,17 +89,17 @@ def batch_partials(events: DataFrame, batch: int) -> dict[str, DataFrame]:
 def write_partials(parts: dict[str, DataFrame], root: str) -> None:
     """Overwrite this batch's partition of each partial table."""
     for name, df in parts.items():
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+        declared = T.StructType.fromDDL(PARTIALS[name])
+        (df.select(*[F.col(f.name).cast(f.dataType) for f in declared]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
          .parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEGORIES) -> DataFrame:
     """Merge every batch's partials into the session table (same schema and
     values as the exact batch rollup)."""
-    r = root.rstrip("/")
-    sp = spark.read.parquet(f"{r}/session_partials")
+    sp = read_partials(spark, root, "session_partials")
     # category map: latest period wins; inside a period the earliest row
-    cp = spark.read.parquet(f"{r}/category_partials")
+    cp = read_partials(spark, root, "category_partials")
     cmap = cp.groupBy("category_id").agg(
         F.max_by("category_code", F.struct(F.col("period"), -F.col("k.b"), -F.col("k.c"))).alias("category_code"))
     # the session's mean first, then what each part lies off it: nothing cancels
@@ -91,10 +116,10 @@ def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEG
         ((F.max("t_max") - F.min("t_min")) / 1e6).alias("session_duration_sec"),
         F.max("has_brand").alias("has_brand"), F.max("purchased").alias("purchased"),
     ).join(spread, KEY)
-    items = spark.read.parquet(f"{r}/session_items")
+    items = read_partials(spark, root, "session_items")
     uniq = items.groupBy(KEY).agg(F.count_distinct("product_id").alias("unique_products"),
                                   F.count_distinct("category_id").alias("unique_categories"))
-    cats = spark.read.parquet(f"{r}/session_categories").groupBy(KEY, "category_id").agg(F.sum("n").alias("n"))
+    cats = read_partials(spark, root, "session_categories").groupBy(KEY, "category_id").agg(F.sum("n").alias("n"))
     names = cmap.select("category_id", main_cat_of("category_code").alias("main_cat"))
     labelled = lookup_join(cats, names, "category_id", "inner", cache=True).groupBy(KEY, "main_cat").agg(F.sum("n").alias("n"))
     mode = labelled.groupBy(KEY).agg(F.min_by("main_cat", F.struct(-F.col("n"), F.col("main_cat"))).alias("main_cat"))

@@ -50,6 +50,22 @@ def test_incremental_spread_and_nan_prices(spark, tmp_path):
         assert (got["only"].avg_price, got["only"].max_price, got["only"].n_events) == (0.0, 0.0, 1)
 
 
+def test_partials_of_poor_batches(spark, tmp_path):
+    """Batches without codes, without non-purchase rows and without any row, and no batch at all."""
+    root = str(tmp_path / "p")
+    assert merge_partials_exact(spark, root).collect() == []
+    rows = [ev(1, 0, "purchase", "p", product=3, category=2, price=2.0, user=3), ev(2, 9, "view", "p", product=4, category=1, price=5.0, period=1, user=3),
+            ev(3, 4, "view", None, period=1)]
+    events = frame(spark, rows)
+    steps = [events.limit(0), events.filter("event_type = 'purchase'"), events.filter("period = 1")]
+    exact = {r.user_session: r for r in S.sessions_all(events).collect()}
+    for b, part in enumerate(steps):
+        write_partials(batch_partials(part, b), root)
+        got = {r.user_session: r for r in merge_partials_exact(spark, root).collect()}
+        assert set(got) == (set() if b == 0 else {"p"})
+    assert got["p"] == exact["p"] and (got["p"].n_events, got["p"].unique_products, got["p"].main_cat, got["p"].purchased) == (1, 1, None, 1)
+
+
 def test_windowed_sessions_match_gaps_and_islands(spark, tmp_path):
     """All sessions whatever the number and order of the files, and without an event that closes
     them; a hot user holds about a third of the events."""
