@@ -11,10 +11,10 @@ from __future__ import annotations
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import IndexToString, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlab.config import written
@@ -24,6 +24,11 @@ from sessionlab.operators.stats import with_class_weight
 
 #: training rows for each task of a fit
 ROWS_PER_TASK = 250_000
+#: share of the training rows that a fit with early stopping holds out to watch, and the relative
+#: gain of their loss below which a boosting round is the last
+HOLDOUT_PERCENT = 10
+STOP_GAIN = 0.001
+HOLDOUT = "holdout"
 
 
 def scale_features(df: DataFrame, features: list[str] = FEATURE_COLS, keep: list[str] | None = None) -> DataFrame:
@@ -58,11 +63,15 @@ def logreg_binary(max_iter: int = 1000, reg: float | None = None) -> Pipeline:
 
 
 def boosted_binary(max_iter: int = 400, max_depth: int = 6, step: float = 0.1, subsample: float = 0.9,
-                   feature_fraction: str = "0.9", max_bins: int = 256) -> Pipeline:
-    """M4: gradient-boosted trees with positive-class weight (column ``w``)."""
+                   feature_fraction: str = "0.9", max_bins: int = 256, stop_gain: float | None = None) -> Pipeline:
+    """M4: gradient-boosted trees with positive-class weight (column ``w``).  With ``stop_gain``
+    the rows marked in ``holdout`` are not fitted: ``max_iter`` is the most rounds, and boosting
+    ends with the round whose loss on them gains less than that (see ``rounds_used``)."""
     gbt = GBTClassifier(featuresCol="features_raw", labelCol="label", weightCol="w", maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
                         featureSubsetStrategy=feature_fraction, maxBins=max_bins, seed=RANDOM_STATE)
+    if stop_gain is not None:
+        gbt.setValidationIndicatorCol(HOLDOUT)._set(validationTol=stop_gain)
     return Pipeline(stages=[_assembler(), gbt])
 
 
@@ -92,6 +101,38 @@ def fit_multiclass(pipeline: Pipeline, train: DataFrame, label: str = "main_cat"
     return PipelineModel([*fitted.stages, IndexToString(inputCol="prediction", outputCol="pred", labels=names)])
 
 
+def with_holdout(df: DataFrame, key: str = "user_session", percent: int = HOLDOUT_PERCENT) -> DataFrame:
+    """Mark the rows a fit with early stopping watches; by key, so the same for any partitioning."""
+    return df.withColumn(HOLDOUT, F.pmod(F.xxhash64(F.lit(RANDOM_STATE), F.col(key)), F.lit(100)) < percent)
+
+
+def class_fits(train: DataFrame, max_iter: int = 400, stop_gain: float | None = STOP_GAIN, label: str = "main_cat") -> tuple[list[str], list]:
+    """The fits of a one-vs-rest model as independent jobs, one a class, with the class names.
+
+    ``train`` is a ``training_frame`` with ``holdout``.  MLlib's own one-vs-rest drops that column,
+    so the two-class rows are made here; the estimator is that of M6."""
+    names = [r[0] for r in train.select(label, "label").distinct().orderBy("label").collect()]  # one row per class
+    stages = boosted_binary(max_iter, stop_gain=stop_gain)
+
+    def job(c: int):
+        rows = train.withColumn("label", (F.col("label") == float(c)).cast("double"))
+        return lambda: stages.fit(rows).stages[-1]
+    return names, [job(c) for c in range(len(names))]
+
+
+def one_vs_rest(names: list[str], models: list) -> PipelineModel:
+    """The model M6 makes, from its fitted two-class models in the order of ``names``."""
+    ovr = OneVsRest(classifier=GBTClassifier(featuresCol="features_raw"), featuresCol="features_raw", labelCol="label", weightCol="w")
+    return PipelineModel([_assembler(), ovr.copy()._copyValues(OneVsRestModel(models=models)),
+                          IndexToString(inputCol="prediction", outputCol="pred", labels=names)])
+
+
+def rounds_used(model: PipelineModel) -> list[int]:
+    """Boosting rounds of a fitted boosted model, one number for each two-class model."""
+    last = [m for m in model.stages if hasattr(m, "models") or hasattr(m, "getNumTrees")][-1]
+    return [m.getNumTrees for m in (last.models if hasattr(last, "models") else [last])]
+
+
 def class_names(model: PipelineModel) -> list[str]:
     return model.stages[-1].getLabels()
 
@@ -186,3 +227,57 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+# --- fitted models as tables ---------------------------------------------------
+
+def linear_table(spark, model: PipelineModel) -> DataFrame:
+    """A fitted linear model as rows (class, term, coefficient, mean, std): 14 features and the
+    intercept for each class (the binary model: one class, null).  With the scaler's mean and std
+    the rows give its probabilities without MLlib, see ``linear_margins``."""
+    scaler = next(m for m in model.stages if hasattr(m, "std"))
+    lr = next(m for m in model.stages if hasattr(m, "coefficientMatrix"))
+    names = [None] if lr.numClasses == 2 and lr.coefficientMatrix.numRows == 1 else class_names(model)
+    rows = []
+    for name, beta, intercept in zip(names, lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()):
+        rows += [(name, f, float(b), float(m), float(v)) for f, b, m, v in zip(FEATURE_COLS, beta, scaler.mean, scaler.std)]
+        rows.append((name, "intercept", float(intercept), 0.0, 1.0))
+    return spark.createDataFrame(rows, "class string, term string, coefficient double, mean double, std double")
+
+
+def _scaled(row) -> Column:
+    x = F.col(row["term"]).cast("double")
+    return (x - row["mean"]) / row["std"] if row["std"] else F.lit(0.0)
+
+
+def linear_margins(table: DataFrame, df: DataFrame) -> DataFrame:
+    """``df`` with ``margins`` (one a class of a ``linear_table``) in plain column arithmetic."""
+    by_class: dict = {}
+    for r in table.collect():     # 15 rows a class
+        by_class.setdefault(r["class"], []).append(r)
+    margins = []
+    for name in sorted(by_class, key=lambda c: c or ""):
+        total = F.lit(0.0)
+        for r in by_class[name]:
+            total = total + F.lit(r["coefficient"]) * (F.lit(1.0) if r["term"] == "intercept" else _scaled(r))
+        margins.append(total)
+    return df.withColumn("margins", F.array(*margins))
+
+
+def linear_gradient(table: DataFrame, train: DataFrame, reg: float) -> DataFrame:
+    """(class, term, gradient) of the penalised, weighted mean loss of a ``linear_table`` over its
+    training rows: zero everywhere at the optimum, of which there is one."""
+    rows = table.collect()
+    d = linear_margins(table, train)
+    classes = sorted({r["class"] for r in rows}, key=lambda c: c or "")
+    if classes == [None]:
+        d = d.withColumn("off", F.array(1 / (1 + F.exp(-F.col("margins")[0])) - F.col("label")))
+    else:
+        odds = F.transform("margins", lambda m: F.exp(m - F.array_max("margins")))
+        share = F.transform(odds, lambda o: o / F.aggregate(odds, F.lit(0.0), lambda a, x: a + x))
+        d = d.withColumn("off", F.transform(share, lambda p, i: p - (F.col("label") == i).cast("double")))
+    sums = [F.sum(F.col("w") * F.col("off")[classes.index(r["class"])] * (F.lit(1.0) if r["term"] == "intercept" else _scaled(r)))
+            / F.sum("w") + (0.0 if r["term"] == "intercept" else reg * r["coefficient"]) for r in rows]
+    one = d.agg(F.array(*sums).alias("g")).select(F.posexplode("g").alias("at", "gradient"))
+    named = table.sparkSession.createDataFrame([(i, r["class"], r["term"]) for i, r in enumerate(rows)], "at int, class string, term string")
+    return named.join(one, "at").select("class", "term", "gradient")

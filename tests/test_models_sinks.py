@@ -66,6 +66,46 @@ def test_jobs_end_in_saved_model_and_metrics(planted, spark, tmp_path):
     assert {r.table for r in jobs.as_rows(tables).collect()} == set(tables)
 
 
+def test_early_stopping_keeps_the_score(planted, spark, tmp_path):
+    """Fits that stop by their held-out loss use fewer rounds and score within 0.03 of full ones."""
+    from sessionlab import jobs
+    got = {}
+    for gain in (None, M.STOP_GAIN):
+        got[gain] = {r.metric: r for r in jobs.cv_job(planted, "main_cat", k=2, max_iter_gbt=25, stop_gain=gain).collect()}
+    assert got[None]["rounds"].mean == 25 and 1 < got[M.STOP_GAIN]["rounds"].mean <= 25
+    assert got[M.STOP_GAIN]["rounds"].bound is None
+    for m in ("macro_f1", "weighted_f1"):
+        assert got[None][m].n_folds == 2 and abs(got[None][m].mean - got[M.STOP_GAIN][m].mean) < 0.03
+
+
+def test_class_fits_make_the_one_vs_rest_model(planted, tmp_path):
+    """Without early stopping the separate fits are those of M6, before and after saving."""
+    rows = M.training_frame(M.prepare_multiclass(M.with_holdout(planted)), ("main_cat", M.HOLDOUT))
+    names, jobs = M.class_fits(rows, max_iter=4, stop_gain=None)
+    M.save_model(M.one_vs_rest(names, [j() for j in jobs]), str(tmp_path / "m"))
+    ours = M.load_model(str(tmp_path / "m"))
+    theirs = M.fit_multiclass(M.boosted_multiclass(max_iter=4, parallelism=1), rows)
+    assert M.rounds_used(ours) == [4, 4, 4] and M.class_names(ours) == names == ["a", "b", "c"]
+    a, b = (sorted(map(tuple, M.score_multiclass(m, planted).collect())) for m in (ours, theirs))
+    assert [x[:3] for x in a] == [x[:3] for x in b]
+
+
+def test_linear_table_gives_the_scores_and_a_flat_gradient(planted, spark):
+    rows = M.training_frame(M.prepare_binary(planted))
+    reg = M.regularisation(rows)
+    model = M.logreg_binary(reg=reg).fit(rows)
+    table = M.linear_table(spark, model)
+    assert table.count() == len(FEATURE_COLS) + 1
+    labelled = planted.withColumn("label", F.col("purchased").cast("double"))
+    ours = M.linear_margins(table, labelled).select("user_session", (1 / (1 + F.exp(-F.col("margins")[0]))).alias("p"))
+    off = ours.join(M.score_binary(model, labelled), "user_session").agg(F.max(F.abs(F.col("p") - F.col("proba"))).alias("off")).first().off
+    assert off < 1e-9
+    assert max(abs(r.gradient) for r in M.linear_gradient(table, rows, reg).collect()) < 5e-3
+    # a model that is not at its optimum shows: the gradient sees the planted feature
+    wrong = table.withColumn("coefficient", F.when(F.col("term") == "n_cart", 0.0).otherwise(F.col("coefficient")))
+    assert max(abs(r.gradient) for r in M.linear_gradient(wrong, rows, reg).collect()) > 0.05
+
+
 def test_label_index_alphabetical(planted):
     got = {r.main_cat: r.label_idx for r in M.label_index(planted).select("main_cat", "label_idx").distinct().collect()}
     assert got == {"a": 0, "b": 1, "c": 2}
