@@ -8,8 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Largest dimension (in rows) that operators broadcast after counting it.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side (in bytes of its values) that operators broadcast after measuring it; the hash
+# table on an executor takes about three times as much.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(master: str | None = None, app: str = "sessionlab",

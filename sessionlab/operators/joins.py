@@ -1,6 +1,6 @@
 """Join helpers and the reference's join operators.
 
-Only sides whose row count has been measured below a bound are broadcast;
+Only sides whose size in bytes has been measured below a bound are broadcast;
 beyond the bound the plain join is left to Catalyst/AQE (sort-merge with skew
 splitting), so nothing that grows with the data is ever broadcast blindly.
 """
@@ -9,18 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlab import config
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a (small, derived or dimension) frame has few enough rows, by counting them now."""
-    return df.count() <= (config.BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+def side_bytes(df: DataFrame) -> int:
+    """Bytes of the values of a (small, derived or dimension) frame, measured by one aggregate over
+    it: fixed-width columns by their type, the others by what each row holds."""
+    fixed, wide = 0, []
+    for f in df.schema.fields:
+        kind = f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            wide.append(F.octet_length(F.col(f"`{f.name}`")))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            wide.append(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))))
+        else:
+            fixed += 16 if isinstance(kind, T.DecimalType) else 8
+    row = F.lit(fixed).cast("long")
+    for w in wide:
+        row = row + F.coalesce(w, F.lit(0))
+    return df.agg(F.sum(row)).first()[0] or 0
 
 
-def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_rows: int | None = None,
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a frame is small enough to send to every executor, by measuring it now."""
+    return side_bytes(df) <= (config.BROADCAST_MAX_BYTES if max_bytes is None else max_bytes)
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_bytes: int | None = None,
                 cache: bool = False) -> DataFrame:
-    """Join a dimension onto a fact table; broadcast only after a size check.
+    """Join a dimension onto a fact table; broadcast only after a size check in bytes.
 
     ``cache=True`` is for derived dimensions (e.g. the category map): the side
     is written to the shared folder first, so measuring it and joining it
@@ -28,7 +47,7 @@ def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left", max_row
     skew)."""
     if cache:
         small = config.written(small, "lookup")
-    return big.join(F.broadcast(small) if fits_broadcast(small, max_rows) else small, on, how)
+    return big.join(F.broadcast(small) if fits_broadcast(small, max_bytes) else small.hint("shuffle_merge"), on, how)
 
 
 def bounded_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionlab.config import written
 from sessionlab.constants import (CART, COUNT_COLS, DEFAULT_DROP_CATEGORIES, FLOAT_COLS, PURCHASE, REMOVE,
                                   VIEW)
 from sessionlab.functions.exprs import duration_seconds, is_type, main_cat_of, micros, non_purchase, price_of
-from sessionlab.operators.joins import fill_main_cat, lookup_join
+from sessionlab.operators.joins import lookup_join
 
 KEY = "user_session"
 
@@ -117,72 +118,82 @@ def first_row_key(np_: Column, us: Column, tiebreak: Column) -> Column:
 def main_cat_vocab(cat_map: DataFrame) -> DataFrame:
     """Main categories of a category map with alphabetical dense ids (one row
     per class)."""
-    names = cat_map.select(main_cat_of("category_code").alias("main_cat")).distinct()
+    return _numbered(cat_map.select(main_cat_of("category_code").alias("main_cat")))
+
+
+def _numbered(names: DataFrame) -> DataFrame:
+    names = names.filter(F.col("main_cat").isNotNull()).distinct()
     return names.withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long"))
 
 
-def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> DataFrame:
-    """Exact session rollup in hash aggregates (no Expand, no object or
-    sort-based aggregate over the events).
+def category_lookups(cat_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(category_id -> main_cat and its id, id -> main_cat), each written once: the map is derived
+    from the events, and both the events and the rolled-up sessions look up in it."""
+    named = written(cat_map.select("category_id", main_cat_of("category_code").alias("main_cat")), "category-names")
+    vocab = written(_numbered(named.select("main_cat")), "vocabulary")
+    return written(lookup_join(named, vocab, "main_cat", "left").select("category_id", "_cid"), "category-ids"), vocab
 
-    Every event yields one row per kind: kind 0 carries the statistics; kinds
-    1/2 carry the product / category id of non-purchase rows; kind 3 carries
-    the id of the row's main category (ids follow the alphabetical order of a
-    bounded vocabulary table).  Step 1 groups by (keys, kind, item): kind 0
-    collapses to one row per session with all features, kinds 1-3 dedupe and
-    count items.  Step 2 groups by the keys: distinct counts are row counts,
-    the mode is ``min_by(id, (-count, id))``; the id maps back to its name.
-    A hot session is spread over its items in step 1 and pre-aggregated on
-    every mapper.
-    """
-    if vocab is None:  # events of unknown origin: take the names they carry
-        vocab = (ev.select("main_cat").filter(F.col("main_cat").isNotNull()).distinct()
-                 .withColumn("_cid", F.dense_rank().over(Window.orderBy("main_cat")).cast("long")))
-    ev = lookup_join(ev, vocab, "main_cat", "left", cache=True)
+
+def _statistics(ev: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts, prices, times and flags of each session: one aggregate, which leaves every mapper
+    with one fixed-width row per session."""
     np_ = non_purchase()
     price = price_of()
     us = micros("event_time")
+    return ev.groupBy(*keys).agg(
+        F.min_by("user_id", first_row_key(np_, us, F.col("event_id"))).alias("user_id"),
+        F.sum(F.when(np_, is_type(VIEW))).alias("n_view"),
+        F.sum(F.when(np_, is_type(CART))).alias("n_cart"),
+        F.sum(F.when(np_, is_type(REMOVE))).alias("n_remove"),
+        F.count(F.when(np_, F.lit(1))).alias("n_events"),
+        F.avg(F.when(np_, price)).alias("avg_price"),
+        F.max(F.when(np_, price)).alias("max_price"),
+        F.min(F.when(np_, price)).alias("min_price"),
+        F.stddev_samp(F.when(np_, price)).alias("price_std"),
+        F.max(F.when(np_, F.col("brand").isNotNull().cast("int"))).alias("has_brand"),
+        F.min(F.when(np_, F.col("event_time"))).alias("_ts_min"),
+        F.max(F.when(np_, F.col("event_time"))).alias("_ts_max"),
+        F.max(is_type(PURCHASE)).alias("purchased"),
+    )
+
+
+def _items(ev: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct products and categories (of non-purchase rows) and the most frequent main
+    category (of all rows) of each session.
+
+    Step 1 groups by (keys, product, category, _cid): at most one narrow row per event is
+    shuffled, fewer where a session comes back to a product.  Step 2 counts what is left by (keys,
+    kind, item) with the kinds product, category and main category, step 3 by the keys: distinct
+    counts are row counts, the mode is ``min_by(id, (-count, id))``.  A hot session is spread over
+    its items in steps 1 and 2 and reaches step 3 pre-aggregated."""
+    seen = ev.groupBy(*keys, "product_id", "category_id", "_cid").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(non_purchase()).alias("_n_np"))
     kinds = F.array(
-        F.struct(F.lit(0).alias("k"), F.lit(None).cast("long").alias("item")),
-        F.struct(F.lit(1).alias("k"), F.when(np_, F.col("product_id").cast("long")).alias("item")),
-        F.struct(F.lit(2).alias("k"), F.when(np_, F.col("category_id").cast("long")).alias("item")),
+        F.struct(F.lit(1).alias("k"), F.when(F.col("_n_np") > 0, F.col("product_id").cast("long")).alias("item")),
+        F.struct(F.lit(2).alias("k"), F.when(F.col("_n_np") > 0, F.col("category_id").cast("long")).alias("item")),
         F.struct(F.lit(3).alias("k"), F.col("_cid").alias("item")))
-    x = ev.select(*keys, "user_id", "event_type", "price", "brand", "event_time", "event_id",
-                  F.inline(F.filter(kinds, lambda e: (e["k"] == 0) | e["item"].isNotNull())))
-    is0 = F.col("k") == 0
-
-    def k0(c):
-        return F.when(is0, c)
-
-    step1 = x.groupBy(*keys, "k", "item").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(k0(F.col("user_id")), k0(first_row_key(np_, us, F.col("event_id")))).alias("user_id"),
-        F.sum(k0(F.when(np_, is_type(VIEW)))).alias("n_view"),
-        F.sum(k0(F.when(np_, is_type(CART)))).alias("n_cart"),
-        F.sum(k0(F.when(np_, is_type(REMOVE)))).alias("n_remove"),
-        F.count(k0(F.when(np_, F.lit(1)))).alias("n_events"),
-        F.avg(k0(F.when(np_, price))).alias("avg_price"),
-        F.max(k0(F.when(np_, price))).alias("max_price"),
-        F.min(k0(F.when(np_, price))).alias("min_price"),
-        F.stddev_samp(k0(F.when(np_, price))).alias("price_std"),
-        F.max(k0(F.when(np_, F.col("brand").isNotNull().cast("int")))).alias("has_brand"),
-        F.min(k0(F.when(np_, F.col("event_time")))).alias("_ts_min"),
-        F.max(k0(F.when(np_, F.col("event_time")))).alias("_ts_max"),
-        F.max(k0(is_type(PURCHASE))).alias("purchased"),
-    )
-    s0 = F.col("k") == 0
-    is3 = F.col("k") == 3
-    stats = ["user_id", "n_view", "n_cart", "n_remove", "n_events", "avg_price", "max_price", "min_price",
-             "price_std", "has_brand", "_ts_min", "_ts_max", "purchased"]
-    mode_key = F.when(is3, (-F.col("_n")).cast(_D38) * _dec(10**20) + F.col("item").cast(_D38))
-    out = step1.groupBy(*keys).agg(
-        *[F.max(F.when(s0, F.col(c))).alias(c) for c in stats],
+    items = (seen.select(*keys, "_n", F.inline(kinds)).filter(F.col("item").isNotNull())
+             .groupBy(*keys, "k", "item").agg(F.sum("_n").alias("_n")))
+    s3 = F.col("k") == 3
+    mode_key = F.when(s3, (-F.col("_n")).cast(_D38) * _dec(10**20) + F.col("item").cast(_D38))
+    return items.groupBy(*keys).agg(
         F.count_if(F.col("k") == 1).alias("unique_products"),
         F.count_if(F.col("k") == 2).alias("unique_categories"),
-        F.min_by(F.when(is3, F.col("item")), mode_key).alias("_cid"),
+        F.min_by(F.when(s3, F.col("item")), mode_key).alias("_cid"),
     )
-    names = vocab.select("_cid", "main_cat")
-    return lookup_join(out, names, "_cid", "left", cache=True).drop("_cid")
+
+
+def _rollup(ev: DataFrame, keys: list[str], vocab: DataFrame) -> DataFrame:
+    """Exact session rollup in hash aggregates (no Expand, no object or sort-based aggregate over
+    the events): statistics and items, both partitioned by the keys where they meet.
+
+    ``ev`` carries ``_cid``, the id of its main category in ``vocab`` (ids follow the alphabetical
+    order of that bounded table).  It is read twice, each time pruned to the columns in use:
+    derived events are best written first."""
+    items = _items(ev, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    out = _statistics(ev, keys).join(items, same, "left").drop(*[f"_{k}" for k in keys])
+    return lookup_join(out, vocab.select("_cid", "main_cat"), "_cid", "left").drop("_cid")
 
 
 def _finish(rolled: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -199,7 +210,16 @@ def session_features(events_with_cat: DataFrame, by: list[str] | None = None,
     already carry ``main_cat``.  NULL session keys are dropped first."""
     keys = (by or []) + [KEY]
     ev = events_with_cat.filter(F.col(KEY).isNotNull())
-    return _finish(_rollup(ev, keys, vocab), extra=by)
+    # events of unknown origin: the names they carry
+    vocab = written(_numbered(ev.select("main_cat")) if vocab is None else vocab, "vocabulary")
+    return _finish(_rollup(lookup_join(ev, vocab, "main_cat", "left"), keys, vocab), extra=by)
+
+
+def _sessions_by(events: DataFrame, cat_map: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The rollup of raw events, which meet one narrow lookup (category id -> main category id)."""
+    ids, vocab = category_lookups(cat_map)
+    ev = lookup_join(events.filter(F.col(KEY).isNotNull()), ids, "category_id", "left")
+    return _finish(_rollup(ev, (by or []) + [KEY], vocab), extra=by)
 
 
 def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataFrame | None = None) -> DataFrame:
@@ -209,7 +229,7 @@ def sessions_all(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, cat_map: DataF
     -> rare-class drop (NULL kept).
     """
     cm = category_map(events) if cat_map is None else cat_map
-    return drop_categories(session_features(fill_main_cat(events, cm), vocab=main_cat_vocab(cm)), drop)
+    return drop_categories(_sessions_by(events, cm), drop)
 
 
 def exact_mode(df: DataFrame, keys: list[str], col: str, out: str | None = None) -> DataFrame:
@@ -246,7 +266,7 @@ def monthly_merge(events: DataFrame, drop=DEFAULT_DROP_CATEGORIES, period: str =
     aggregates; the second runs on the (much smaller) partial table.
     """
     cm = category_map(events, period) if cat_map is None else cat_map
-    parts = session_features(fill_main_cat(events, cm), by=[period], vocab=main_cat_vocab(cm))
+    parts = _sessions_by(events, cm, by=[period])
     return drop_categories(merge_partials(parts, period), drop)
 
 

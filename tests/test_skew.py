@@ -61,3 +61,35 @@ def test_rollup_hot_session(spark):
     assert got["hot"].unique_categories == len({r[4] for r in np_rows})
     assert abs(got["hot"].avg_price - sum(r[7] for r in np_rows) / len(np_rows)) < 1e-3
     assert got["hot"].session_duration_sec == (max(r[1] for r in np_rows) - min(r[1] for r in np_rows)).total_seconds()
+
+
+def test_wide_side_joins_by_shuffle(spark, monkeypatch):
+    """The bound of a broadcast side is its measured bytes: few rows of long texts pass it, many
+    rows of numbers may not."""
+    from pyspark.sql import functions as F
+
+    from sessionlab import config
+    from sessionlab.operators.joins import lookup_join, side_bytes
+    big = spark.range(1000).withColumn("k", F.col("id") % 50)
+    narrow = spark.range(50).select(F.col("id").alias("k"), F.lit(None).cast("string").alias("t"))
+    wide = spark.range(50).select(F.col("id").alias("k"), F.repeat(F.lit("é"), 10_000).alias("t"), F.array(F.lit(1), F.lit(2)).alias("a"))
+    assert side_bytes(narrow) == 50 * 8 and side_bytes(narrow.limit(0)) == 0
+    assert 50 * 20_008 < side_bytes(wide) < 50 * 20_050
+    monkeypatch.setattr(config, "BROADCAST_MAX_BYTES", 100_000)
+    for side, kind in ((narrow, "BroadcastHashJoin"), (wide, "SortMergeJoin")):
+        out = lookup_join(big, side, "k")
+        assert kind in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 1000
+
+
+def test_rollup_of_products_in_many_categories(spark):
+    """One product under several categories, and one category under several main categories, count once."""
+    rows = [ev(i, i, "purchase" if i % 7 == 6 else "view", "s", product=i % 5, category=i % 3, price=float(i % 4)) for i in range(40)]
+    rows += [ev(102, 0, "purchase", "p", product=9, category=9), ev(101, 0, "view", None)]
+    from pyspark.sql import functions as F
+    df = frame(spark, rows).withColumn("main_cat", F.when(F.col("event_id") % 4 == 0, "x").when(F.col("event_id") % 4 == 1, "y"))
+    got = {r.user_session: r for r in S.session_features(df).collect()}
+    kept = [r for r in rows[:40] if r[2] != "purchase"]
+    assert (got["s"].unique_products, got["s"].unique_categories, got["s"].n_events) == (5, 3, len(kept))
+    assert got["s"].main_cat == "x"                      # ten each: the smaller name
+    assert (got["p"].unique_products, got["p"].unique_categories, got["p"].main_cat, got["p"].purchased) == (0, 0, None, 1)
