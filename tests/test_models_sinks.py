@@ -175,11 +175,16 @@ def test_category_scan_is_pruned(spark):
     assert events_scan and all("value" not in s and "user_id" not in s for s in events_scan)
 
 
-def test_session_rollup_single_exchange_on_key(spark):
-    """The rollup shuffles events on the session key once (plus the small
-    broadcast sides); no sort-merge join of the event table on the key."""
+def test_session_rollup_shuffles_pre_aggregated_rows(spark):
+    """What the rollup shuffles by session is aggregated on the mappers first: one statistics row per
+    session, one row per (session, product, category), and what follows from those.  No event
+    row goes through a join by session."""
     import __spark_entry__ as ent
     df = ent.queries()["sessions_all"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    assert plan.count("hashpartitioning(user_session") <= 2  # partial->final (+ distinct dedup)
+    lines = plan.splitlines()
+    shuffles = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(user_session" in x]
+    assert len(shuffles) == 4 and all("HashAggregate" in lines[i + 1] for i in shuffles)
+    assert sum("product_id" in lines[i] for i in shuffles) == 1
+    assert plan.count("SortMergeJoin") <= 1 and "SortAggregate" not in plan and "Expand" not in plan
