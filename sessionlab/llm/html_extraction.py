@@ -6,11 +6,13 @@ sum.  The weights are log odds, learned from labelled pages: those that mark the
 themselves with ``article`` or ``main``; what those elements hold is content, the rest is
 not.  Names that the labelled pages never use fall back on a prior (the lists below).
 Inside the region, elements that are furniture by their own weight (an advert between two
-paragraphs) are left out.
+paragraphs) are left out; within an element that holds content they score nothing, so that
+no aside, however long, ends the article.
 
 Defined cases: null or empty html gives the empty text; so does a page without a positive
 region; unclosed elements end with their parent or with the page; stray ``<`` is text;
-repeated rows give equal texts; an empty table gives an empty result; extra columns pass
+repeated rows give equal texts; an empty table gives an empty result; pages of any length are
+scanned whole, in one pass; of regions with equal sums the first is taken; extra columns pass
 through, clashing ones are replaced.
 """
 
@@ -31,8 +33,11 @@ from sessionlab.llm.common import guarded, small_batches, unguarded
 
 #: pages the weights are learned from (about; the rest only gets scored)
 SAMPLE_PAGES = 4000
-#: score of a word inside furniture: it never stays, so crossing an advert costs little
+#: score of a word inside furniture that stands outside content; inside an element that holds
+#: content, furniture is left out and crossing it costs nothing, however long it is
 FURNITURE_WORD = -0.3
+#: weight from which an element counts as one that holds content, besides CONTENT_TAGS
+HOLDS_CONTENT = 1.0
 #: pages of the sample a name must stand in to get a weight of its own
 MIN_PAGES = 5
 
@@ -192,32 +197,46 @@ def label_counts(html: str) -> tuple[Counter, Counter] | None:
     return (inside, outside) if marked else None
 
 
-def main_text(html: str | None, weights: Weights) -> str:
-    if not html:
-        return ""
+def best_region(steps: list[tuple[float, int | None]]) -> tuple[int, int]:
+    """(first, last + 1) segment of the contiguous run of ``steps`` with the greatest positive sum,
+    the first of equals; (0, 0) if there is none.  A step is (score, segment), a tag has no
+    segment; a run begins and ends with a segment."""
+    best, at, run, start = 0.0, (0, 0), 0.0, 0
+    for score, segment in steps:
+        if segment is None:
+            run += score
+            continue
+        if run <= 0:
+            run, start = 0.0, segment
+        run += score
+        if run > best:
+            best, at = run, (start, segment + 1)
+    return at
+
+
+def scored(html: str, weights: Weights) -> tuple[list[tuple[int, str, bool]], list[tuple[float, int | None]]]:
+    """Segments (block number, text, furniture) of a page, and the steps of the scan over them."""
     stack = Elements()
-    # segments: block number, text, score, furniture
     segments: list[tuple[int, str, bool]] = []
-    block, best, best_at, run, run_from = 0, 0.0, (0, 0), 0.0, 0
-    score, furniture = weights.BASE, False
+    steps: list[tuple[float, int | None]] = []
+    block, score, furniture, free = 0, weights.BASE, False, False
 
     def state():
-        s, f = weights.BASE, False
+        # free: furniture within an element that holds content; crossing it costs nothing
+        s, f, holds, inside = weights.BASE, False, False, False
         for tag, w in stack.open:
             if tag in CONTENT_TAGS:
-                s, f = weights.BASE, False    # content inside an unclosed menu is content
+                s, f, inside = weights.BASE, False, False    # content inside an unclosed menu is content
             s += w
-            f = f or w <= -2
-        return max(-5.0, min(3.0, s)), f
+            holds = holds or tag in CONTENT_TAGS or w >= HOLDS_CONTENT
+            if w <= -2:
+                f, inside = True, inside or holds
+        return max(-5.0, min(3.0, s)), f, f and inside
     for kind, x, attrs in tokens(html):
         if kind == "text":
             if n := len(x.split()):
-                if run <= 0:
-                    run, run_from = 0.0, len(segments)
-                run += n * (FURNITURE_WORD if furniture else score)
+                steps.append((0.0 if free else n * (FURNITURE_WORD if furniture else score), len(segments)))
                 segments.append((block, x, furniture))
-                if run > best:
-                    best, best_at = run, (run_from, len(segments))
             elif segments and x:
                 segments.append((block, " ", furniture))
             continue
@@ -227,6 +246,7 @@ def main_text(html: str | None, weights: Weights) -> str:
             block += 1
         elif x in SPACE:
             segments.append((block, " ", furniture))
+        was_free = free
         if kind == "open":
             w = weights.element(x, attrs)
             if x == "header" and any(t in CONTENT_TAGS for t, _ in stack.open):
@@ -234,9 +254,17 @@ def main_text(html: str | None, weights: Weights) -> str:
             stack.push(x, w)
         else:
             stack.pop(x)
-        run -= weights.cost(x)
-        score, furniture = state()
-    lo, hi = best_at
+        score, furniture, free = state()
+        if not (free or was_free):
+            steps.append((-weights.cost(x), None))
+    return segments, steps
+
+
+def main_text(html: str | None, weights: Weights) -> str:
+    if not html:
+        return ""
+    segments, steps = scored(html, weights)
+    lo, hi = best_region(steps)
     if lo == hi:
         return ""
     while lo and segments[lo - 1][0] == segments[lo][0]:       # whole blocks

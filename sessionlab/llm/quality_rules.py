@@ -4,20 +4,19 @@
 (host, line) the distinct documents that carry it, takes the lines above the limit out
 and rejects documents of which too little is left.
 
-Documents are distinct texts of a host, so exact copies count once.  Near copies of one page
-count once, too: a text that has less than ``NEAR_COPY_PERCENT`` of its words outside the
-lines of many texts is named, for the count, by one of those lines, drawn by a min-hash that
-weighs lines by their words; a mass-copied page with small edits so gets few names and is left
-to the near-duplicate stages.  What stands beside a line decides nothing else.
+Documents are distinct texts of a host, so exact copies count once, and nothing else about a
+text decides whether it counts.
 
 Defined cases: null text is the empty text (no words, ``base_failed``); null host is a
 host of its own; an empty table gives an empty result; repeated rows get equal verdicts;
-columns of the input that share a name with an output column are not carried over.
+texts of any length are measured whole; lines that are equal after lower-casing and folding of
+white space are one line, and a line in exactly ``min_docs`` documents stays; columns of the
+input that share a name with an output column are not carried over.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlab.llm.common import WS_CHARS, content_key, guarded, let, text_or_empty, unguarded, words, written
@@ -26,8 +25,6 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: words outside the lines of many texts, of all words, below which a text is a near copy
-NEAR_COPY_PERCENT = 5
 
 
 def _covered(positions: Column) -> Column:
@@ -79,42 +76,22 @@ def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def line_rows(docs: DataFrame, text: str, host: str) -> DataFrame:
     """One row for each (host, distinct text, position of a line that holds a word): hash and words
-    of the line, and ``n``, the words of the text."""
+    of the line."""
     hashed = F.filter(F.transform(F.split(text_or_empty(F.col(text)), "\n"), lambda x, i: let(
         F.btrim(F.regexp_replace(F.lower(x), r"[\x20\x09-\x0D]+", " "), F.lit(" ")),
         lambda n: F.when(n != "", F.struct(
             i.alias("pos"), F.xxhash64(n).alias("h"),
             (F.length(n) - F.length(F.replace(n, F.lit(" "), F.lit(""))) + 1).alias("w"))))),
         lambda e: e.isNotNull())
-
-    def with_words(a):
-        return let(F.aggregate(a, F.lit(0), lambda n, e: n + e["w"]), lambda n: F.transform(a, lambda e: F.struct(
-            e["pos"].alias("pos"), e["h"].alias("h"), e["w"].alias("w"), n.alias("n"))))
-
     k1, k2 = content_key(F.col(text))
-    return (docs.select(F.col(host).alias("host"), k1, k2, F.inline(let(hashed, with_words)))
+    return (docs.select(F.col(host).alias("host"), k1, k2, F.inline(hashed))
             .groupBy("host", "k1", "k2", "pos")   # exact copies on a host count once
-            .agg(F.min("h").alias("h"), F.min("w").alias("w"), F.min("n").alias("n")))
-
-
-def common_rows(rows: DataFrame, min_docs: int) -> DataFrame:
-    """Rows of the lines in more than ``min_docs`` texts of their host; (c1, c2) names the text, or
-    the page it is a near copy of."""
-    common = written(rows.select("host", "h", "k1", "k2").distinct().groupBy("host", "h").agg(F.count("*").alias("docs"))
-                     .filter(F.col("docs") > min_docs)
-                     .select(F.col("host").alias("c_host"), F.col("h").alias("c_h")), "common-lines")
-    text = Window.partitionBy("host", "k1", "k2")
-    drawn = -F.ln((F.shiftrightunsigned("h", 11) + 0.5) / 2.0 ** 53) / F.col("w")
-    near = 100 * (F.col("n") - F.sum("w").over(text)) < NEAR_COPY_PERCENT * F.col("n")
-    return (rows.join(common, F.expr("host <=> c_host AND h = c_h"))
-            .withColumns({"_near": near, "_name": F.min(F.struct(drawn.alias("at"), F.col("h").alias("h"))).over(text)["h"]})
-            .select("host", "k1", "k2", "pos", "h", "w", F.when(F.col("_near"), F.col("_name")).otherwise(F.col("k1")).alias("c1"),
-                    F.when(F.col("_near"), F.lit(0).cast("long")).otherwise(F.col("k2")).alias("c2")))
-
-
-def frequent_lines(held: DataFrame, min_docs: int) -> DataFrame:
-    """(host, h) of the lines above the limit."""
-    return (held.groupBy("host", "h").agg(F.countDistinct("c1", "c2").alias("docs"))
+            .agg(F.min("h").alias("h"), F.min("w").alias("w")))
+
+
+def frequent_lines(rows: DataFrame, min_docs: int) -> DataFrame:
+    """(host, h) of the lines in more than ``min_docs`` distinct documents of their host."""
+    return (rows.select("host", "h", "k1", "k2").distinct().groupBy("host", "h").agg(F.count("*").alias("docs"))
             .filter(F.col("docs") > min_docs).select("host", "h"))
 
 
@@ -130,9 +107,8 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", min
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"]
     columns, docs = docs.columns, guarded(docs, [text, host], out)
     rows = written(line_rows(docs, text, host), "line-rows")
-    held = written(common_rows(rows, min_docs), "common-rows")
-    bad = frequent_lines(held, min_docs).select(F.col("host").alias("b_host"), F.col("h").alias("b_h"))
-    taken = (held.join(bad, F.expr("host <=> b_host AND h = b_h"))
+    bad = written(frequent_lines(rows, min_docs).select(F.col("host").alias("b_host"), F.col("h").alias("b_h")), "common-lines")
+    taken = (rows.join(bad, F.expr("host <=> b_host AND h = b_h"))
              .groupBy("host", "k1", "k2").agg(F.sum("w").alias("n_frequent_words"), F.collect_list("pos").alias("_gone"))
              .withColumnsRenamed({"host": "t_host", "k1": "t_k1", "k2": "t_k2"}))
     taken = written(taken, "frequent-lines")   # so that the join below can split the copies of one text

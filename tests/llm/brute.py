@@ -106,24 +106,11 @@ def own_lines(text):
     return [x for x in (text or "").split("\n") if WORD.search(x)]
 
 
-def quality_kept(rows, min_docs=20, min_share=0.001, min_spread=0.5, min_left=0.2):
+def quality_kept(rows, min_docs=20, min_left=0.2):
     """rows (doc_id, text, host) -> list of kept."""
-    texts = {(h, t or "") for _, t, h in rows}
-    host_docs = Counter(h for h, t in texts if own_lines(t))
-    docs, other = defaultdict(set), defaultdict(set)
-    for h, t in texts:
-        ln = [norm_line(x) for x in own_lines(t)]
-        for x in set(ln):
-            docs[h, x].add(t)
-            # ties of length cannot be told from hashes here: keep both readings
-            rest = [y for y in set(ln) if y != x]
-            other[h, x].add(max(rest, key=lambda y: (len(y), y)) if rest else None)
-    bad = {k for k, d in docs.items() if len(d) > min_docs and len(other[k]) > min_docs and len(other[k]) >= min_spread * len(d)
-           and len(d) > min_share * host_docs[k[0]]}
     out = []
-    for _, t, h in rows:
+    for (_, t, _), (_, gone) in zip(rows, without_host_lines(rows, min_docs)):
         n = len(WORD.findall(t or ""))
-        gone = sum(len(norm_line(x).split(" ")) for x in own_lines(t) if (h, norm_line(x)) in bad)
         out.append(not base_rules(t)[5] and n - gone >= min_left * n)
     return out
 

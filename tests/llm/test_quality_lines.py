@@ -38,13 +38,33 @@ def test_long_furniture(spark):
 
 
 def test_mass_copies(spark):
-    """A page of 40 lines copied 300 times with another line edited in each stays whole beside furniture that goes."""
+    """Exact copies count once; a page with another line edited in each of 300 texts is 300 documents."""
     body = [line(f"p{k}w", 8 + k) for k in range(40)]
-    menu = line("menu", 12)
-    data = [(i, "\n".join([menu, *body[:i % 40], f"edit {i}", *body[i % 40 + 1:]]), "s") for i in range(300)]
-    data += [(1000 + i, f"{menu}\n{line(f'own{i}x', 30)}", "s") for i in range(40)]
-    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(data, SCHEMA)).collect()}
-    assert all(got[x[0]].kept and got[x[0]].text == x[1].removeprefix(menu + "\n") for x in data)
+    data = [(i, "\n".join(body), "s") for i in range(300)] + [(1000 + i, f"{line(f'own{i}x', 30)}\n{body[3]}", "s") for i in range(19)]
+    got = as_brute(spark, data)
+    assert all(r.kept and not r.n_frequent_words for r in got.values())
+    data = [(i, "\n".join([*body[:i % 40], f"edit {i}", *body[i % 40 + 1:]]), "s") for i in range(300)]
+    got = as_brute(spark, data)
+    assert not any(r.kept for r in got.values()) and got[7].text == "edit 7"
+
+
+def test_pages_of_furniture(spark):
+    """1,000 distinct pages with 25 menu lines (300 words) and 12, 17 or 80 words of their own; all of the first two go."""
+    menu = [line(f"m{k}x", 12) for k in range(25)]
+    for own, kept in ((12, 0), (17, 0), (80, 1000)):
+        data = [(i, "\n".join([*menu, line(f"own{i}x", own)]), "s") for i in range(1000)]
+        assert sum(r.kept for r in as_brute(spark, data).values()) == kept
+
+
+def test_stage_takes_lines_out(spark):
+    """The pipeline's stage on a table that loses lines and documents."""
+    data = [(i, f"{line(f'a{i}x', 12)}\nshare this page now", "s", 5) for i in range(25)]
+    data += [(50 + i, f"{line(f'b{i}x', 2)}\nshare this page now\n{line('t', 8)}", "s", 5) for i in range(25)]
+    rows = [x[:3] for x in data]
+    want = [(d, left, s) for (d, _, s), (left, _), k in zip(rows, brute.without_host_lines(rows), brute.quality_kept(rows)) if k]
+    out = corpus_pipeline.quality(spark, spark.createDataFrame(data, SCHEMA + ", n_chars long"), "").collect()
+    assert sorted((r.doc_id, r.text, r.source) for r in out) == sorted(want) and len(want) == 25
+    assert all(r.n_chars == len(r.text) for r in out)
 
 
 def test_large_host(spark):
