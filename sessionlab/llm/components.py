@@ -29,7 +29,8 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 def component_roots(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); root is the least node of the component
-    and has a row of its own only as a root of others."""
+    and has a row of its own only as a root of others.  Rounds grow with the logarithm of the
+    longest chain; if ``max_rounds`` were ever not enough, that is an error, not a result."""
     e = (edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
          .filter(F.col("u") != F.col("v")).distinct())
     e = written(e, "edges")
@@ -40,4 +41,6 @@ def component_roots(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

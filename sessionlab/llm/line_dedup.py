@@ -8,8 +8,9 @@ distinct count; the rest stay.  Boilerplate lines leave every document.
 
 Defined cases: null text stays null and has no lines; a null site is a site of its own;
 blank lines are kept as they stand and never counted; a document whose every line is
-boilerplate keeps the empty text; repeated rows are treated alike; an empty table gives an
-empty result.
+boilerplate keeps the empty text; a line on exactly ``min_sites`` sites is boilerplate; texts of
+any length are cut whole; repeated rows are treated alike; an empty table gives an empty result;
+clashing extra columns are replaced.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from sessionlab.llm.common import content_key, guarded, let, text_or_empty, ungu
 
 #: relative standard error of the sketch is about 1.04 / sqrt(2^LG_K)
 LG_K = 10
+#: standard errors of the sketch around the threshold within which a line is counted exactly; below, one
+#: line in three million at the threshold would be missed (up to about 2**LG_K / 8 sites sketches are exact)
+NEAR = 5
 #: boilerplate hashes (rows of one long) that are broadcast after counting them
 BROADCAST_LINES = 200_000
 
@@ -38,7 +42,7 @@ def site_spread(docs: DataFrame, text: str, site: str, min_sites: int) -> DataFr
     rows = (docs.select(F.coalesce(F.col(site).cast("string"), F.lit("\0null")).alias("site"),
                         F.explode(F.array_distinct(line_hashes(F.col(text)))).alias("h"))
             .filter(F.col("h").isNotNull()))
-    err = 3 * 1.04 / (2 ** LG_K) ** 0.5
+    err = NEAR * 1.04 / (2 ** LG_K) ** 0.5
     est = (rows.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch"))
            .select("h", F.hll_sketch_estimate("sketch").alias("n_sites")))
     likely = est.filter(F.col("n_sites") >= F.lit(min_sites * (1 - err)))

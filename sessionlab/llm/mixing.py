@@ -14,8 +14,8 @@ the extra copies go to the documents of smallest hash.  Nothing is drawn at rand
 reruns agree.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order;
-documents of size 0 take the rate their source gives them and no words; repeated rows share
-their hash order and count one by one; an empty table gives an empty result; input columns
+documents of size 0 take the rate their source gives them and no words; texts of any length are
+counted whole; repeated rows share their hash order and count one by one; an empty table gives an empty result; input columns
 that clash with output columns are replaced.
 """
 
@@ -32,7 +32,8 @@ from sessionlab.llm.common import guarded, unguarded, words, written
 RANK_ROWS = 20_000
 #: (source, size) rows of a few numbers that are broadcast after counting them
 BROADCAST_SIZES = 100_000
-MAX_STEPS = 60
+#: Newton steps after which a source that misses its target is an error; a bracket halves at least
+MAX_STEPS = 200
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5,
@@ -108,6 +109,8 @@ def solve_tilts(hist: DataFrame, targets: DataFrame, cap: float = 2.0, tolerance
         state = written(stepped, "mix-state")
         if (state.agg(F.max("miss")).first()[0] or 0.0) <= tolerance:
             break
+    else:
+        raise RuntimeError(f"the dual did not settle in {MAX_STEPS} Newton steps")
     return state.select("source", "source_size", "target", "unit", "lam")
 
 

@@ -88,10 +88,14 @@ def op4_chat_quotes(spark, d):
 # ---- op7: pages are the captures, fetched when the event of their number happened; the other
 # events of a page's number (user_id) are the edits that listed or delisted its host, domain or path
 ORACLES["op7_url_filter"] = r"""
-WITH u AS (
-  SELECT page_id, url, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1)) AS host,
-         list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts
-  FROM pages),
+WITH r AS (   -- what follows the scheme, read piece by piece
+  SELECT page_id, url, CASE WHEN regexp_full_match(split_part(url, '://', 1), '[A-Za-z][A-Za-z0-9+.-]*') AND contains(url, '://')
+                            THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+a AS (SELECT *, split_part(split_part(split_part(rest, '/', 1), '?', 1), '#', 1) AS authority FROM r),
+b AS (SELECT *, list_extract(string_split(authority, '@'), -1) AS place, split_part(split_part(substr(rest, length(authority) + 1), '?', 1), '#', 1) AS path FROM a),
+n AS (SELECT *, lower(CASE WHEN starts_with(place, '[') THEN split_part(place, ']', 1) || ']' ELSE split_part(place, ':', 1) END) AS name FROM b),
+u AS (SELECT page_id, url, CASE WHEN ends_with(name, '.') THEN left(name, length(name) - 1) ELSE name END AS host,
+             list_filter(string_split(coalesce(path, ''), '/'), lambda x: x <> '') AS parts FROM n),
 e AS (
   SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'h:' || host
               WHEN event_type IN ('click', 'view') THEN 'p:' || host || '/' || parts[1]
@@ -107,7 +111,7 @@ k AS (
   SELECT page_id, fetched_at, unnest(list_distinct(list_concat(['h:' || host],
       list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: 'd:' || array_to_string(string_split(host, '.')[i:], '.')),
       list_transform(range(1, len(parts) + 1), lambda i: 'p:' || host || '/' || array_to_string(parts[1:i], '/'))))) AS pattern
-  FROM c WHERE host <> '' AND fetched_at IS NOT NULL),
+  FROM c WHERE coalesce(host, '') <> '' AND fetched_at IS NOT NULL),
 h AS (
   SELECT k.page_id, count(*) AS n_entries, min({'p': x.pattern, 'a': x.t_at}) AS least
   FROM k ASOF JOIN x ON k.pattern = x.pattern AND k.fetched_at >= x.t_at WHERE x.active GROUP BY 1)

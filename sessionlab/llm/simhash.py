@@ -8,7 +8,8 @@ counts.  A tile pair returns no list of pairs but a spanning star of each of its
 groups, so a large group of near copies costs links in proportion to its size.
 
 Defined cases: null text is the empty text; a text without words has fingerprint zero and
-links like any other; texts of fewer words than a shingle are one shingle; repeated rows and
+links like any other; texts of fewer words than a shingle are one shingle, of any length are
+read whole; a bit set by exactly half the hashes is 0; repeated rows and
 repeated doc_ids share a component; a component_id is the least non-null doc_id reachable
 (null if there is none); an empty table gives an empty result.
 """

@@ -13,7 +13,9 @@ freely because the list side has one row.
 Patterns: ``h:host``, ``d:domain`` (the host itself or any host below it), ``p:host/path``
 (that path and everything below it, by whole segments).
 
-Defined cases: a url without a host, or a null url, matches nothing; a null fetch time
+Defined cases: user info, a port and one final dot are no part of a host; a url without a host,
+or a null url, matches nothing, nor does one whose authority is no host and port; urls of any
+length are matched whole; of entries that match, the least pattern is named; a null fetch time
 matches nothing; edits without pattern, time or known action are ignored; of edits of one
 pattern at one time, a removal wins; an edit counts from its own instant on; repeated rows
 are judged alike; an empty list lets everything pass; clashing extra columns are replaced.
@@ -31,7 +33,10 @@ SLICE = 86_400
 
 
 def host_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)", 1))
+    """Lower-case host of a url without user, password, port and the dot of a rooted name; an IPv6
+    address keeps its brackets."""
+    authority = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    return F.lower(F.regexp_extract(authority, r"^(?:.*@)?(\[[^\]]*\]|[^:@]*?)\.?(?::[^@]*)?$", 1))
 
 
 def path_of(url: Column) -> Column:

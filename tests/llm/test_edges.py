@@ -160,6 +160,20 @@ def test_urls(spark):
     assert spans == {("h:a.com", day(2), day(4)), ("d:b.org", day(3), None), ("p:c.net/x/y", day(1), None)}
 
 
+def test_hosts(spark):
+    """User info, ports, rooted names, IPv6 addresses and very long urls."""
+    at = dt.datetime(2024, 1, 2)
+    hosts = [("http://user@evil.com/", "evil.com"), ("http://user:pw@evil.com/", "evil.com"), ("http://evil.com./x", "evil.com"),
+             ("HTTPS://a:b@EVIL.com.:8080?x", "evil.com"), ("http://u@v@evil.com#f", "evil.com"), ("http://[2001:DB8::1]:80/x", "[2001:db8::1]"),
+             ("ftp://[::1]", "[::1]"), ("http://ok.org/user@evil.com", "ok.org"), ("http://ok.org?to=http://evil.com/", "ok.org"),
+             ("http://:80/", ""), ("//evil.com", ""), ("1http://evil.com", ""), (None, ""), ("http://" + "a." * 5000 + "evil.com/" + "p/" * 3000, "a." * 5000 + "evil.com")]
+    df = spark.createDataFrame([(*h, at) for h in hosts], "url string, host string, fetched_at timestamp")
+    assert [r for r in df.withColumn("got", url_filter.host_of(F.col("url"))).collect() if r.got != r.host] == []
+    edits = spark.createDataFrame([("d:evil.com", dt.datetime(2024, 1, 1), "add")], "pattern string, at timestamp, action string")
+    judged = url_filter.filter_urls(df, edits).collect()
+    assert all(r.blocked == (r.host.endswith("evil.com")) for r in judged) and sum(r.blocked for r in judged) == 6
+
+
 def test_pipeline_stages_on_edges(spark, tmp_path, items):
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = spark.createDataFrame([(*r, "en", len(r[1] or "")) for r in ROWS], SCHEMA + ", lang string, n_chars long")
