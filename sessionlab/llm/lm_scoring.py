@@ -3,9 +3,9 @@
 Every word u is a restaurant whose customers are the words that follow it; all restaurants
 share one parent restaurant of single words, whose base is uniform over the vocabulary and
 one unknown word.  A customer who opens a table sends one customer to the parent.  Seating is
-sampled by Gibbs: a customer leaves its table and sits down again in proportion to the table
-sizes less the discount, or to the parent's probability for a new one.  Predictive
-probabilities are averaged over samples:
+sampled by Gibbs, all customers of a (context, word) group at a time: the number of tables they
+fill is drawn from its conditional given the rest (see ``Seating``), so every customer moves in
+every sweep, however many there are.  Predictive probabilities are averaged over samples:
 
     p(w | u) = mean over samples of [c(uw) - d t(uw) + (s + d T(u)) p0(w)] / (s + c(u)).
 
@@ -21,7 +21,8 @@ anew for each sample.  A pair seen once has one table, whatever the parent, and
 counted.
 
 Defined cases: null text is the empty text (one end token); a null doc_id counts as training;
-repeated rows count and score one by one; words unknown to the training texts are one word;
+repeated rows count and score one by one; texts of any length are read whole; doc_ids are longs;
+words unknown to the training texts are one word;
 without training documents every probability is that of the unknown word; an empty table
 gives an empty result; clashing extra columns are replaced.
 """
@@ -45,17 +46,20 @@ from sessionlab.llm.tokens import mix
 SHARD_WORDS = 2_000_000
 #: rows of (word, count) that reach the driver to split frequent contexts: four for each shard at most
 MAX_SPLIT_SHARDS = 25_000
-#: customers seated one by one before blocks are used to set up a large restaurant
-ONE_BY_ONE = 32
+#: customers of a group up to which its tables are drawn from the exact conditional
+EXACT = 128
+#: groups of one size whose tables are drawn at once
+BLOCK = 1 << 15
 
 
 class Settings:
-    """Discounts and strengths of the two levels; sweeps and samples of the Gibbs sampler."""
+    """Discounts and strengths of the two levels; sweeps before the first sample, samples, and sweeps
+    from one to the next."""
 
-    def __init__(self, discount=0.8, strength=1.0, root_discount=0.5, root_strength=10.0, burn_in=2, samples=2, moves=3, seed=42):
+    def __init__(self, discount=0.8, strength=1.0, root_discount=0.5, root_strength=10.0, burn_in=6, samples=2, apart=2, seed=42):
         self.discount, self.strength = discount, strength
         self.root_discount, self.root_strength = root_discount, root_strength
-        self.burn_in, self.samples, self.moves, self.seed = burn_in, samples, moves, seed
+        self.burn_in, self.samples, self.apart, self.seed = burn_in, samples, apart, seed
 
 
 def narrow(h: np.ndarray) -> np.ndarray:
@@ -88,9 +92,6 @@ class Chunk:
         self.u, self.w = np.divmod(code, len(self.vocab))
         self.shards, self.split = shards, split
 
-    def train_counts(self) -> np.ndarray:
-        return np.bincount(self.words, weights=self.train, minlength=len(self.vocab)).astype(np.uint32)
-
     def word_shards(self) -> np.ndarray:
         return word_shard(self.vocab >> np.uint64(16), self.shards)
 
@@ -112,18 +113,26 @@ def word_shard(w48: np.ndarray, shards: int) -> np.ndarray:
     return (w48 % np.uint64(shards)).astype(np.int64)
 
 
-def _each_chunk(shards: int, split: dict[int, int], send: Callable[[int, Chunk], list]):
+def _words_of_chunks(shards: int):
+    """Vocabulary and training counts of each chunk, for the shards of words; no pairs are built."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, held, blob in zip(*(batch.column(c).to_pylist() for c in ("chunk", "held", "blob"))):
-                yield from messages(send(number, Chunk(blob, held, shards, split))).to_batches()
+                vocab, words, sizes = words_of(blob)
+                train = np.repeat(~np.array(held, bool), sizes)
+                counts = np.bincount(words, weights=train, minlength=len(vocab)).astype(np.uint32)
+                shard = word_shard(vocab >> np.uint64(16), shards)
+                order = np.argsort(shard, kind="stable")
+                yield from messages([("chunk", s, number, pack(vocab[order[k]], counts[order[k]])) for s, k in cut(shard[order])]).to_batches()
     return run
 
 
-def _send_words(number: int, c: Chunk) -> list:
-    counts, shard = c.train_counts(), c.word_shards()
-    order = np.argsort(shard, kind="stable")
-    return [("chunk", s, number, pack(c.vocab[order[k]], counts[order[k]])) for s, k in cut(shard[order])]
+def _each_chunk(shards: int, split: dict[int, int], send: Callable[[int, Chunk], list]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, held, blob in zip(*(batch.column(c).to_pylist() for c in ("chunk", "held", "blob"))):
+                yield from messages(send(number, Chunk(blob, held, shards, split))).to_batches()
+    return run
 
 
 def _send_pairs(number: int, c: Chunk) -> list:
@@ -191,10 +200,46 @@ def narrow48(w48: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(w48.view(np.uint8).reshape(-1, 8)[:, :6])
 
 
+_STIRLING: dict[float, list[np.ndarray]] = {}
+
+
+def log_stirling(discount: float) -> list[np.ndarray]:
+    """By number of customers c <= EXACT: log of the generalised Stirling numbers of 1 .. c tables,
+    the weight of all seatings of c customers at so many tables."""
+    if discount not in _STIRLING:
+        rows = [np.empty(0), np.zeros(1)]
+        for c in range(1, EXACT):
+            new = np.full(c + 1, -np.inf)
+            new[:c] = np.log(c - discount * np.arange(1, c + 1)) + rows[c]
+            new[1:] = np.logaddexp(new[1:], rows[c])
+            rows.append(new)
+        _STIRLING[discount] = rows
+    return _STIRLING[discount]
+
+
+def many_tables(count: np.ndarray, new: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of the number of tables of large groups, from the saddle point of their
+    generating function exp(new (1 - (1 - x)^discount) / discount); within 2 % of the sums
+    over Stirling numbers beyond EXACT customers."""
+    lo, hi = np.full(len(count), -700.0), np.zeros(len(count))       # log(1 - x)
+    for _ in range(50):
+        y = (lo + hi) / 2
+        over = np.log(new) + np.log1p(-np.exp(y)) + (discount - 1) * y > np.log(count)
+        lo, hi = np.where(over, y, lo), np.where(over, hi, y)
+    y = np.exp((lo + hi) / 2)
+    mean = new * -np.expm1(discount * np.log(y)) / discount
+    variance = np.maximum(mean - count * y / (1 - discount * (1 - y)), 0.0)
+    return mean + variance / np.maximum(mean, 1e-300), variance
+
+
 class Seating:
-    """Tables of (restaurant, dish) groups with two customers or more.
+    """Numbers of tables of (restaurant, dish) groups with two customers or more.
 
-    ``flat`` holds table sizes, group after group, with room for new tables.  The tables of a
+    Predictions need no more of a seating than its numbers of tables, so a sweep draws for each
+    group how many tables its customers fill, given all others: with probability proportional
+    to the weight of all seatings at t tables (generalised Stirling numbers) times that of t
+    new tables.  All customers of a group move at once.  Up to EXACT customers the draw is from
+    the exact conditional, beyond from a law with its mean and variance.  The tables of a
     restaurant are ``fixed`` (dishes with one customer) plus those here, times ``scale`` where
     other shards hold the rest of it.
     """
@@ -204,97 +249,56 @@ class Seating:
         self.rest, self.count, self.p0, self.d, self.s, self.rng = rest, count.astype(np.int64), p0, discount, strength, rng
         self.fixed, self.scale = fixed.astype(np.int64), scale
         self.tables = np.ones(len(count), np.int64)
-        self.total = self.fixed + np.bincount(rest, minlength=len(fixed))
-        self._set_up()
-
-    def _open(self, which=slice(None)) -> np.ndarray:
-        """Weight of a new table."""
-        r = self.rest[which]
-        return (self.s + self.d * self.total[r] * self.scale[r]) * self.p0[which]
-
-    def _set_up(self) -> None:
-        by_count = np.argsort(-self.count, kind="stable")
-        size = np.zeros((len(by_count), ONE_BY_ONE), np.int64)     # in order of count
-        if len(by_count):
-            size[:, 0] = 1
-        tables = np.ones(len(by_count), np.int64)
-        new = self._open()[by_count]
-        falling = -self.count[by_count]
-        for i in range(1, ONE_BY_ONE):
-            n = int(np.searchsorted(falling, -i, side="left"))     # groups with more than i customers
-            if not n:
-                break
-            width = min(i, ONE_BY_ONE)
-            t = tables[:n]
-            pick = self.rng.random(n) * (new[:n] + i - self.d * t)
-            opens = pick < new[:n]
-            room = np.cumsum(np.maximum(size[:n, :width] - self.d, 0), axis=1)
-            seat = (room <= (pick - new[:n])[:, None]).sum(axis=1)
-            seat = np.where(opens, t, np.minimum(seat, t - 1))
-            size[np.arange(n), seat] += 1
-            tables[:n] += opens
-        big = int(np.searchsorted(falling, -ONE_BY_ONE, side="left"))
-        more: list[np.ndarray] = []
-        for k in range(big):          # in blocks: tables open and fill at the rates at the block's start
-            sizes, left, i = size[k, :tables[k]].copy(), int(-falling[k]) - ONE_BY_ONE, ONE_BY_ONE
-            while left:
-                m = min(left, max(1, i // 4))
-                opened = int(self.rng.binomial(m, new[k] / (new[k] + i - self.d * len(sizes))))
-                weight = sizes - self.d
-                sizes = sizes + self.rng.multinomial(m - opened, weight / weight.sum())
-                sizes = np.concatenate([sizes, np.ones(opened, np.int64)])
-                left, i = left - m, i + m
-            more.append(sizes)
-            tables[k] = len(sizes)
-        self.tables[by_count] = tables
-        sizes = [size[big:][np.arange(ONE_BY_ONE)[None, :] < tables[big:, None]]]
-        flat = np.concatenate([*more, *sizes]) if len(by_count) else np.empty(0, np.int64)
-        # back to the order of the groups
-        start = np.zeros(len(by_count), np.int64)
-        start[by_count] = np.cumsum(tables) - tables
-        at = np.repeat(start - (np.cumsum(self.tables) - self.tables), self.tables) + np.arange(len(flat))
-        self.flat = flat[at] if len(flat) else flat
+        self.order = np.argsort(self.count, kind="stable")
         self._recount()
 
     def _recount(self) -> None:
         self.total = self.fixed + np.bincount(self.rest, weights=self.tables, minlength=len(self.fixed)).astype(np.int64)
 
-    def sweep(self, moves: int) -> None:
-        """``moves`` times, one random customer of every group leaves and sits down again."""
-        n = len(self.count)
-        if not n:
-            return
-        room = self.tables + moves
-        end = np.cumsum(room)
-        start = end - room
-        flat = np.zeros(int(end[-1]), np.int64)
-        flat[np.repeat(start - (np.cumsum(self.tables) - self.tables), self.tables) + np.arange(len(self.flat))] = self.flat
-        free = start + self.tables
-        before = np.cumsum(self.count) - self.count
-        for _ in range(moves):
-            leave = before + np.floor(self.rng.random(n) * self.count).astype(np.int64)
-            seat = np.searchsorted(np.cumsum(flat), leave, side="right")
-            flat[seat] -= 1
-            emptied = flat[seat] == 0
-            self.tables -= emptied
-            self._recount()
-            new = self._open()
-            weight = np.where(flat > 0, flat - self.d, 0.0)
-            running = np.concatenate([[0.0], np.cumsum(weight)])
-            old = running[end] - running[start]
-            pick = self.rng.random(n) * (new + old)
-            opens = pick < new
-            to = np.searchsorted(running, running[start] + np.maximum(pick - new, 0.0), side="right") - 1
-            to = np.clip(to, start, end - 1)
-            # rounding may point past the last table: sit back down then
-            to = np.where(flat[to] > 0, to, seat)
-            opens |= ~opens & (flat[to] == 0)
-            to = np.where(opens, free, to)
-            flat[to] += 1
-            free += opens
-            self.tables += opens
-            self._recount()
-        self.flat = flat[flat > 0]
+    def sweep(self, rounds: int = 1) -> None:
+        """Draw the tables of every group anew, one half of the groups after the other."""
+        for _ in range(rounds):
+            half = self.rng.random(len(self.count)) < 0.5
+            for now in (half, ~half):
+                at = self.order[now[self.order]]
+                r = self.rest[at]
+                # weight of a first table of the group, all other groups as they are
+                first = (self.s + self.d * (self.total[r] * self.scale[r] - self.tables[at])) * self.p0[at]
+                self.tables[at] = self._draw(self.count[at], np.maximum(first, 1e-300), self.d * self.p0[at])
+                self._recount()
+
+    def _draw(self, count: np.ndarray, first: np.ndarray, step: np.ndarray) -> np.ndarray:
+        """Tables of groups in order of count; a group's table after j of its own weighs first + j step."""
+        out = np.ones(len(count), np.int64)
+        small = int(np.searchsorted(count, EXACT, side="right"))
+        rows = log_stirling(self.d)
+        for c, k in cut(count[:small]):
+            for at in range(k.start, k.stop, BLOCK):
+                own = slice(at, min(at + BLOCK, k.stop))
+                weight = np.cumsum(np.log(first[own, None] + step[own, None] * np.arange(c)), axis=1) + rows[c]
+                running = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+                pick = self.rng.random(len(running)) * running[:, -1]
+                out[own] = 1 + np.minimum((running <= pick[:, None]).sum(axis=1), c - 1)
+        if small < len(count):
+            # tables of the group make further ones likelier: the weight at the mean counts, and
+            # what it gains by each table widens the law
+            n, weigh, gain = count[small:], first[small:], step[small:]
+            mean, variance = many_tables(n, weigh, self.d)
+            for _ in range(6):
+                mean, variance = many_tables(n, weigh + gain * mean, self.d)
+            slope = gain / (weigh + gain * mean)
+            variance = variance / np.maximum(1 - variance * slope, 0.1)
+            out[small:] = 1 + np.minimum(_with_moments(mean - 1, variance, self.rng), n - 1)
+        return out
+
+
+def _with_moments(mean: np.ndarray, variance: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Counts of given mean and variance: binomial below the mean, negative binomial above."""
+    mean = np.maximum(mean, 1e-9)
+    tries = np.maximum(np.rint(mean * mean / np.maximum(mean - variance, 1e-6 * mean)), 1.0)
+    shape = mean * mean / np.maximum(variance - mean, 1e-6 * mean)
+    few = rng.binomial(tries.astype(np.int64), np.minimum(mean / tries, 1.0))
+    return np.where(variance <= mean, few, rng.negative_binomial(shape, shape / (shape + mean)))
 
 
 def _generator(settings: Settings, *key: int) -> np.random.Generator:
@@ -309,7 +313,7 @@ def _seat_root(customers: np.ndarray, vocabulary: int, settings: Settings, rng)
     share = max(1.0, vocabulary / max(1, int(tables.sum())))
     seating = Seating(np.zeros(len(many), np.int64), customers[many], np.full(len(many), 1.0 / (vocabulary + 1)),
                       np.array([int((customers == 1).sum())]), np.array([share]), settings.root_discount, settings.root_strength, rng)
-    seating.sweep(settings.moves)
+    seating.sweep(settings.burn_in)
     tables[many] = seating.tables
     return tables
 
@@ -352,11 +356,10 @@ def _gibbs(shards: int, split: dict[int, int], rest: tuple[float, float], settin
         scale = np.array([split.get(int(h), 1) for h in context], float) if split else np.ones(len(context))
         seating = Seating(u.astype(np.int64), count, p0[w], fixed, scale, settings.discount, settings.strength,
                           _generator(settings, 2, me))
-        for _ in range(settings.burn_in):
-            seating.sweep(settings.moves)
+        seating.sweep(settings.burn_in)
         mean, by_word, by_context = np.zeros(len(count)), [], []
         for _ in range(settings.samples):
-            seating.sweep(settings.moves)
+            seating.sweep(settings.apart)
             mean += seating.tables / settings.samples
             by_word.append(np.bincount(w, weights=seating.tables, minlength=len(word)).astype(np.uint32))
             by_context.append(seating.total.astype(np.uint32))
@@ -457,7 +460,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     chunks = text_chunks(docs, doc_id, text, held_out)
     words = chunks.agg(F.sum("n")).first()[0] or 0
     shards = max(4, math.ceil(words / SHARD_WORDS))
-    lists = written(chunks.mapInArrow(_each_chunk(shards, {}, _send_words), MESSAGE), "lm-words")
+    lists = chunks.mapInArrow(_words_of_chunks(shards), MESSAGE)     # read again when needed, not kept
     threshold = words / (4 * min(shards, MAX_SPLIT_SHARDS))
     found = [unpack(r["blob"]) for r in _grouped(lists, _words_total(threshold)).collect()]   # a row for each shard
     vocabulary = sum(x[0] for x in found)
@@ -478,7 +481,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     last = written(_grouped(lists.unionByName(pairs.filter("kind = 'first'"))
                             .unionByName(seated.filter("kind IN ('tables', 'totals')")), _root_last(vocabulary, settings)), "lm-last")
     rests = [_root_rest(s, vocabulary, settings) for s in sums(last)]
-    release(spark, lists, pairs, first)
+    release(spark, pairs, first)
     texts = chunks.select(F.lit("text").alias("kind"), F.col("chunk").alias("key"), F.lit(0).cast("long").alias("peer"), "blob", "ids", "held")
     answers = seated.filter("kind = 'answer'").unionByName(last.filter("kind = 'words'"))
     schema = ("id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
