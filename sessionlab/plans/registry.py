@@ -1317,6 +1317,58 @@ def q_incremental_sessions(spark, d):
                         else F.col(c) for c in out.columns])
 
 
+ARRIVAL = (2, 0, 3, 1)   # periods in the order in which their files land
+
+
+def _arrive_labelled(spark, d):
+    """Files of one period after another, not in the order of time; partials and labels by batch."""
+    from sessionlab.streaming.relabel import run_labelled
+    run = fresh_path(spark, "labelled")
+    ev = _ev(spark, d)
+    ev.write.partitionBy("period").parquet(f"{run}/source")
+    for p in ARRIVAL:
+        (spark.read.parquet(f"{run}/source/period={p}").withColumn("period", F.lit(p)).select(*ev.columns).coalesce(1)
+         .write.mode("append").parquet(f"{run}/landing"))
+        run_labelled(spark, f"{run}/landing", ev.schema, f"{run}/state", f"{run}/stream-ckpt")
+    return f"{run}/state"
+
+
+@register("incremental_labels", W(*X.BASE) + f"SELECT {SC} FROM sessions_all")
+def q_incremental_labels(spark, d):
+    """Session table from partials, its labels kept by signed counts: a batch re-labels only the
+    sessions that touch a category whose name it changes; equal to the batch table in any order."""
+    from sessionlab.streaming.incremental import merge_partials_exact
+    from sessionlab.streaming.relabel import current_labels
+    root = _arrive_labelled(spark, d)
+    out = merge_partials_exact(spark, root, drop=RARE_CATEGORIES, labels=current_labels(spark, root))
+    return out.select(*[F.col(c).cast("float").alias(c) if c in ("avg_price", "price_std", "session_duration_sec")
+                        else F.col(c) for c in out.columns])
+
+
+@register("label_changes", W(X.SHOP_EVENTS) + f"""
+, ord(period, batch) AS (VALUES {", ".join(f"({p}, {b})" for b, p in enumerate(ARRIVAL))})
+, arr AS (SELECT e.*, o.batch FROM shop_events e JOIN ord o USING (period))
+, names AS (SELECT batch, category_id, main FROM (
+    SELECT o.batch, category_id, split_part(category_code, '.', 1) AS main,
+           row_number() OVER (PARTITION BY o.batch, category_id ORDER BY a.period DESC, epoch_us(event_time), event_id) AS rn
+    FROM arr a JOIN ord o ON a.batch <= o.batch WHERE category_code IS NOT NULL) WHERE rn = 1)
+, chg AS (SELECT n.batch, n.category_id FROM names n LEFT JOIN names p ON p.category_id = n.category_id AND p.batch = n.batch - 1
+          WHERE p.main IS DISTINCT FROM n.main)
+, items AS (SELECT DISTINCT batch, user_session, category_id FROM arr WHERE user_session IS NOT NULL)
+, moved AS (SELECT c.batch, i.user_session FROM items i JOIN chg c ON i.category_id = c.category_id AND i.batch < c.batch)
+SELECT o.batch, (SELECT count(*) FROM chg c WHERE c.batch = o.batch) AS n_changed,
+  (SELECT count(*) FROM items i WHERE i.batch < o.batch) AS n_earlier_items,
+  (SELECT count(*) FROM moved m WHERE m.batch = o.batch) AS n_moved_items,
+  (SELECT count(DISTINCT user_session) FROM moved m WHERE m.batch = o.batch) AS n_moved_sessions
+FROM ord o""")
+def q_label_changes(spark, d):
+    """What each batch changed: categories with another name, and earlier rows and sessions that
+    took part in it."""
+    from sessionlab.streaming.relabel import read_state
+    return (read_state(spark, _arrive_labelled(spark, d), "label_log")
+            .select("batch", "n_changed", "n_earlier_items", "n_moved_items", "n_moved_sessions"))
+
+
 @register("windowed_sessions", W(X.SHOP_EVENTS) + f"""
 , w AS (SELECT *, epoch_us(event_time) - epoch_us(lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id)) AS pause
         FROM shop_events)

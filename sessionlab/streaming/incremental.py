@@ -94,14 +94,22 @@ def write_partials(parts: dict[str, DataFrame], root: str) -> None:
          .parquet(f"{root.rstrip('/')}/{name}"))
 
 
-def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEGORIES) -> DataFrame:
+def partial_labels(spark: SparkSession, root: str) -> DataFrame:
+    """Main category by session from all partials.  Category map: latest period wins; inside a
+    period the earliest row."""
+    cmap = read_partials(spark, root, "category_partials").groupBy("category_id").agg(
+        F.max_by("category_code", F.struct(F.col("period"), -F.col("k.b"), -F.col("k.c"))).alias("category_code"))
+    cats = read_partials(spark, root, "session_categories").groupBy(KEY, "category_id").agg(F.sum("n").alias("n"))
+    names = cmap.select("category_id", main_cat_of("category_code").alias("main_cat"))
+    labelled = lookup_join(cats, names, "category_id", "inner", cache=True).groupBy(KEY, "main_cat").agg(F.sum("n").alias("n"))
+    return labelled.groupBy(KEY).agg(F.min_by("main_cat", F.struct(-F.col("n"), F.col("main_cat"))).alias("main_cat"))
+
+
+def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEGORIES, labels: DataFrame | None = None) -> DataFrame:
     """Merge every batch's partials into the session table (same schema and
-    values as the exact batch rollup)."""
+    values as the exact batch rollup).  ``labels`` are those of
+    ``relabel.current_labels`` where they are kept up to date by batch."""
     sp = read_partials(spark, root, "session_partials")
-    # category map: latest period wins; inside a period the earliest row
-    cp = read_partials(spark, root, "category_partials")
-    cmap = cp.groupBy("category_id").agg(
-        F.max_by("category_code", F.struct(F.col("period"), -F.col("k.b"), -F.col("k.c"))).alias("category_code"))
     # the session's mean first, then what each part lies off it: nothing cancels
     mean = sp.groupBy(KEY).agg(F.sum("p_n").alias("n"), F.try_divide(F.sum("p_sum"), F.sum("p_n")).alias("mean"))
     off = F.col("p_sum") / F.nullif(F.col("p_n"), F.lit(0)) - F.col("mean")
@@ -119,10 +127,7 @@ def merge_partials_exact(spark: SparkSession, root: str, drop=DEFAULT_DROP_CATEG
     items = read_partials(spark, root, "session_items")
     uniq = items.groupBy(KEY).agg(F.count_distinct("product_id").alias("unique_products"),
                                   F.count_distinct("category_id").alias("unique_categories"))
-    cats = read_partials(spark, root, "session_categories").groupBy(KEY, "category_id").agg(F.sum("n").alias("n"))
-    names = cmap.select("category_id", main_cat_of("category_code").alias("main_cat"))
-    labelled = lookup_join(cats, names, "category_id", "inner", cache=True).groupBy(KEY, "main_cat").agg(F.sum("n").alias("n"))
-    mode = labelled.groupBy(KEY).agg(F.min_by("main_cat", F.struct(-F.col("n"), F.col("main_cat"))).alias("main_cat"))
+    mode = partial_labels(spark, root) if labels is None else labels
     out = merged.join(uniq, KEY, "left").join(mode, KEY, "left").withColumn("user_id", F.col("first.u"))
     out = fill_missing(out.withColumn("purchased", (F.col("purchased") > 0).cast("tinyint")))
     out = out.select(KEY, "user_id", "n_view", "n_cart", "n_remove", "n_events", "avg_price", "max_price",
