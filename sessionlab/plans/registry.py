@@ -1391,6 +1391,43 @@ def q_windowed_sessions(spark, d):
                           .withColumn("session_end", F.col("session_end").cast("timestamp_ntz")))
 
 
+LATE_ARRIVAL = (0, 2, 1, 3)   # the second period comes after the watermark has passed it
+
+
+def _stream_sessions(spark, d):
+    from sessionlab.streaming.windowed import run_sessions
+    run = fresh_path(spark, "late-sessions")
+    ev = _ev(spark, d).drop("user_session")
+    ev.write.partitionBy("period").parquet(f"{run}/source")
+    for p in LATE_ARRIVAL:   # a stop and a restart from the checkpoint between any two
+        (spark.read.parquet(f"{run}/source/period={p}").withColumn("period", F.lit(p)).select(*ev.columns).coalesce(1)
+         .write.mode("append").parquet(f"{run}/landing"))
+        run_sessions(spark, f"{run}/landing", ev.schema, f"{run}/state", f"{run}/ckpt")
+    return f"{run}/state"
+
+
+@register("late_sessions", REGISTRY["windowed_sessions"].sql)
+def q_late_sessions(spark, d):
+    """Sessions of a stream over several triggers and restarts, with a watermark and late rows that
+    are merged back from their side table: equal to one batch over all rows."""
+    from sessionlab.streaming.windowed import all_sessions
+    out = all_sessions(spark, _stream_sessions(spark, d))
+    return _round_doubles(out.withColumn("session_start", F.col("session_start").cast("timestamp_ntz"))
+                          .withColumn("session_end", F.col("session_end").cast("timestamp_ntz")))
+
+
+@register("late_rows", W(X.SHOP_EVENTS) + f"""
+, ord(period, batch) AS (VALUES {", ".join(f"({p}, {b})" for b, p in enumerate(LATE_ARRIVAL))})
+, arr AS (SELECT o.batch, epoch_us(event_time) AS t FROM shop_events e JOIN ord o USING (period))
+, mark AS (SELECT o.batch, (SELECT max(t) FROM arr a WHERE a.batch < o.batch) - 86400000000 AS w FROM ord o)
+SELECT m.batch, (SELECT count(*) FROM arr a WHERE a.batch = m.batch) AS n_rows,
+  (SELECT count(*) FROM arr a WHERE a.batch = m.batch AND a.t < m.w) AS n_late FROM mark m""")
+def q_late_rows(spark, d):
+    """Rows and late rows by micro-batch: each late row is counted and kept."""
+    from sessionlab.streaming.windowed import read_state
+    return read_state(spark, _stream_sessions(spark, d), "progress").select("batch", "n_rows", "n_late")
+
+
 REGISTRY["raw_for_sessions"].sql = (W(*X.BASE) + _SAMPLE_CTES + f" SELECT event_id, {RAW9}, period FROM shop_events "
                                     "WHERE user_session IN (SELECT user_session FROM smp)")
 
