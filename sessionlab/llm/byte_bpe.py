@@ -36,6 +36,7 @@ from sessionlab.llm.common import guarded, small_batches, text_or_empty, unguard
 
 CACHE_PIECES = 1 << 18   # about 50 MB a generation
 CACHE_BYTES = 64
+SHORT = 64   # bytes of a piece up to which a search through all pairs is quicker than the tree
 #: texts beyond are cut into pieces step by step, so that their pieces never lie in memory at once
 LONG_CHARS = 1 << 20
 SLICE_PIECES = 1 << 16
@@ -48,11 +49,27 @@ def ranks_of(file: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file.splitlines()) if token}
 
 
+def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """``merge`` of a few bytes: the ranks of all pairs in a list that is searched after each merge."""
+    rank = ranks.get
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    low = [rank(piece[i:i + 2], _NONE) for i in range(len(piece) - 1)]
+    while low and (least := min(low)) != _NONE:
+        i = low.index(least)
+        parts[i] += parts.pop(i + 1)
+        del low[i]
+        if i < len(low):
+            low[i] = rank(parts[i] + parts[i + 1], _NONE)
+        if i:
+            low[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
+    return [ranks[p] for p in parts]
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ranks of the tokens of one piece: the leftmost pair of least rank is merged until none is left."""
     n = len(piece)
-    if n < 2:
-        return [ranks[piece]] if n else []
+    if n <= SHORT:
+        return _merge_short(piece, ranks)
     rank = ranks.get
     size = 1 << (n - 2).bit_length()          # leaves: the n - 1 neighbouring pairs
     tree = [_NONE] * (2 * size)

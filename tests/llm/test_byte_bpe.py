@@ -48,6 +48,17 @@ def test_leftmost_of_equal_ranks():
         assert byte_bpe.merge(text, ranks) == [ranks[p] for p in parts]
 
 
+def test_short_pieces_merge_as_long_ones(file, monkeypatch):
+    """Up to ``SHORT`` bytes the pairs are searched without a tree: the same tokens."""
+    ranks, draw = byte_bpe.ranks_of(file), random.Random(7)
+    assert byte_bpe._merge_short(b"", ranks) == [] and byte_bpe._merge_short(b"a", ranks) == [ranks[b"a"]]
+    pieces = [bytes(draw.choice(draw.choice([b"ab", b"strengthening", bytes(range(256))])) for _ in range(draw.randrange(2, byte_bpe.SHORT + 1)))
+              for _ in range(500)]
+    short = [byte_bpe.merge(p, ranks) for p in pieces]
+    monkeypatch.setattr(byte_bpe, "SHORT", 1)
+    assert [byte_bpe.merge(p, ranks) for p in pieces] == short
+
+
 def test_long_texts(file, library, monkeypatch):
     encoder, decoder = byte_bpe.Encoder(file, public_tokenizers.PATTERN), byte_bpe.Decoder(file)
     run = "z" * 200_000                                     # one piece
