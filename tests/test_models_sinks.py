@@ -106,6 +106,30 @@ def test_linear_table_gives_the_scores_and_a_flat_gradient(planted, spark):
     assert max(abs(r.gradient) for r in M.linear_gradient(wrong, rows, reg).collect()) > 0.05
 
 
+def test_training_frames_use_the_cores_of_a_fit(planted, spark, monkeypatch):
+    """A fit is cut into as many tasks as it has cores (it was one task up to 250,000 rows), a small
+    table is not cut, and no row is lost."""
+    assert M.fit_tasks(24_000, 12) == 1 and M.fit_tasks(144_000, 12) == 6 and M.fit_tasks(1_440_000, 12) == 12
+    assert M.fit_tasks(144_000, 12, fits=5) == 2 and M.fit_tasks(9_000_000, 12, fits=5) == 36 and M.fit_tasks(0, 12) == 1
+    assert M.training_frame(M.prepare_binary(planted)).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(M, "ROWS_WORTH_A_TASK", 200)
+    whole = M.prepare_multiclass(planted).select(*FEATURE_COLS, "label", "w", "main_cat")
+    for fits, tasks in ((1, 3), (2, 2), (None, 1)):     # 600 rows, 4 cores, 3 classes
+        got = M.training_frame(M.prepare_multiclass(planted), ("main_cat",), fits=fits)
+        assert got.rdd.getNumPartitions() == tasks
+        assert got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0
+
+
+def test_both_trainings_run_at_the_same_time(spark, monkeypatch):
+    """Each waits for all others to begin, so trained one after another they would never end."""
+    from threading import Barrier
+
+    from sessionlab.plans import registry
+    meet = Barrier(3)
+    monkeypatch.setattr(registry, "_trained", lambda spark, d, task: meet.wait(30))
+    assert registry._all_trained(spark, "", lambda: meet.wait(30) >= 0) == [True]
+
+
 def test_label_index_alphabetical(planted):
     got = {r.main_cat: r.label_idx for r in M.label_index(planted).select("main_cat", "label_idx").distinct().collect()}
     assert got == {"a": 0, "b": 1, "c": 2}
