@@ -115,7 +115,7 @@ def train_multiclass_job(sessions_cat: DataFrame, max_iter_lr: int = 2000, max_i
     train, test = _split(sessions_cat, "main_cat")
     models, out = fit_multiclass(train, max_iter_lr, max_iter_gbt), None
     for name, m in models.items():
-        part = _long_multiclass(M.score_multiclass(m, test), run, name)
+        part = _long_multiclass(written(M.score_multiclass(m, test), "scores"), run, name)
         out = part if out is None else out.unionByName(part)
     return _finish(out, models, model_path, metrics_path)
 
@@ -172,7 +172,8 @@ def temporal_validation_job(sessions: DataFrame, months: DataFrame, max_iter_gbt
     gbt, ovr = in_parallel([lambda: M.boosted_binary(max_iter_gbt).fit(binary),
                             lambda: M.fit_multiclass(M.boosted_multiclass(max_iter_gbt, parallelism=8), classes)])
     out = _long_binary(written(M.score_binary(gbt, _with_label(test)), "scores"), "temporal", PRIMARY)
-    out = _finish(out.unionByName(_long_multiclass(M.score_multiclass(ovr, ec), "temporal", PRIMARY)), {}, None, metrics_path)
+    many = _long_multiclass(written(M.score_multiclass(ovr, ec), "scores"), "temporal", PRIMARY)
+    out = _finish(out.unionByName(many), {}, None, metrics_path)
     return out if random_metrics is None else beside_random(out, random_metrics)
 
 
